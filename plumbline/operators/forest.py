@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import sqltext as sql
 from plumbline.functions.columns import nan_to_null, numeric_columns, selected
+from plumbline.functions.lineage import stored
 from plumbline.operators.quantiles import quantiles
 
 TREES = 100
@@ -185,11 +186,15 @@ def fit(
     filled = nan_to_null(selected(df, wanted), features).selectExpr(
         *[sql.alias(_filled(medians, c) if c in medians else sql.name(c), c) for c in wanted]
     )
-    sample = _sample(filled, features, key, sample_rows, total, seed)
+    # Trees and threshold both need the sample: it is stored, so that the table is read for it once.
+    sample = stored(_sample(filled, features, key, sample_rows, total, seed))
     per_tree = min(sample_per_tree, sample_rows, total)
     xs = [f"x{i}" for i in range(len(features))]
     dealt = sample.selectExpr("*", f"explode(sequence(0, {trees - 1})) AS tree")
-    dealt = dealt.selectExpr("tree", *xs, f"xxhash64({seed}, tree, order, {', '.join(xs)}) AS turn")
+    turn = f"pmod(xxhash64({seed}, tree, order, {', '.join(xs)}), {_HASH_RANGE}L) AS turn"
+    dealt = dealt.selectExpr("tree", *xs, turn)
+    if sample_rows > 2 * per_tree and total > 2 * per_tree:
+        dealt = dealt.filter(f"turn < {int(_HASH_RANGE * (2.0 * per_tree / min(sample_rows, total)))}")
     place = f"row_number() OVER (PARTITION BY tree ORDER BY turn, {', '.join(xs)})"
     hands = dealt.selectExpr("*", f"{place} AS place").filter(f"place <= {per_tree}").drop("place")
     nodes = hands.groupBy("tree").applyInPandas(_grower(len(features), seed), _NODE_SCHEMA).toPandas()

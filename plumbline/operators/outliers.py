@@ -33,8 +33,6 @@ class Bounds:
     center: float
     scale: float
     limit: float
-    least: float
-    greatest: float
 
     @property
     def dimension(self) -> str:
@@ -70,17 +68,11 @@ class Bounds:
         distance = f"({sql.as_double(self.column)} - {sql.double(middle)})"
         return f"abs({sql.double(self.factor)} * {distance} / {sql.double(self.scale)})"
 
-    @property
-    def max_deviation(self) -> float:
-        """The largest |z|: it belongs to the least or the greatest value, so it needs no further scan."""
-        return self.factor * max(abs(self.least - self.center), abs(self.greatest - self.center)) / self.scale
-
 
-def _moments(df: DataFrame, columns: Sequence[str]) -> dict[str, dict[str, float]]:
-    wanted = {"values": "count", "mean": "avg", "std": "stddev_samp", "least": "min", "greatest": "max"}
-    row = df.selectExpr(*[f"{f}({sql.as_double(c)})" for c in columns for f in wanted.values()]).first()
-    cells = iter(row)
-    return {c: {name: next(cells) for name in wanted} for c in columns}
+def _moments(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float | None, float | None]]:
+    """Mean and sample deviation of each column, from one scan."""
+    row = df.selectExpr(*[f"{f}({sql.as_double(c)})" for c in columns for f in ("avg", "stddev_samp")]).first()
+    return {c: (row[2 * i], row[2 * i + 1]) for i, c in enumerate(columns)}
 
 
 def fit(
@@ -90,41 +82,33 @@ def fit(
     iqr_factor: float = 1.5,
     z_limit: float = 3.0,
 ) -> list[Bounds]:
-    """Bounds per column and method; columns with fewer than four values or without spread are left out.
+    """Bounds per column and method; columns without values or without spread are left out.
 
-    One scan for the moments, shared by all methods; the quantile methods add the scans of ``exact_quantiles_of``.
+    The z-score takes one scan for the moments, the other methods those of ``exact_quantiles_of``; all share theirs.
     """
+    if unknown := set(methods) - set(METHODS):
+        raise ValueError(f"unknown methods {sorted(unknown)}; known: {METHODS}")
     columns = list(numeric_columns(df) if columns is None else columns)
     if not columns:
         return []
     df = nan_to_null(selected(df, columns))
-    moments = _moments(df, columns)
-    usable = [c for c in columns if moments[c]["values"] >= MIN_VALUES]
-    if not usable:
-        return []
-    robust = {"iqr", "modified_zscore"} & set(methods)
-    quartiles = exact_quantiles_of(df, {c: sql.as_double(c) for c in usable}, (0.25, 0.5, 0.75)) if robust else {}
-    deviations = {}
+    values = {c: sql.as_double(c) for c in columns}
+    found: dict[str, dict[str, tuple[float | None, float | None]]] = {}
+    if "zscore" in methods:
+        found["zscore"] = _moments(df, columns)
+    if {"iqr", "modified_zscore"} & set(methods):
+        quartiles = {c: q for c, q in exact_quantiles_of(df, values, (0.25, 0.5, 0.75)).items() if q is not None}
+        found["iqr"] = {c: (q1, q3 - q1) for c, (q1, _, q3) in quartiles.items()}
     if "modified_zscore" in methods:
-        deviations = exact_quantiles_of(
-            df, {c: f"abs({sql.as_double(c)} - {sql.double(quartiles[c][1])})" for c in usable}, (0.5,)
-        )
-    found = []
-    for method in methods:
-        for c in usable:
-            if method == "iqr":
-                center, scale, limit = quartiles[c][0], quartiles[c][2] - quartiles[c][0], iqr_factor
-            elif method == "zscore":
-                center, scale, limit = moments[c]["mean"], moments[c]["std"], z_limit
-            elif method == "modified_zscore":
-                center, scale, limit = quartiles[c][1], deviations[c][0], z_limit
-            else:
-                raise ValueError(f"unknown method {method!r}; known: {METHODS}")
-            if scale and math.isfinite(scale):
-                found.append(
-                    Bounds(c, method, center, scale, limit, moments[c]["least"], moments[c]["greatest"])
-                )
-    return found
+        distances = {c: f"abs({values[c]} - {sql.double(median)})" for c, (_, median, _) in quartiles.items()}
+        deviations = exact_quantiles_of(df, distances, (0.5,))
+        found["modified_zscore"] = {c: (quartiles[c][1], deviations[c][0]) for c in quartiles}
+    return [
+        Bounds(c, method, center, scale, iqr_factor if method == "iqr" else z_limit)
+        for method in methods
+        for c, (center, scale) in found[method].items()
+        if scale and math.isfinite(scale)
+    ]
 
 
 def outlier_checks(bounds: Sequence[Bounds]) -> list[Check]:
@@ -134,15 +118,17 @@ def outlier_checks(bounds: Sequence[Bounds]) -> list[Check]:
         checked, outside = sql.name(f"values of {b.column}"), sql.name(f"{b.method} outliers in {b.column}")
         observed = sql.rate(outside, checked)
         if b.method == "iqr":
+            extreme = {}
             described = {
-                "q1": b.center,
-                "q3": b.center + b.scale,
-                "iqr": b.scale,
-                "lower_bound": b.lower,
-                "upper_bound": b.upper,
+                "q1": sql.double(b.center),
+                "q3": sql.double(b.center + b.scale),
+                "iqr": sql.double(b.scale),
+                "lower_bound": sql.double(b.lower),
+                "upper_bound": sql.double(b.upper),
             }
         else:
-            described = {"max_abs_z": b.max_deviation}
+            extreme = {f"max {b.method} of {b.column}": f"max({b.severity()})"}
+            described = {"max_abs_z": sql.name(f"max {b.method} of {b.column}")}
         found.append(
             Check(
                 dimension=b.dimension,
@@ -151,11 +137,12 @@ def outlier_checks(bounds: Sequence[Bounds]) -> list[Check]:
                 metrics={
                     f"values of {b.column}": f"count({sql.name(b.column)})",
                     f"{b.method} outliers in {b.column}": sql.count_true(b.exceeds()),
+                    **extreme,
                 },
                 fields={
                     "column": sql.string(b.column),
                     "method": sql.string(b.method),
-                    **{name: sql.double(value) for name, value in described.items()},
+                    **described,
                     "values_checked": checked,
                     "outlier_count": outside,
                     "outlier_rate": observed,

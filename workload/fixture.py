@@ -7,7 +7,7 @@ The frames read Parquet lazily; nothing is cached or collected.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,16 +88,32 @@ class Tables:
 
     spark: SparkSession
     folder: str
+    _frames: dict[str, DataFrame] = field(default_factory=dict)
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A supplied table; its files are listed once per query, its data is read when the query runs."""
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._frames[name]
+
+    def _line_items(self) -> DataFrame:
+        """Line items; a file of fewer splits than there are cores is spread, as it would occupy few of them.
+
+        A table of cluster size has many splits per core and is read as it lies, without this shuffle.
+        """
+        if "spread lineitem" not in self._frames:
+            items, cores = self.read("lineitem"), self.spark.sparkContext.defaultParallelism
+            if items.rdd.getNumPartitions() < cores:
+                items = items.repartition(cores, "l_orderkey", "l_linenumber", "l_partkey")
+            self._frames["spread lineitem"] = items
+        return self._frames["spread lineitem"]
 
     def _base(self) -> DataFrame:
         """Line items joined to their order, customer and part; sides Spark finds small are broadcast by its own rule."""
         places = self.read("nation").join(self.read("region"), F.expr("n_regionkey = r_regionkey"))
         customers = self.read("customer").join(places, F.expr("c_nationkey = n_nationkey"))
         joined = (
-            self.read("lineitem")
+            self._line_items()
             .join(self.read("orders"), F.expr("l_orderkey = o_orderkey"))
             .join(customers, F.expr("o_custkey = c_custkey"))
             .join(self.read("part"), F.expr("l_partkey = p_partkey"))
