@@ -89,11 +89,11 @@ def sample_skewness(n: str, population: str) -> str:
     """Bias-corrected skewness from the population one; 0 up to three values or without spread."""
     n = f"CAST({n} AS DOUBLE)"
     corrected = f"{population} * sqrt({n} * ({n} - 1)) / ({n} - 2)"
-    return f"(CASE WHEN {n} > 3 AND NOT isnan({population}) THEN {corrected} ELSE 0D END)"
+    return f"(CASE WHEN {n} > 3 AND {population} IS NOT NULL AND NOT isnan({population}) THEN {corrected} ELSE 0D END)"
 
 
 def sample_kurtosis(n: str, population: str) -> str:
     """Bias-corrected excess kurtosis from the population one; 0 up to three values or without spread."""
     n = f"CAST({n} AS DOUBLE)"
     corrected = f"({n} - 1) / (({n} - 2) * ({n} - 3)) * (({n} + 1) * {population} + 6)"
-    return f"(CASE WHEN {n} > 3 AND NOT isnan({population}) THEN {corrected} ELSE 0D END)"
+    return f"(CASE WHEN {n} > 3 AND {population} IS NOT NULL AND NOT isnan({population}) THEN {corrected} ELSE 0D END)"
