@@ -28,10 +28,15 @@ def row_width(df: DataFrame) -> int | None:
 
 
 def row_digest(df: DataFrame, columns: Sequence[str]) -> str:
-    """SHA-256 over an unambiguous encoding of the columns (length-prefixed text, '-' for null): 32 bytes."""
+    """SHA-256 over an unambiguous encoding of the columns: 32 bytes.
+
+    Each cell ends in '|' and a null is '-'. Text that may itself hold these carries its length in front.
+    """
     types = {f.name: f.dataType for f in df.schema.fields}
     cells = []
     for column in columns:
         text = as_text(types[column], column)
-        cells.append(f"coalesce(concat(CAST(length({text}) AS STRING), ':', {text}), '-')")
+        if width_of(types[column]) is None:
+            text = f"concat(CAST(octet_length({text}) AS STRING), ':', {text})"
+        cells.append(f"coalesce({text}, '-'), '|'")
     return f"unhex(sha2(concat({', '.join(cells)}), 256))"

@@ -26,8 +26,8 @@ DIMENSIONS = ("completeness", "uniqueness", "validity", "consistency", "timeline
 class Check:
     """One check, in SQL text.
 
-    ``metrics`` are aggregates over the table; ``fields``, ``passed``, ``score``, ``basis`` and ``present`` refer to
-    them by name. ``basis`` is what the dimension's overall check averages (default the score); ``present`` drops the
+    ``inputs`` are row expressions worth computing once, added to the table; ``metrics`` are aggregates over it;
+    ``fields``, ``passed``, ``score``, ``basis`` and ``present`` refer to the metrics by name. ``basis`` is what the dimension's overall check averages (default the score); ``present`` drops the
     check at run time, for example when a column holds no values. ``derived`` columns join the metrics after the
     aggregation.
     """
@@ -42,6 +42,7 @@ class Check:
     present: str
     column: str | None = None
     basis: str | None = None
+    inputs: Mapping[str, str] = field(default_factory=dict)
     derived: Mapping[str, Column] = field(default_factory=dict)
 
     def result(self) -> dict[str, str]:
@@ -70,6 +71,9 @@ def aggregated(df: DataFrame, metrics: Mapping[str, str]) -> DataFrame:
 
 def measure(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """One row holding every metric of the checks, then the values derived from them."""
+    inputs = {name: expression for check in checks for name, expression in check.inputs.items()}
+    if inputs:
+        df = df.selectExpr("*", *[sql.alias(expression, name) for name, expression in inputs.items()])
     row = aggregated(df, {name: e for check in checks for name, e in check.metrics.items()})
     derived = {name: column for check in checks for name, column in check.derived.items()}
     return row.withColumns(derived) if derived else row

@@ -16,7 +16,7 @@ def freshness_checks(df: DataFrame, limits: Thresholds, roles: Roles, as_of=None
     column = roles.event_time
     if not has(df, column):
         return []
-    parsed = as_timestamp(df, column, roles.time_formats)
+    parsed = sql.name(f"time of {column}")
     latest, dated = sql.name(f"latest {column}"), sql.name(f"dated {column}")
     hours = f"((unix_micros({sql.timestamp(as_of)}) - unix_micros({latest})) / 3600e6D)"
     limit = float(limits.max_age_hours)
@@ -25,6 +25,7 @@ def freshness_checks(df: DataFrame, limits: Thresholds, roles: Roles, as_of=None
             dimension="timeliness",
             name="data_freshness",
             column=column,
+            inputs={f"time of {column}": as_timestamp(df, column, roles.time_formats)},
             metrics={f"latest {column}": f"max({parsed})", f"dated {column}": f"count({parsed})"},
             fields={"column": sql.string(column), "most_recent_record": latest, "hours_since_update": hours},
             passed=f"{hours} <= {sql.double(limit)}",
@@ -40,7 +41,7 @@ def recency_checks(df: DataFrame, limits: Thresholds, roles: Roles, as_of=None)
     column = roles.event_time
     if not has(df, column):
         return []
-    parsed = as_timestamp(df, column, roles.time_formats)
+    parsed = sql.name(f"time of {column}")
     cutoff = f"{sql.timestamp(as_of)} - INTERVAL {RECENT_DAYS} DAYS"
     earliest, latest, dated, recent = (sql.name(f"{p} {column}") for p in ("earliest", "latest", "dated", "recent"))
     ratio = sql.rate(recent, dated)
@@ -49,6 +50,7 @@ def recency_checks(df: DataFrame, limits: Thresholds, roles: Roles, as_of=None)
             dimension="timeliness",
             name="recent_data_ratio",
             column=column,
+            inputs={f"time of {column}": as_timestamp(df, column, roles.time_formats)},
             metrics={
                 f"dated {column}": f"count({parsed})",
                 f"recent {column}": sql.count_true(f"{parsed} >= {cutoff}"),

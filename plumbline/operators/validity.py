@@ -53,7 +53,7 @@ def future_date_checks(df: DataFrame, limits: Thresholds, roles: Roles, as_of=No
     column = roles.event_time
     if not has(df, column):
         return []
-    parsed = as_timestamp(df, column, roles.time_formats)
+    parsed = sql.name(f"time of {column}")
     limit = float(limits.max_future_rate)
     future, failures = sql.name(f"future in {column}"), sql.name(f"unparsed in {column}")
     observed = sql.rate(future, "rows")
@@ -63,6 +63,7 @@ def future_date_checks(df: DataFrame, limits: Thresholds, roles: Roles, as_of=No
             dimension="validity",
             name="future_dates",
             column=column,
+            inputs={f"time of {column}": as_timestamp(df, column, roles.time_formats)},
             metrics={
                 "rows": "count(*)",
                 f"future in {column}": sql.count_true(f"{parsed} > {sql.timestamp(as_of)}"),

@@ -35,6 +35,12 @@ def test_base_profile(table):
     assert found["category"]["distinct_count"] == 4
 
 
+def test_long_texts_are_told_apart(spark):
+    df = spark.range(60).selectExpr("concat(repeat('x', 500), CAST(id % 20 AS STRING)) AS text", "repeat('y', CAST(id AS INT)) AS any")
+    found = by(profile.base_profile(df), "column")
+    assert (found["text"]["distinct_count"], found["any"]["distinct_count"]) == (20, 60)
+
+
 def test_approximate_profile_is_close(table):
     exact, approx = by(profile.base_profile(table), "column"), by(profile.base_profile(table, "approx"), "column")
     for name, row in exact.items():
