@@ -53,4 +53,4 @@ def run(
         )
         report = report.drop("_merged")
     history.append(report, f"{path}/history", "full" if anomaly is not None else "validate_only")
-    return Audit(stored, report, alerts.alerts(stored, report, drift_events, rules, limits))
+    return Audit(stored, report, alerts.alerts(report, drift_events, rules, limits))

@@ -111,19 +111,19 @@ def test_recent_keeps_the_newest_or_the_oldest(spark):
 def test_alert_rules(spark, sample):
     report = scoring.report(sample)
     events = spark.sql("SELECT * FROM VALUES ('m'), ('m'), ('k') AS t(metric)")
-    fired = alerts.alerts(sample, report, events, {"any_failures": True}, Thresholds(critical=0.9)).collect()
+    fired = alerts.alerts(report, events, {"any_failures": True}, Thresholds(critical=0.9)).collect()
     assert sorted((r["type"], r["metric"], r["event_count"]) for r in fired if r["metric"]) == [("drift_events", "k", 1), ("drift_events", "m", 2)]
     assert {r["type"]: r["event_count"] for r in fired if not r["metric"]} == {"critical_score": None, "any_failures": 1}
 
 
 def test_daily_summary_only_when_quiet(spark, sample):
     report = scoring.report(sample)
-    quiet = alerts.alerts(sample, report, None, limits=Thresholds(critical=0.0)).collect()
+    quiet = alerts.alerts(report, None, limits=Thresholds(critical=0.0)).collect()
     assert [r["type"] for r in quiet] == ["daily_summary"]
-    assert alerts.alerts(sample, report, None, {"daily_summary": False}, Thresholds(critical=0.0)).count() == 0
+    assert alerts.alerts(report, None, {"daily_summary": False}, Thresholds(critical=0.0)).count() == 0
     nothing_else = {"critical_score": False, "drift_events": False}
-    assert alerts.alerts(sample, report, None, nothing_else).count() == 1
-    assert alerts.alerts(sample, report, None, {**nothing_else, "daily_summary": False}).count() == 0
+    assert alerts.alerts(report, None, nothing_else).count() == 1
+    assert alerts.alerts(report, None, {**nothing_else, "daily_summary": False}).count() == 0
 
 
 def test_rule_switches():

@@ -542,19 +542,15 @@ def _history_series(t: Tables) -> DataFrame:
 
 @_query("alert_rules")
 def _alert_rules(t: Tables) -> DataFrame:
-    checks = _quality(t)
-    report = scoring.report(checks, LIMITS)
-    fired = alerts.alerts(
-        checks, report, drift.drift_events(_series(t)), {"any_failures": True}, LIMITS.with_(critical=0.99)
-    )
-    return comparable(fired)
+    report = scoring.report(_quality(t), LIMITS)
+    rules, limits = {"any_failures": True}, LIMITS.with_(critical=0.99)
+    return comparable(alerts.alerts(report, drift.drift_events(_series(t)), rules, limits))
 
 
 @_query("alert_daily_summary")
 def _alert_daily_summary(t: Tables) -> DataFrame:
-    checks = _quality(t)
-    report = scoring.report(checks, LIMITS)
-    return comparable(alerts.alerts(checks, report, None, {}, LIMITS.with_(critical=0.0)))
+    report = scoring.report(_quality(t), LIMITS)
+    return comparable(alerts.alerts(report, None, {}, LIMITS.with_(critical=0.0)))
 
 
 # Report queries
