@@ -27,9 +27,9 @@ class Check:
     """One check, in SQL text.
 
     ``inputs`` are row expressions worth computing once, added to the table; ``metrics`` are aggregates over it;
-    ``fields``, ``passed``, ``score``, ``basis`` and ``present`` refer to the metrics by name. ``basis`` is what the dimension's overall check averages (default the score); ``present`` drops the
-    check at run time, for example when a column holds no values. ``derived`` columns join the metrics after the
-    aggregation.
+    ``fields``, ``passed``, ``score``, ``basis`` and ``present`` refer to the metrics by name. ``basis`` is what the
+    dimension's overall check averages (default the score); ``present`` drops the check at run time, for example when a
+    column holds no values. ``derived`` columns join the metrics after the aggregation.
     """
 
     dimension: str

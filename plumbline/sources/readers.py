@@ -74,7 +74,10 @@ def jdbc_options(
     """
     if (table is None) == (query is None):
         raise ValueError("give either a table or a query")
-    options = {"url": f"jdbc:postgresql://{host}:{port}/{database}?currentSchema={schema}", "driver": "org.postgresql.Driver"}
+    options = {
+        "url": f"jdbc:postgresql://{host}:{port}/{database}?currentSchema={schema}",
+        "driver": "org.postgresql.Driver",
+    }
     if user is not None:
         options["user"] = user
     if password is not None:

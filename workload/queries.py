@@ -516,7 +516,8 @@ def score_history(t: Tables) -> DataFrame:
 @_query("history_load")
 def _history_load(t: Tables) -> DataFrame:
     loaded = history.recent(score_history(t), AS_OF, days=30, limit=20)
-    return comparable(loaded.withColumn("completeness", F.col("dimension_scores")["completeness"]).drop("dimension_scores", "run_date"))
+    named = loaded.selectExpr("*", "dimension_scores['completeness'] AS completeness")
+    return comparable(named.drop("dimension_scores", "run_date"))
 
 
 @_query("history_load_oldest")
