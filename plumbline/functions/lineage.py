@@ -1,17 +1,20 @@
-"""Storing small intermediate frames so that they are computed once and survive the loss of executors."""
+"""Storing intermediate frames so that they are computed once and survive the loss of executors."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; only where none is named is a local one set, as in tests on one machine."""
+    """The session's checkpoint folder. Only a session on one machine that names none gets a local one, as in tests."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="plumbline-checkpoint-"))
     return context.getCheckpointDir()
 
@@ -20,3 +23,11 @@ def stored(df: DataFrame) -> DataFrame:
     """``df`` computed now and kept in the checkpoint folder; later reads do not repeat its plan."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` computed now and kept as Parquet in the checkpoint folder: compressed, and read by column."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

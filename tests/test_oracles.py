@@ -5,10 +5,10 @@ from __future__ import annotations
 import pytest
 from compare import connect, difference
 
-import __spark_entry__ as contract
+from workload import oracles, queries
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = queries.queries()
+ORACLES = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
