@@ -7,10 +7,10 @@ _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 _OP1 = f"""
 WITH words AS (SELECT doc_id, {_WORDS} AS w FROM documents),
-starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS at FROM words WHERE len(w) >= 13),
-windows AS (SELECT doc_id, at, array_to_string(w[at:at + 12], ' ') AS s FROM starts),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM words WHERE len(w) >= 13),
+windows AS (SELECT doc_id, p, array_to_string(w[p:p + 12], ' ') AS s FROM starts),
 least AS (SELECT s, min(doc_id) AS first FROM windows GROUP BY s HAVING count(DISTINCT doc_id) > 1),
-gone AS (SELECT DISTINCT doc_id, unnest(range(at, at + 13)) AS i FROM windows JOIN least USING (s) WHERE doc_id > first),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS i FROM windows JOIN least USING (s) WHERE doc_id > first),
 flags AS (SELECT doc_id, list(i) AS dead FROM gone GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(dead), 0)::BIGINT AS n_removed,
        sha256(array_to_string(CASE WHEN dead IS NULL THEN w ELSE
@@ -20,5 +20,39 @@ FROM words LEFT JOIN flags USING (doc_id)
 """
 
 
+_OP7 = f"""
+WITH RECURSIVE texts AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+words AS (SELECT doc_id, {_WORDS} AS w FROM texts),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+           ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+    FROM words),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+common AS (SELECT doc_id, n, g FROM shingles WHERE g IN (SELECT g FROM shingles GROUP BY g HAVING count(*) > 1)),
+likely AS (SELECT doc_id FROM common GROUP BY doc_id, n HAVING 100 * count(*) >= 80 * n),
+kept AS (SELECT * FROM common SEMI JOIN likely USING (doc_id)),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM kept a JOIN kept b ON a.g = b.g AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reached(node, root) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION SELECT links.b, reached.root FROM reached JOIN links ON reached.node = links.a AND links.b > reached.root)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, first)::BIGINT AS component_id
+FROM sets JOIN (SELECT node, min(root) AS first FROM reached GROUP BY node) ON node = doc_id
+"""
+
+_OP8 = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scores QUALIFY rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": _OP1}
+    return {"op1_substring_dedup": _OP1, "op7_jaccard_join": _OP7, "op8_exact_top_k": _OP8}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import substrings
+from plumbline.llm import decontaminate, jaccard, substrings, tokenids, toxicity, vafile
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +19,41 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def held_out(doc_id: str = "doc_id"):
+    """Documents whose labels are kept for judging the scores."""
+    return F.crc32(F.col(doc_id).cast("string")) % 3 == 1
+
+
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    model = toxicity.train(documents, table(spark, folder, "labels"), ~held_out())
+    scores = toxicity.toxicity_scores(documents, model)
+    return scores.select("doc_id", held_out().alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"), "restored")
+
+
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.link_components(table(spark, folder, "documents"), width=5, percent=80)
+
+
+def op8_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    found = vafile.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op9_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return tokenids.round_trip(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
