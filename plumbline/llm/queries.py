@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontaminate, jaccard, substrings, tokenids, toxicity, vafile
+from plumbline.llm import decontaminate, htmltext, jaccard, sanitise, sentencepieces, substrings, tokenids, toolcalls, toxicity, vafile
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +19,12 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    texts = htmltext.extract(pages, htmltext.train(pages))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def held_out(doc_id: str = "doc_id"):
     """Documents whose labels are kept for judging the scores."""
     return F.crc32(F.col(doc_id).cast("string")) % 3 == 1
@@ -35,6 +41,22 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
+    spans = sanitise.personal_spans(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "term")
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in sanitise.PATTERNS]
+    return spans.select("doc_id", *counts, F.sha2(sanitise.listed(base), 256).alias("base_sha256"), sanitise.listed(F.col("spans")).alias("spans"))
+
+
+def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document the number of ids, a hash of them, and whether decoding gives the text back."""
+    path = tokenizer_path("piece_bpe_32k.model")
+    encoded = sentencepieces.encode(table(spark, folder, "documents").select("doc_id", "text"), path)
+    decoded = sentencepieces.decode(encoded, path)
+    same = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"), same.alias("round_trip"))
+
+
 def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.link_components(table(spark, folder, "documents"), width=5, percent=80)
 
@@ -54,6 +76,31 @@ def op9_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokenids.round_trip(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=0)
 
 
+#: What the tools of the derived conversations take.
+TOOLS = {
+    "search": {"properties": {"text": {"type": "string"}, "length": {"type": "integer"}, "after": {"type": "string"}}, "required": ["text", "length"]},
+    "lookup": {"properties": {"text": {"type": "string"}, "after": {"type": "string"}}, "required": ["text"]},
+}
+
+
+def tool_messages(conversations: DataFrame) -> DataFrame:
+    """Conversations as chats with tools: a user's turn becomes a call, which refers to the call two turns before, and an
+    assistant's turn the result of the call one turn before."""
+    name = F.when(F.col("turn") % 4 < 2, "search").otherwise("lookup")
+    before = F.when(F.col("turn") >= 2, F.struct(F.concat(F.lit("c"), F.col("turn") - 2).alias("$ref")))
+    arguments = F.struct("text", F.length("text").alias("length"), before.alias("after"))
+    call = F.to_json(F.struct(F.array(F.struct(F.concat(F.lit("c"), "turn").alias("id"), name.alias("name"), arguments.alias("arguments"))).alias("tool_calls")))
+    result = F.to_json(F.struct(F.concat(F.lit("c"), F.col("turn") - 1).alias("tool_call_id"), F.col("text").alias("content")))
+    role = F.when(F.col("role") == "user", "assistant").when(F.col("role") == "assistant", "tool").otherwise(F.col("role"))
+    text = F.when(F.col("role") == "user", call).when(F.col("role") == "assistant", result).otherwise(F.col("text"))
+    return conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"))
+
+
+def op10_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
+    linked = toolcalls.link(tool_messages(table(spark, folder, "conversations")), TOOLS)
+    return linked.select("conv_id", "call_id", "name", "level", "turn", "result_turn", "status", F.sha2("line", 256).alias("line_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 

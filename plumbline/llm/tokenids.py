@@ -29,10 +29,10 @@ from plumbline.llm.eliasfano import EliasFano, encode
 
 MAGIC = b"PLIDS1\0\0"
 _HEAD = np.dtype([("magic", "S8"), ("partition", "<u4"), ("number", "<u4"), ("nameless", "<u8"), ("before", "<u8"), ("ids", "<u8"), ("width", "u1"), ("pad", "S7")])
-FILE_IDS = 4 << 20
-PARTITION_BYTES = 24 << 20
-SLICE_BYTES = 8 << 20
-CACHE = 300_000
+FILE_IDS = 2 << 20
+PARTITION_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
+CACHE = 200_000
 #: White space as the tokenizer's pattern sees it, for RE2.
 _SPACE = r"[\t\n\x0b\f\r \x{85}\p{Z}]"
 
@@ -206,7 +206,7 @@ def write_token_files(documents: DataFrame, folder: str, tokenizer_path: str, en
 
     folder is a URI that all executors reach. Returns the number of ids in each partition, in order; what is gathered is
     one number per partition. A null text is empty; rows without an identifier come first; rows that repeat an identifier
-    are ordered by text. Other columns are ignored.
+    are ordered by a hash of their text. Other columns are ignored.
     """
     from pyarrow import fs
 
@@ -214,8 +214,10 @@ def write_token_files(documents: DataFrame, folder: str, tokenizer_path: str, en
     store.create_dir(base, recursive=True)
     rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    dealt = rows.repartitionByRange(max(1, math.ceil(total / PARTITION_BYTES)), "doc_id", "text").sortWithinPartitions("doc_id", "text")
-    done = dealt.mapInArrow(_write(folder, tokenizer_path, end_id), "partition int, files int, ids long").collect()
+    # the ranges come from a sample that reaches the driver, so they are of numbers, not of texts
+    order = ["doc_id", "turn"]
+    dealt = rows.withColumn("turn", F.xxhash64("text")).repartitionByRange(max(1, math.ceil(total / PARTITION_BYTES)), *order).sortWithinPartitions(*order)
+    done = dealt.select("doc_id", "text").mapInArrow(_write(folder, tokenizer_path, end_id), "partition int, files int, ids long").collect()
     return [r["ids"] for r in sorted(done, key=lambda r: r["partition"])]
 
 
