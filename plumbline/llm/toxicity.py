@@ -83,7 +83,8 @@ def log_probabilities(counts: np.ndarray, weight: float = 5.0) -> np.ndarray:
 
 def decode(word: str, logp: list) -> str:
     """The most likely letters behind an observed word, by Viterbi over the lattice of readings of each character."""
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    # for the last two classes: the best path's score, and its letters as a chain from the last one back
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     before = ""
     for c in word:
         kind = CLASS.get(c, OTHER if c.isalpha() else 0)
@@ -91,16 +92,20 @@ def decode(word: str, logp: list) -> str:
         for letter in LEET.get(c, ""):
             readings.append((CLASS[letter], letter, SUBSTITUTED))
         gone = min(SEPARATED if c in SEPARATORS else math.inf, REPEATED if c == before else math.inf)
-        following: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, text) in states.items():
+        following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (a, b), (score, chain) in states.items():
             for k, letter, cost in readings:
                 new = score - cost + logp[a][b][k]
                 if new > following.get((b, k), (-math.inf,))[0]:
-                    following[b, k] = (new, text + letter)
+                    following[b, k] = (new, (chain, letter))
             if gone < math.inf and score - gone > following.get((a, b), (-math.inf,))[0]:
-                following[a, b] = (score - gone, text)
+                following[a, b] = (score - gone, chain)
         states, before = following, c
-    return max(((score + logp[a][b][0], text) for (a, b), (score, text) in states.items()), default=(0, ""))[1]
+    (_, chain), letters = states[max(states, key=lambda s: states[s][0] + logp[s[0]][s[1]][0])], []
+    while chain:
+        chain, letter = chain
+        letters.append(letter)
+    return "".join(reversed(letters))
 
 
 def suspicious(word: str) -> bool:
@@ -194,12 +199,14 @@ def lower_bound(hits: np.ndarray, total: np.ndarray, z: float = 2.0) -> np.ndarr
 
 
 def _strongest(reader: _Reader, strength: dict[str, float], texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list]:
-    """For each text: the strongest word, how many different words have a strength over one half, and what was restored."""
+    """For each text: the strongest word, how many features have a strength over one half, and what was restored."""
     words, index, offsets = reader.words(texts)
-    value, changed = np.zeros(len(words)), {}
+    value, changed, strong = np.zeros(len(words)), {}, {}
     for k, w in enumerate(words):
         forms = reader.forms(w)
-        value[k] = max((strength.get(f, 0.0) for form in forms for f in features(form)), default=0.0)
+        known = {f: strength[f] for form in forms for f in features(form) if f in strength}
+        if known:
+            value[k], strong[k] = max(known.values()), [f for f, v in known.items() if v > 0.5]
         if len(forms) > 1 and value[k] > 0:
             changed[k] = {"observed": w, "restored": forms[-1]}
     best, many = np.zeros(len(texts)), np.zeros(len(texts))
@@ -208,7 +215,8 @@ def _strongest(reader: _Reader, strength: dict[str, float], texts: pa.Array) ->
     for t in np.unique(np.searchsorted(offsets, np.flatnonzero(own > 0), side="right") - 1):
         part = index[offsets[t] : offsets[t + 1]]
         distinct = np.unique(part[own[offsets[t] : offsets[t + 1]] > 0])
-        best[t], many[t] = value[distinct].max(), (value[distinct] > 0.5).sum()
+        best[t] = value[distinct].max()
+        many[t] = len({f for k in distinct.tolist() for f in strong[k]})
         restored[t] = [changed[k] for k in distinct.tolist() if k in changed]
     return best, many, restored
 
@@ -217,7 +225,7 @@ def _inputs(best: np.ndarray, many: np.ndarray) -> np.ndarray:
     return np.stack([np.ones(len(best)), best, np.log1p(many)], axis=1)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
     """Newton's steps for a logistic curve with a ridge on all but the constant."""
     w = np.zeros(x.shape[1])
     penalty = ridge * np.diag([0.0, *[1.0] * (x.shape[1] - 1)])
@@ -227,37 +235,43 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
-def train(documents: DataFrame, labels: DataFrame, usable: Column, train_rows: int = 20_000, least: int = 4, most_features: int = 50_000) -> Model:
-    """Fit on at most ``train_rows`` labelled documents that satisfy ``usable``; three quarters count words, one fits the curve.
+def train(documents: DataFrame, labels: DataFrame, usable: Column, train_rows: int = 20_000, least: int = 3, most_features: int = 50_000) -> Model:
+    """Fit on at most ``train_rows`` labelled documents that satisfy ``usable``.
 
-    A feature needs ``least`` toxic documents; the ``most_features`` strongest are kept. Labels that are null are
+    The curve is fitted on the same documents, each measured by the counts of all others. A feature needs ``least`` toxic documents; the ``most_features`` strongest are kept. Labels that are null are
     ignored; of several labels of a document the highest counts. Without labels of both kinds every score is one half.
     """
     logp = log_probabilities(trigram_counts(documents))
     labels = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(usable).groupBy("doc_id").agg(F.max("toxic").alias("y"))
     labels = labels.withColumn("turn", F.xxhash64("doc_id")).orderBy("turn", "doc_id").limit(train_rows)
-    rows = documents.select("doc_id", "text").join(F.broadcast(labels), "doc_id").select("text", "y", "turn")
-    counted, fitted = rows.where("turn % 4 <> 0"), rows.where("turn % 4 = 0")
+    rows = documents.select("doc_id", "text").join(F.broadcast(labels), "doc_id").select("text", "y")
     totals = {r["y"]: r["n"] for r in labels.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not totals.get(0) or not totals.get(1):
         return Model(logp, {}, (0.0, 0.0, 0.0))
     grouped = lambda part, wanted: part.mapInArrow(_counts(logp, wanted), "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
-    toxic = grouped(counted.where("y = 1").select("text"), None).where(F.col("n") >= least)
+    toxic = grouped(rows.where("y = 1").select("text"), None).where(F.col("n") >= least)
     hits = {r["feature"]: r["n"] for r in toxic.orderBy(F.desc("n"), "feature").limit(4 * most_features).collect()}
-    misses = {r["feature"]: r["n"] for r in grouped(counted.where("y = 0").select("text"), hits).collect()}
+    misses = {r["feature"]: r["n"] for r in grouped(rows.where("y = 0").select("text"), hits).collect()}
     names = sorted(hits)
     ones = np.array([hits[f] for f in names], float)
     bounds = lower_bound(ones, ones + np.array([misses.get(f, 0) for f in names], float)) if names else ones
     keep = [k for k in np.argsort(-bounds, kind="stable")[:most_features] if bounds[k] > 2 * totals[1] / sum(totals.values())]
     strength = {names[k]: float(bounds[k]) for k in keep}
+    held = {names[k]: (hits[names[k]], misses.get(names[k], 0)) for k in keep}
 
     def measure(batches):
         reader = _Reader(logp)
         for batch in batches:
-            best, many, _ = _strongest(reader, strength, batch["text"])
+            best, many = np.zeros(batch.num_rows), np.zeros(batch.num_rows)
+            for k, (found, y) in enumerate(zip(_per_text(reader, batch["text"], held), batch["y"].to_pylist(), strict=True)):
+                counts = np.array([held[f] for f in found], float).reshape(-1, 2) - [y, 1 - y]
+                counts = counts[counts[:, 0] >= least]
+                if len(counts):
+                    own = lower_bound(counts[:, 0], counts.sum(1))
+                    best[k], many[k] = own.max(), (own > 0.5).sum()
             yield pa.RecordBatch.from_arrays([pa.array(best), pa.array(many), batch["y"].cast(pa.float64())], names=["best", "many", "y"])
 
-    seen = fitted.select("text", F.col("y").cast("double").alias("y")).mapInArrow(measure, "best double, many double, y double").toPandas()
+    seen = rows.select("text", F.col("y").cast("double").alias("y")).mapInArrow(measure, "best double, many double, y double").toPandas()
     weights = _logistic(_inputs(seen["best"].to_numpy(), seen["many"].to_numpy()), seen["y"].to_numpy()) if len(seen) else np.zeros(3)
     return Model(logp, strength, tuple(weights.tolist()))
 
