@@ -30,8 +30,10 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return handed.where("a < b").distinct()
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node is either a centre or the end of one edge."""
+    once = edges.groupBy("b").agg(F.count("*").alias("n"), F.first("a").alias("a"))
+    return once.where("n > 1").isEmpty() and once.select("a").join(once.select(F.col("b").alias("a")), "a", "left_semi").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -41,10 +43,6 @@ def components(edges: DataFrame) -> DataFrame:
     """
     edges = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("a").isNull().alias("x"), F.col("b").isNull().alias("y"))
     edges = written(edges.where("NOT x AND NOT y AND a < b").select("a", "b").distinct(), "edges")
-    mark = _mark(edges)
-    while mark[0]:
+    while not _are_stars(edges):
         edges = written(_star(_star(edges, large=True), large=False), "edges")
-        mark, before = _mark(edges), mark
-        if mark == before:
-            break
     return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).union(edges.select(F.col("a").alias("node"), F.col("a").alias("component"))).distinct()

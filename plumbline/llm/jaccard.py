@@ -31,7 +31,8 @@ from plumbline.llm import cells
 from plumbline.llm.components import components
 
 SETS = "doc_id long, n_shingles long, digest binary, shared binary"
-LEADERS = ("min(rep)", "max(rep)", "min_by(rep, hash(rep))", "max_by(rep, hash(rep))")
+#: Which members lead, round by round.
+LEADERS = (("min({0})",), ("max({0})", "min_by({0}, hash(rep))"))
 FRAGMENTS = 8
 
 
@@ -165,8 +166,25 @@ def shingle_sets(documents: DataFrame, width: int = 5, percent: int = 80, id_col
     return dealt.groupBy("chunk").cogroup(flags.groupBy("chunk")).applyInArrow(_keep(width, buckets, percent), SETS)
 
 
-def class_links(sets: DataFrame, percent: int = 80, fragments: int = FRAGMENTS) -> DataFrame:
-    """(a, b), representatives of different classes that link: enough of them to connect all that are connected."""
+def _led(postings: DataFrame, leaders: tuple[str, ...]) -> DataFrame:
+    """Pairs of members of a posting list with its leaders, if they lie in different components."""
+    member = "struct(rep, n, component)"
+    chosen = [F.expr(x.format(member)) for x in leaders]
+    split = postings.groupBy("h").agg(F.array_distinct(F.array(*chosen)).alias("leads"), F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
+    met = postings.join(split.select("h", "leads"), "h").select("rep", "n", "component", F.explode("leads").alias("lead")).where("component <> lead.component")
+    return met.select(F.least("rep", "lead.rep").alias("a"), F.greatest("rep", "lead.rep").alias("b"), F.least("n", "lead.n").alias("s"), F.greatest("n", "lead.n").alias("l"))
+
+
+def _remaining(postings: DataFrame) -> DataFrame:
+    """All pairs of members of a posting list that lie in different components."""
+    split = postings.groupBy("h").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
+    rest = postings.join(split.select("h"), "h")
+    one, other = (rest.select("h", F.col("rep").alias(r), F.col("n").alias(f"n{r}"), F.col("component").alias(f"c{r}")) for r in "ab")
+    return one.join(other, "h").where("a < b AND ca <> cb").select("a", "b", F.least("na", "nb").alias("s"), F.greatest("na", "nb").alias("l"))
+
+
+def class_components(sets: DataFrame, percent: int = 80, fragments: int = FRAGMENTS) -> DataFrame:
+    """(rep, component) of the representatives of classes that may link: the smallest representative they reach."""
     held = sets.where("shared IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("shared").alias("shared"))
     held = written(held.select("rep", "n", "shared"), "classes")
     tokens = held.mapInArrow(_tokens, "rep long, n long, h long")
@@ -178,28 +196,17 @@ def class_links(sets: DataFrame, percent: int = 80, fragments: int = FRAGMENTS)
     lengths = held.select("rep", "n")
     segments = held.mapInArrow(_segments(fragments), "rep long, fragment int, segment binary")
     label = lengths.select("rep", F.col("rep").alias("component"))
-    links = None
-    for leader in (*LEADERS, None):
+    for leaders in (*LEADERS, None):
         open_ = postings.join(label, "rep")
-        split = open_.groupBy("h").agg(F.expr(leader or "min(rep)").alias("lead"), F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-        if leader:
-            lead = split.join(open_.select("h", F.col("rep").alias("lead"), F.col("n").alias("lead_n"), F.col("component").alias("lead_component")), ["h", "lead"])
-            pairs = open_.join(lead, "h").where("component <> lead_component").select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b"), F.least("n", "lead_n").alias("s"), F.greatest("n", "lead_n").alias("l"))
-        else:
-            rest = open_.join(split.select("h"), "h")
-            one, other = (rest.select("h", F.col("rep").alias(r), F.col("n").alias(f"n{r}"), F.col("component").alias(f"c{r}")) for r in "ab")
-            pairs = one.join(other, "h").where("a < b AND ca <> cb").select("a", "b", F.least("na", "nb").alias("s"), F.greatest("na", "nb").alias("l"))
+        pairs = _led(open_, leaders) if leaders else _remaining(open_)
         pairs = written(pairs.where(f"100 * s >= {percent} * l").select("a", "b").distinct(), "pairs")
-        if pairs.isEmpty():
-            if leader:
-                continue
-            break
-        found = written(_linked(pairs, segments, lengths, percent), "links")
-        links = found if links is None else links.union(found)
-        if not found.isEmpty():
-            known = components(links).withColumnRenamed("node", "rep")
-            label = written(lengths.select("rep").join(known, "rep", "left").select("rep", F.coalesce("component", "rep").alias("component")), "labels")
-    return links if links is not None else lengths.select(F.col("rep").alias("a"), F.col("rep").alias("b")).where("false")
+        found = _linked(pairs, segments, lengths, percent)
+        # links join components, of which there are fewer than classes
+        found = found.join(label.select(F.col("rep").alias("a"), F.col("component").alias("ca")), "a").join(label.select(F.col("rep").alias("b"), F.col("component").alias("cb")), "b")
+        joined = components(found.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+        renamed = joined.select(F.col("node").alias("component"), F.col("component").alias("joined"))
+        label = written(label.join(renamed, "component", "left").select("rep", F.coalesce("joined", "component").alias("component")), "labels")
+    return label
 
 
 def link_components(documents: DataFrame, width: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -211,7 +218,6 @@ def link_components(documents: DataFrame, width: int = 5, percent: int = 80, id_
     """
     sets = written(shingle_sets(documents, width, percent, id_column, text_column), "sets")
     classes = sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    joined = components(class_links(sets, percent)).withColumnRenamed("node", "rep")
-    classes = classes.join(joined, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
+    classes = classes.join(class_components(sets, percent), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
     named = sets.select("doc_id", "n_shingles", F.when(F.expr("n_shingles > 0 AND doc_id IS NOT NULL"), F.col("digest")).alias("digest"))
     return named.join(classes, "digest", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

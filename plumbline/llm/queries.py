@@ -79,7 +79,7 @@ def op9_token_ids(spark: SparkSession, folder: str) -> DataFrame:
 #: What the tools of the derived conversations take.
 TOOLS = {
     "search": {"properties": {"text": {"type": "string"}, "length": {"type": "integer"}, "after": {"type": "string"}}, "required": ["text", "length"]},
-    "lookup": {"properties": {"text": {"type": "string"}, "after": {"type": "string"}}, "required": ["text"]},
+    "lookup": {"properties": {"text": {"type": "string"}, "length": {"type": "number"}, "after": {"type": "string"}}, "required": ["text", "after"]},
 }
 
 

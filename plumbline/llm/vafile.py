@@ -1,14 +1,16 @@
 """Exact top-k search by inner product with vector-approximation files.
 
 Vectors are dealt into blocks; each block keeps, beside its exact integer vectors, a cell number of a few bits per
-component. A task scans the cells of a block for upper bounds of a block of queries, then reads exact vectors in the order
-of their bounds until the k-th result is certain: no bound left reaches the k-th exact score. The best k of every block
-meet in one ranking per query. Query blocks hold thousands of queries, so that a vector block travels once for each.
+component. The blocks are written once. A task scans the cells of a block for upper bounds of a block of queries, then
+reads exact vectors in the order of their bounds until the k-th result is certain: no bound left reaches the k-th exact
+score. The best k of every block meet in one ranking per query. Query blocks have a fixed size and are sent to all tasks
+one after the other, so vectors are not shuffled again.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-QUERY_BLOCK = 8192
+from plumbline.functions.lineage import written
+
+#: Bytes of the exact vectors of a query block, and vectors of a block.
+QUERY_BYTES = 8 << 20
 VECTOR_BLOCK = 2048
 TILE = 256
 CELL_BITS = 5
@@ -126,13 +131,14 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str = "v
     chosen = vectors.select(F.col(id_column).cast("long").alias("vec_id"), scaled(embedding_column, scale).alias("v"), is_query.alias("asks"))
     chosen = chosen.where("vec_id IS NOT NULL AND v IS NOT NULL")
     chosen = chosen.groupBy("vec_id").agg(F.min("v").alias("v"), F.max("asks").alias("asks")).withColumn("dim", F.size("v"))
-    count = vectors.agg(F.count("*").alias("n"), F.count_if(is_query).alias("q")).first()
-    blocks, query_blocks = max(1, math.ceil(count["n"] / VECTOR_BLOCK)), max(1, math.ceil(count["q"] / QUERY_BLOCK))
+    count = vectors.agg(F.count("*").alias("n"), F.sum(F.when(is_query, 8 * F.size(embedding_column))).alias("q")).first()
+    blocks, query_blocks = max(1, math.ceil(count["n"] / VECTOR_BLOCK)), max(1, math.ceil((count["q"] or 0) / QUERY_BYTES))
     deal = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
     packed = chosen.withColumn("v_", deal(blocks)).groupBy("v_", "dim").applyInArrow(_pack("v", bits), PACKED.format("v"))
+    packed = written(packed, "va-file").select("dim", "v_ids", "v_exact", "v_cells", "v_edges")
     asked = chosen.where("asks").withColumn("q_", deal(query_blocks)).groupBy("q_", "dim").applyInArrow(_pack("q", None), PACKED.format("q"))
-    dealt = packed.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    met = dealt.repartition(blocks * query_blocks, "v", "q").join(asked.select("q", "dim", "q_ids", "q_exact"), ["q", "dim"])
-    found = met.select("dim", "q_ids", "q_exact", "v_ids", "v_exact", "v_cells", "v_edges").mapInArrow(_search(k), "query_id long, vec_id long, score long")
+    asked = written(asked, "queries").select("q", "dim", "q_ids", "q_exact")
+    met = [packed.join(F.broadcast(asked.where(F.col("q") == block)), "dim").mapInArrow(_search(k), "query_id long, vec_id long, score long") for block in range(query_blocks)]
+    found = reduce(DataFrame.union, met)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -33,7 +33,7 @@ def brute(rows, k, scale=64):
 def test_matches_full_scan(frame, monkeypatch, scale):
     random.seed(4)
     monkeypatch.setattr(vafile, "VECTOR_BLOCK", 60)
-    monkeypatch.setattr(vafile, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(vafile, "QUERY_BYTES", 200)
     rows = [(i, [random.gauss(0, 0.1) for _ in range(6)], 0, "x") for i in range(200)]
     rows += [(i, rows[3][1], 0, "x") for i in range(300, 420)]  # many ties
     rows += [(500, None, 0, ""), (520, [1.0, None], 0, ""), (540, [float("nan")] * 6, 0, ""), (560, [float("inf")] * 6, 0, "")]
