@@ -44,8 +44,11 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
     spans = sanitise.personal_spans(table(spark, folder, "documents"))
     base = F.filter("spans", lambda s: s["kind"] != "term")
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in sanitise.PATTERNS]
-    return spans.select("doc_id", *counts, F.sha2(sanitise.listed(base), 256).alias("base_sha256"), sanitise.listed(F.col("spans")).alias("spans"))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return spans.select("doc_id", *map(count, sanitise.PATTERNS), F.sha2(sanitise.listed(base), 256).alias("base_sha256"), sanitise.listed(F.col("spans")).alias("spans"))
 
 
 def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:

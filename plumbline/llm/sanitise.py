@@ -5,10 +5,10 @@ entity. A term is a word near a mention of an entity. The corpus tells how much
 
     disclosure(t, e) = PMI(t; e) / IC(e) = log(N c(t, e) / (df(t) df(e))) / log(N / df(e))
 
-with N documents, df(e) that hold the entity, df(t) that hold the term, and c(t, e) that hold the term near the entity. It
-is 1 if a term occurs nowhere but beside the entity and always there, and about 0 if the two are independent. Terms seen
-beside an entity in at least ``support`` documents are removed at a disclosure of ``remove`` and generalised from
-``generalise`` on. Everything is DataFrame work: regular expressions, arrays, counts and joins.
+with N documents, df(e) that hold the entity, df(t) that hold the term, and c(t, e) different texts around the entity that
+hold the term, so that copies of a document count once. It is 1 if a term occurs nowhere but beside the entity and always
+there, and about 0 if the two are independent. Terms seen beside an entity in at least ``support`` different texts are
+removed at a disclosure of ``remove`` and generalised from ``generalise`` on. Everything is DataFrame work: regular expressions, arrays, counts and joins.
 """
 
 from __future__ import annotations
@@ -87,7 +87,11 @@ def found_spans(documents: DataFrame) -> DataFrame:
     """row_key, doc_id and the base spans of each document; the texts around them where there are any."""
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.select(F.xxhash64("doc_id", "text").alias("row_key"), "doc_id", "text", *(base_spans(F.col("text"), k).alias(k) for k in PATTERNS))
-    every = F.concat(*(F.transform(k, lambda s, k=k: F.struct(F.lit(k).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"))) for k in PATTERNS))
+
+    def of_kind(kind: str) -> Column:
+        return F.transform(kind, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
+
+    every = F.concat(*map(of_kind, PATTERNS))
 
     def around(s: Column) -> Column:
         first = F.greatest(s["start"] - REACH, F.lit(0))
@@ -118,9 +122,11 @@ def disclosing_terms(documents: DataFrame, found: DataFrame, support: int = 2, g
     """The terms beside mentions with their places, and (entity, term, disclosure) of those at or over the threshold."""
     near = found.where("size(mentions) > 0").select("row_key", F.explode("mentions").alias("m"))
     both = F.concat(_terms("left", F.col("m.first")), _terms("right", F.col("m.end")))
-    near = written(near.select("row_key", F.col("m.entity").alias("entity"), F.explode(both).alias("t")).select("row_key", "entity", "t.*"), "near")
+    context = F.xxhash64("m.left", "m.right").alias("context")
+    near = near.select("row_key", context, F.col("m.entity").alias("entity"), F.explode(both).alias("t"))
+    near = written(near.select("row_key", "context", "entity", "t.*"), "near")
     total = max(2, found.count())
-    pairs = near.select("row_key", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("c")).where(F.col("c") >= support)
+    pairs = near.select("context", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("c")).where(F.col("c") >= support)
     pairs = written(pairs, "pairs")
     entities = found.where("size(mentions) > 0").select(F.explode(F.array_distinct(F.transform("mentions", lambda m: m["entity"]))).alias("entity")).groupBy("entity").agg(F.count("*").alias("df_entity"))
     frequency = _document_frequency(documents, pairs.select("term").distinct())
