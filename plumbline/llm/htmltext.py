@@ -55,7 +55,7 @@ HINTS = {
 _WORD = {w: group for group, words in HINTS.items() for w in words.split()}
 BOILERPLATE = frozenset(HINTS) - {"main"}
 TAG_HINT = {"article": "main", "main": "main", "nav": "nav", "menu": "nav", "header": "header", "footer": "footer", "aside": "side", "form": "form", "dialog": "notice", "fieldset": "form"}
-PARENTS = "p h1 h2 h3 h4 h5 h6 li td th div a blockquote pre dd dt figcaption section article body span".split()
+PARENTS = "p h1 h2 h3 h4 h5 h6 li td th a blockquote pre dd dt figcaption".split()
 FEATURES = (
     ["always", "boilerplate", "hidden", "first", "second", "last", "copyright", "ends_sentence", "no_letter", "in_list", "in_table", "in_heading", "many_links", "some_links", "no_link"]
     + [f"hint_{h}" for h in HINTS]
@@ -253,8 +253,8 @@ def fit(pages: list[list[tuple[str, set[str]]]], most_blocks: int = 200, steps:
         labels = ["hint_main" in f and "boilerplate" not in f for f in found]
         if not any(labels) or all(labels):
             continue
-        hidden = [f - {"hint_main", "parent_article", "parent_section"} for f in found]
-        bare = [f - {"hint_main", "boilerplate", "parent_article", *(f"hint_{h}" for h in HINTS)} for f in found]
+        hidden = [f - {"hint_main"} for f in found]
+        bare = [f - {"hint_main", "boilerplate", *(f"hint_{h}" for h in HINTS)} for f in found]
         around = [f | {"hint_main"} for f in found]
         examples += [(v, labels) for v in (found, hidden, bare, around)]
     if not examples:  # no labelled page: what the marks say, and long texts with few links
@@ -270,8 +270,8 @@ def fit(pages: list[list[tuple[str, set[str]]]], most_blocks: int = 200, steps:
     emission, transition = np.zeros((len(FEATURES), 2)), np.zeros((2, 2))
     # weights of marks that the sample lacks start from what the groups mean, and move only with evidence
     for h in BOILERPLATE:
-        emission[_AT[f"hint_{h}"], 1] = -1.0
-    emission[_AT["boilerplate"], 1], emission[_AT["hidden"], 1] = -2.0, -3.0
+        emission[_AT[f"hint_{h}"], 1] = -2.0
+    emission[_AT["boilerplate"], 1], emission[_AT["hidden"], 1] = -6.0, -6.0
     prior = emission.copy()
     m = [np.zeros_like(emission), np.zeros_like(transition)]
     v = [np.zeros_like(emission), np.zeros_like(transition)]

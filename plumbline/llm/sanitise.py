@@ -29,7 +29,7 @@ PATTERNS = {
 KINDS = ("email", "ip", "card", "phone", "term")
 #: What a text must hold for a pattern to be worth trying.
 HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
-_PART = r"0*+(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
+_PART = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
 WORD = r"\p{L}[\p{L}\p{M}]++"
 REACH = 80
 BROADCAST_TERMS = 200_000

@@ -54,7 +54,7 @@ def test_base_spans_match_the_given_patterns(frame):
 
 
 def test_terms_beside_an_entity_are_generalised_or_removed(frame):
-    rows = [(i, f"plain words of everyone number {i}") for i in range(200)]
+    rows = [(i, f"plain words of everyone by number at {i}") for i in range(200)]
     rows += [(1000 + i, f"plain words by Quillfeather at quill@mail.example.com of everyone {i}") for i in range(3)]
     rows += [(2000, "Quillfeather said words"), (3000, None), (None, "see quill@mail.example.com")]
     frame_ = frame([(i, t, 0, "z") for i, t in rows], "doc_id long, text string, spans int, row_key string")
