@@ -4,9 +4,9 @@ Messages have conv_id, turn, role and text. An assistant's message may be JSON w
 arguments}; a message of role ``tool`` is JSON with ``tool_call_id`` and ``content``. An argument {"$ref": id} stands for
 the result of another call of the conversation, which has to come first.
 
-Calls and results are first counted per identifier, so a repeated identifier joins once and is reported. The order is
-found by peeling: each round takes the calls whose references are all done. Rounds are as many as the longest chain of
-references; a conversation is never gathered.
+Calls and results are first counted per identifier, so a repeated identifier joins once and is reported. In a log whose
+references point back in time, the order of turns is a topological one already; only conversations in which a call refers
+to one that stands later are ordered anew, by raising levels along references. A conversation is never gathered.
 """
 
 from __future__ import annotations
@@ -95,27 +95,28 @@ def _calls(schemas: dict[str, dict]):
 
 
 def _levels(calls: DataFrame) -> DataFrame:
-    """(conv_id, call_id, level): 0 without references, else one more than the highest level referred to.
+    """(conv_id, call_id, level, backward) of the calls of a level over 0; all others have level 0.
 
-    References to calls that don't exist don't count; calls on or behind a cycle get no row.
+    A reference is backward if its call does not stand earlier. The level of a call is the greatest number of backward
+    references on a path from it, so that sorting by level, turn and place puts every call behind those it refers to.
+    Levels are raised until nothing changes; only conversations with backward references take part. A level above the
+    number of the conversation's backward references means a cycle. References to calls that don't exist don't count.
     """
-    nodes = calls.select("conv_id", "call_id")
-    edges = calls.select("conv_id", "call_id", F.explode("refs").alias("ref")).distinct()
-    edges = edges.join(nodes.withColumnRenamed("call_id", "ref"), ["conv_id", "ref"], "left_semi")
-    edges = written(edges, "references")
-    done = nodes.join(edges, ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(0))
-    last, level, out = written(done, "level"), 0, None
-    while not last.isEmpty():
-        out = last if out is None else out.union(last)
-        # calls that refer to the last level and to nothing that is still open
-        touched = edges.join(last.select("conv_id", F.col("call_id").alias("ref")), ["conv_id", "ref"], "left_semi").select("conv_id", "call_id").distinct()
-        if touched.isEmpty():
-            break
-        known = out.select("conv_id", F.col("call_id").alias("ref"))
-        open_ = edges.join(touched, ["conv_id", "call_id"], "left_semi").join(known, ["conv_id", "ref"], "left_anti").select("conv_id", "call_id").distinct()
-        level += 1
-        last = written(touched.join(open_, ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(level)), "level")
-    return out if out is not None else done
+    nodes = calls.select("conv_id", "call_id", "turn", "place")
+    targets = nodes.select("conv_id", F.col("call_id").alias("ref"), F.struct("turn", "place").alias("target"))
+    edges = calls.select("conv_id", "call_id", F.struct("turn", "place").alias("own"), F.explode("refs").alias("ref")).join(targets, ["conv_id", "ref"])
+    edges = edges.select("conv_id", "call_id", "ref", (F.col("target") >= F.col("own")).cast("int").alias("back"))
+    backward = edges.groupBy("conv_id").agg(F.sum("back").cast("int").alias("backward")).where("backward > 0")
+    edges = written(edges.join(backward, "conv_id"), "references")
+    level = written(edges.where("back = 1").select("conv_id", "call_id", F.lit(1).alias("level"), "backward").distinct(), "levels")
+    raised = level
+    while not raised.isEmpty():
+        known = raised.select("conv_id", F.col("call_id").alias("ref"), F.col("level").alias("before"))
+        new = edges.join(known, ["conv_id", "ref"]).groupBy("conv_id", "call_id").agg(F.max(F.least(F.col("before") + F.col("back"), F.col("backward") + 1)).alias("new"), F.first("backward").alias("b"))
+        both = written(level.join(new, ["conv_id", "call_id"], "full").select("conv_id", "call_id", "level", "new", F.coalesce("backward", "b").alias("backward")), "levels")
+        level = both.select("conv_id", "call_id", F.greatest("level", "new").alias("level"), "backward")
+        raised = both.where("new > coalesce(level, 0)").select("conv_id", "call_id", F.col("new").alias("level"))
+    return level
 
 
 def link(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
@@ -138,11 +139,12 @@ def link(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     results = results.where("call_id IS NOT NULL").groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "content")).alias("r"))
     results = results.select("conv_id", "call_id", F.col("r.turn").alias("result_turn"), F.col("r.content").alias("content"), F.lit(True).alias("answered"))
     linked = first.drop("refs", "n").join(results, ["conv_id", "call_id"], "full").join(_levels(first), ["conv_id", "call_id"], "left")
+    linked = linked.withColumn("level", F.when(F.col("turn").isNotNull(), F.coalesce("level", F.lit(0))))
     status = (
-        F.when(F.col("turn").isNull(), "no_call").when(F.col("level").isNull(), "cyclic").when(F.col("error").isNotNull(), F.concat(F.lit("invalid "), "error"))
+        F.when(F.col("turn").isNull(), "no_call").when(F.col("level") > F.col("backward"), "cyclic").when(F.col("error").isNotNull(), F.concat(F.lit("invalid "), "error"))
         .when(F.col("answered").isNull(), "no_result").otherwise("ok")
     )
-    linked = linked.withColumn("status", status)
+    linked = linked.withColumn("status", status).withColumn("level", F.when(F.col("status") != "cyclic", F.col("level"))).drop("backward")
     nothing = [F.lit(None).cast("long").alias("result_turn"), F.lit(None).cast("string").alias("content"), F.lit(None).cast("int").alias("level")]
     more = again.select("*", *nothing, F.lit("duplicate_id").alias("status")).unionByName(calls.where("call_id IS NULL").select("conv_id", "call_id", "turn", "place", "name", "arguments", "error", *nothing, F.lit("no_id").alias("status")))
     columns = ["conv_id", "call_id", "name", "level", "turn", "place", "result_turn", "status", "arguments", "content"]

@@ -41,7 +41,7 @@ def test_statuses_and_lines(frame):
     x = got[1, "x", 0]
     assert (x.status, x.level, x.result_turn) == ("ok", 0, 1)
     assert x.line == '{"arguments":{"a":1,"b":2.5},"id":"x","name":"add","result":"é \\"q\\"\\n"}'
-    assert (got[1, "y", 0].status, got[1, "y", 0].level) == ("ok", 1)
+    assert (got[1, "y", 0].status, got[1, "y", 0].level) == ("ok", 0)
     assert got[1, "z", 2].status == "invalid type:a" and json.loads(got[1, "z", 2].line)["result"] == "3"
     assert got[1, "w", 2].status == "invalid unknown_tool"
     assert got[1, "x", 2].status == "duplicate_id" and got[1, "x", 2].result_turn is None
