@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from plumbline.llm import decontaminate, htmltext, jaccard, sanitise, sentencepieces, substrings, tokenids, toolcalls, toxicity, vafile
 
 
+#: Rows that Spark hands a Python worker at a time; texts are long, so fewer than usual.
+BATCH_ROWS = "2000"
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

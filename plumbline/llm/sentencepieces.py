@@ -25,8 +25,8 @@ from pyspark.sql import types as T
 MARK = "▁"
 #: Stands for a U+2581 of the text itself, which has to come back as one; no text can hold this code point.
 LITERAL = "\ud800"
-CACHE = 300_000
-SLICE = 2048
+CACHE = 100_000
+SLICE = 1024
 
 
 class Pieces:

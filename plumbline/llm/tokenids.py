@@ -32,7 +32,7 @@ _HEAD = np.dtype([("magic", "S8"), ("partition", "<u4"), ("number", "<u4"), ("na
 FILE_IDS = 2 << 20
 PARTITION_BYTES = 16 << 20
 SLICE_BYTES = 4 << 20
-CACHE = 200_000
+CACHE = 120_000
 #: White space as the tokenizer's pattern sees it, for RE2.
 _SPACE = r"[\t\n\x0b\f\r \x{85}\p{Z}]"
 

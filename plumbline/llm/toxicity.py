@@ -40,6 +40,7 @@ for _point in range(0x250):
 SUBSTITUTED, SEPARATED, REPEATED, KEPT_SYMBOL, PLAIN = 3.0, 2.5, 2.0, 6.0, 0.05
 
 STEMS = (4, 5, 6)
+SLICE = 1024
 SCHEMA = "doc_id long, score double, restored array<struct<observed:string,restored:string>>"
 _SPACED = r"(?:^|[^\pL\pN])[\pL\pN](?:[ .\-_*][\pL\pN]){3,}(?:[^\pL\pN]|$)"
 _SPACED_PYTHON = re.compile(r"(?<![^\W_])[^\W_](?:[ .\-_*][^\W_]){3,}(?![^\W_])")
@@ -133,7 +134,7 @@ class _Reader:
         out = self.cache.get(word)
         if out is None:
             out = decode(word, self.logp)
-            if len(self.cache) < 100_000:
+            if len(self.cache) < 50_000:
                 self.cache[word] = out
         return out
 
@@ -183,7 +184,7 @@ def _per_text(reader: _Reader, texts: pa.Array, wanted: dict | None) -> list[set
 def _counts(logp: np.ndarray, wanted: dict | None):
     def count(batches):
         reader = _Reader(logp)
-        for batch in batches:
+        for batch in _slices(batches):
             found: Counter = Counter()
             for one in _per_text(reader, batch["text"], wanted):
                 found.update(one)
@@ -221,6 +222,13 @@ def _strongest(reader: _Reader, strength: dict[str, float], texts: pa.Array) ->
     return best, many, restored
 
 
+def _slices(batches):
+    """Parts of batches, so that the words of few texts are held at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def _inputs(best: np.ndarray, many: np.ndarray) -> np.ndarray:
     return np.stack([np.ones(len(best)), best, np.log1p(many)], axis=1)
 
@@ -261,7 +269,7 @@ def train(documents: DataFrame, labels: DataFrame, usable: Column, train_rows: i
 
     def measure(batches):
         reader = _Reader(logp)
-        for batch in batches:
+        for batch in _slices(batches):
             best, many = np.zeros(batch.num_rows), np.zeros(batch.num_rows)
             for k, (found, y) in enumerate(zip(_per_text(reader, batch["text"], held), batch["y"].to_pylist(), strict=True)):
                 counts = np.array([held[f] for f in found], float).reshape(-1, 2) - [y, 1 - y]
@@ -279,7 +287,7 @@ def train(documents: DataFrame, labels: DataFrame, usable: Column, train_rows: i
 def _score(model: Model):
     def score(batches):
         reader = _Reader(model.logp)
-        for batch in batches:
+        for batch in _slices(batches):
             best, many, restored = _strongest(reader, model.strength, batch["text"])
             out = 1 / (1 + np.exp(-np.clip(_inputs(best, many) @ np.array(model.weights), -30, 30)))
             kind = pa.list_(pa.struct([("observed", pa.string()), ("restored", pa.string())]))
@@ -298,7 +306,7 @@ def keep_clean(documents: DataFrame, model: Model, threshold: float = 0.7) -> Da
 
     def clean(batches):
         reader = _Reader(model.logp)
-        for batch in batches:
+        for batch in _slices(batches):
             best, many, _ = _strongest(reader, model.strength, batch["text"])
             out = 1 / (1 + np.exp(-np.clip(_inputs(best, many) @ np.array(model.weights), -30, 30)))
             yield batch.filter(pa.array(out < threshold))
