@@ -52,6 +52,8 @@ _ALERT_RULES = {"critical_score": True, "any_failures": False, "drift_events": T
 class Thresholds:
     """Pass/fail limits of the quality checks, dimension weights and report severity."""
 
+    # The default limits, and below the names of sections and keys of a threshold file.
+
     max_null_rate: Mapping[str, float] = field(default_factory=lambda: dict(_NULL_RATES))
     default_max_null_rate: float = DEFAULT_MAX_NULL_RATE
     min_completeness: float = 0.85
@@ -103,7 +105,9 @@ class Thresholds:
 
     @classmethod
     def load(cls, path: str) -> Thresholds:
-        """Read a JSON (or, where PyYAML is installed, YAML) threshold file; a missing file gives the defaults."""
+        """Read a local JSON (or, where PyYAML is installed, YAML) threshold file; a missing one gives the defaults."""
+        if "://" in path:
+            raise ValueError(f"thresholds are read from local files, not from {path!r}")
         file = Path(path)
         if not file.exists():
             return cls()
@@ -161,8 +165,15 @@ class Roles:
     amount: str = "total_amount"
 
 
-def alert_rules(overrides: Mapping[str, bool] | None = None) -> dict[str, bool]:
-    """Alert rule switches: defaults with the given ones on top."""
+def alert_rules(overrides: Mapping[str, bool] | str | None = None) -> dict[str, bool]:
+    """Alert rule switches: defaults with the given ones on top, a mapping or the path of a JSON file.
+
+    A file holds the switches, alone or under the key ``rules``, as true or false or as {"enabled": …}.
+    """
+    if isinstance(overrides, str):
+        found = json.loads(Path(overrides).read_text())
+        found = found.get("rules", found)
+        overrides = {name: bool(v.get("enabled", True) if isinstance(v, Mapping) else v) for name, v in found.items()}
     unknown = set(overrides or {}) - set(_ALERT_RULES)
     if unknown:
         raise ValueError(f"unknown alert rules {sorted(unknown)}; known: {sorted(_ALERT_RULES)}")

@@ -74,6 +74,13 @@ def as_text(data_type: T.DataType, name: str) -> str:
     return f"CAST({column} AS STRING)"
 
 
+def as_key(data_type: T.DataType, name: str) -> str:
+    """As ``as_text``, for grouping only: an instant is its microseconds, since its local text can name two instants."""
+    if isinstance(data_type, T.TimestampType):
+        return f"CAST(unix_micros({sql.name(name)}) AS STRING)"
+    return as_text(data_type, name)
+
+
 def as_timestamp(df: DataFrame, name: str, formats: Sequence[str] = ()) -> str:
     """Parse to TIMESTAMP; what cannot be parsed becomes null instead of failing the job."""
     column = sql.name(name)
@@ -83,8 +90,8 @@ def as_timestamp(df: DataFrame, name: str, formats: Sequence[str] = ()) -> str:
     return attempts[0] if len(attempts) == 1 else f"coalesce({', '.join(attempts)})"
 
 
-def long_form(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def long_form(df: DataFrame, columns: Sequence[str], text=as_text) -> DataFrame:
     """One row per cell: (column, value as text)."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    cells = df.selectExpr(*[sql.alias(as_text(types[c], c), c) for c in columns])
+    cells = df.selectExpr(*[sql.alias(text(types[c], c), c) for c in columns])
     return cells.unpivot([], [sql.name(c) for c in columns], "column", "value")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from plumbline.functions.columns import as_text
+from plumbline.functions.columns import as_key
 
 # Bytes of the fixed-width types.
 _WIDTHS = {
@@ -35,7 +35,7 @@ def row_digest(df: DataFrame, columns: Sequence[str]) -> str:
     types = {f.name: f.dataType for f in df.schema.fields}
     cells = []
     for column in columns:
-        text = as_text(types[column], column)
+        text = as_key(types[column], column)
         if width_of(types[column]) is None:
             text = f"concat(CAST(octet_length({text}) AS STRING), ':', {text})"
         cells.append(f"coalesce({text}, '-'), '|'")

@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from plumbline.config import Thresholds
 from plumbline.functions import sqltext as sql
@@ -65,8 +66,28 @@ def chunks(checks: Sequence[Check]) -> list[list[Check]]:
 
 
 def aggregated(df: DataFrame, metrics: Mapping[str, str]) -> DataFrame:
-    """One row: the aggregates by name."""
-    return df.selectExpr(*[sql.alias(expression, name) for name, expression in metrics.items()])
+    """One row: the aggregates by name. More than fit one aggregation are joined as scalar subqueries, each its own scan."""
+    named = list(metrics.items())
+    parts = [named[at : at + MAX_AGGREGATES] for at in range(0, len(named), MAX_AGGREGATES)] or [[]]
+    rows = [df.selectExpr(*[sql.alias(expression, name) for name, expression in part]) for part in parts]
+    if len(rows) == 1:
+        return rows[0]
+    further = {f"_part{k}": row.select(F.struct("*").alias("s")).scalar() for k, row in enumerate(rows[1:], 1)}
+    out = [sql.name(name) for name, _ in parts[0]]
+    out += [sql.alias(f"_part{k}.{sql.name(name)}", name) for k, part in enumerate(parts[1:], 1) for name, _ in part]
+    return rows[0].withColumns(further).selectExpr(*out)
+
+
+def per_column(df: DataFrame, cells: Sequence[tuple[Mapping[str, str], str]]) -> DataFrame:
+    """One row per cell, a struct over its own aggregates. Each scan takes as many cells as fit one aggregation."""
+    parts: list[tuple[dict[str, str], list[str]]] = [({}, [])]
+    for metrics, struct in cells:
+        if parts[-1][1] and len({**parts[-1][0], **metrics}) > MAX_AGGREGATES:
+            parts.append(({}, []))
+        parts[-1][0].update(metrics)
+        parts[-1][1].append(struct)
+    rows = [aggregated(df, metrics).selectExpr(sql.inline(structs)) for metrics, structs in parts]
+    return reduce(DataFrame.union, rows)
 
 
 def measure(df: DataFrame, checks: Sequence[Check]) -> DataFrame:

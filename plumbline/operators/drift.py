@@ -9,16 +9,15 @@ from plumbline.config import EPSILON, Roles
 from plumbline.functions import sqltext as sql
 from plumbline.functions.columns import has, nan_to_null
 
-# Window length, alert limit, accepted share of alerts, alerts and timeline points listed.
+# Window length, alert limit, accepted share of alerts, timeline points listed.
 WINDOW = 5
 SIGMA = 2.0
 MAX_RATE = 0.05
-MAX_LISTED = 20
 TIMELINE_POINTS = 10
 
 
 def _by_category(df: DataFrame, roles: Roles, sums: dict[str, str]) -> DataFrame:
-    """Sums per (snapshot, category): the one shuffle of the table that all snapshot metrics are derived from."""
+    """Sums per (snapshot, category), from which all snapshot metrics are derived."""
     groups = df.groupBy(
         F.expr(f"{sql.name(roles.snapshot)} AS snapshot"), F.expr(f"{sql.name(roles.category)} AS category")
     )
@@ -103,7 +102,10 @@ def drift_events(series: DataFrame, window: int = WINDOW, sigma: float = SIGMA)
 
 
 def drift_summary(series: DataFrame, window: int = WINDOW, sigma: float = SIGMA) -> DataFrame:
-    """Events per metric over the snapshots that have a full window; metrics with too few snapshots are left out."""
+    """Events per metric over the snapshots that have a full window; metrics with too few snapshots are left out.
+
+    All alerts are listed: at most one per snapshot and metric.
+    """
     listed = "collect_list(CASE WHEN alert THEN struct(snapshot, value, rolling_mean, z_score) END)"
     per_metric = (
         _scored(series, window, sigma)
@@ -111,7 +113,7 @@ def drift_summary(series: DataFrame, window: int = WINDOW, sigma: float = SIGMA)
         .agg(
             F.expr("max(snapshots) AS snapshots"),
             F.expr("count_if(alert) AS drift_events"),
-            F.expr(f"slice(array_sort({listed}), 1, {MAX_LISTED}) AS alerts"),
+            F.expr(f"array_sort({listed}) AS alerts"),
         )
     )
     rated = per_metric.filter(f"snapshots > {window}").selectExpr(

@@ -1,7 +1,7 @@
 """Isolation forest (Liu, Ting and Zhou, 2008) as a fit/transform pair.
 
-Trees are grown in parallel, one task per tree, from a bounded sample. The fitted forest is a table of at most
-``trees`` x 2 x ``sample_per_tree`` nodes; every row of the table is then scored in Arrow batches, without a shuffle.
+Trees are grown in parallel, each from its own few rows, dealt straight from the whole table. The fitted forest is a table
+of at most ``trees`` x 2 x ``sample_per_tree`` nodes; every row is then scored in Arrow batches, without a shuffle.
 """
 
 from __future__ import annotations
@@ -17,11 +17,10 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import sqltext as sql
 from plumbline.functions.columns import nan_to_null, numeric_columns, selected
-from plumbline.functions.lineage import stored
-from plumbline.operators.quantiles import quantiles
+from plumbline.functions.lineage import written
+from plumbline.operators.quantiles import exact_quantiles_of, quantiles
 
 TREES = 100
-SAMPLE_ROWS = 10_000
 SAMPLE_PER_TREE = 256
 CONTAMINATION = 0.05
 MIN_ROWS = 10
@@ -39,23 +38,27 @@ def mean_path(size: int) -> float:
     return 2.0 * (math.log(size - 1.0) + np.euler_gamma) - 2.0 * (size - 1.0) / size
 
 
-def _sample(
-    df: DataFrame, features: Sequence[str], key: Sequence[str] | None, rows: int, total: int, seed: int
-) -> DataFrame:
-    """At most ``rows`` rows in a fixed pseudo-random order, as (order, x0, x1, …).
+def _dealt(df: DataFrame, features: Sequence[str], key: Sequence[str] | None, trees: int, per_tree: int, total: int, seed: int) -> DataFrame:
+    """Rows dealt to trees, about 2 x ``per_tree`` each, as (tree, turn, x0, x1, …), straight from the whole table.
 
-    With a key the order is a hash of key and features, hence the same however the table is partitioned; otherwise it
-    is a seeded coin per row. A first filter keeps about twice the rows needed, so that the final top-k merges little.
+    One hash per row gives its first tree and its turn; a row of a small table goes to as many neighbouring trees as
+    it takes. Rows with a late turn in a large table are not dealt at all, so what is dealt is bounded by the trees. With
+    a key the hash is one of key and features, hence the same however the table is partitioned; else a seeded coin.
     """
     if key:
         hashed = ", ".join([f"{seed}", *[sql.name(c) for c in dict.fromkeys([*key, *features])]])
         order = f"pmod(xxhash64({hashed}), {_HASH_RANGE}L)"
     else:
         order = f"CAST(rand({seed}) * {_HASH_RANGE}L AS BIGINT)"
-    picked = df.selectExpr(f"{order} AS order", *[f"{sql.name(f)} AS x{i}" for i, f in enumerate(features)])
-    if total > 2 * rows:
-        picked = picked.filter(f"order < {int(_HASH_RANGE * (2.0 * rows / total))}")
-    return picked.orderBy(*picked.columns).limit(rows)
+    share = 2.0 * per_tree * trees / total
+    copies = max(1, min(trees, math.ceil(share)))
+    xs = [f"x{i}" for i in range(len(features))]
+    rows = df.selectExpr(f"{order} AS hash", *[f"{sql.name(f)} AS {x}" for f, x in zip(features, xs, strict=True)])
+    if share < 1:
+        rows = rows.filter(f"hash DIV {trees} < {math.ceil(_HASH_RANGE / trees * share)}")
+    dealt = rows.selectExpr("hash", *xs, f"explode(sequence(0, {copies - 1})) AS copy")
+    turn = f"pmod(xxhash64({seed}, hash, copy), {_HASH_RANGE}L) AS turn"
+    return dealt.selectExpr(f"CAST(pmod(hash + copy, {trees}) AS INT) AS tree", turn, *xs)
 
 
 def _grower(width: int, seed: int):
@@ -165,14 +168,15 @@ def fit(
     key: Sequence[str] | None = None,
     contamination: float = CONTAMINATION,
     trees: int = TREES,
-    sample_rows: int = SAMPLE_ROWS,
     sample_per_tree: int = SAMPLE_PER_TREE,
     seed: int = 42,
     median_accuracy: int | None = None,
 ) -> IsolationForestModel | None:
-    """Fit on a sample of at most ``sample_rows`` rows; None for fewer than ten rows.
+    """Fit on the whole table; None for fewer than ten rows.
 
-    ``key`` should identify rows; it makes the sample independent of the partitioning.
+    Every tree gets ``sample_per_tree`` rows of the table, as the algorithm asks. The threshold is the contamination
+    quantile of the scores of all rows, which are stored for that as one column. ``key`` should identify rows; it makes
+    the trees independent of the partitioning.
     """
     features = tuple(numeric_columns(df) if features is None else features)
     if len(features) < MIN_FEATURES:
@@ -186,22 +190,15 @@ def fit(
     filled = nan_to_null(selected(df, wanted), features).selectExpr(
         *[sql.alias(_filled(medians, c) if c in medians else sql.name(c), c) for c in wanted]
     )
-    # Trees and threshold both need the sample: it is stored, so that the table is read for it once.
-    sample = stored(_sample(filled, features, key, sample_rows, total, seed))
-    per_tree = min(sample_per_tree, sample_rows, total)
+    per_tree = min(sample_per_tree, total)
     xs = [f"x{i}" for i in range(len(features))]
-    dealt = sample.selectExpr("*", f"explode(sequence(0, {trees - 1})) AS tree")
-    turn = f"pmod(xxhash64({seed}, tree, order, {', '.join(xs)}), {_HASH_RANGE}L) AS turn"
-    dealt = dealt.selectExpr("tree", *xs, turn)
-    if sample_rows > 2 * per_tree and total > 2 * per_tree:
-        dealt = dealt.filter(f"turn < {int(_HASH_RANGE * (2.0 * per_tree / min(sample_rows, total)))}")
     place = f"row_number() OVER (PARTITION BY tree ORDER BY turn, {', '.join(xs)})"
-    hands = dealt.selectExpr("*", f"{place} AS place").filter(f"place <= {per_tree}").drop("place")
+    dealt = _dealt(filled, features, key, trees, per_tree, total, seed).selectExpr("*", f"{place} AS place")
+    hands = dealt.filter(f"place <= {per_tree}").drop("place")
     nodes = hands.groupBy("tree").applyInPandas(_grower(len(features), seed), _NODE_SCHEMA).toPandas()
     unshifted = IsolationForestModel(features, medians, nodes, trees, per_tree, 0.0, contamination)
-    named = sample.selectExpr(*[sql.alias(x, f) for x, f in zip(xs, features, strict=True)])
-    scores = named.select(unshifted.raw_score().alias("score"))
-    offset = scores.selectExpr(f"percentile(score, {sql.double(contamination)})").first()[0]
+    scores = written(filled.select(unshifted.raw_score().alias("score")), "scores")
+    offset = exact_quantiles_of(scores, {"score": "score"}, (contamination,))["score"][0]
     return replace(unshifted, offset=offset)
 
 

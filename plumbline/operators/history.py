@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +17,8 @@ HISTORY_SCHEMA = (
 )
 
 
-def append(report: DataFrame, path: str, run_type: str = "full") -> None:
-    """Add report rows to the history at ``path``, partitioned by day."""
+def append(report: DataFrame, path: str, run_type: str = "full", run_id: str | None = None) -> None:
+    """Add report rows to the history at ``path``, in a folder per run and day; the same run again replaces its rows."""
     rows = report.selectExpr(
         "ts",
         "overall_score",
@@ -28,15 +30,16 @@ def append(report: DataFrame, path: str, run_type: str = "full") -> None:
         f"{sql.string(run_type)} AS run_type",
         "to_date(ts) AS run_date",
     )
-    rows.write.mode("append").partitionBy("run_date").parquet(path)
+    folder = f"{path}/run_id={uuid.uuid4().hex if run_id is None else run_id}"
+    rows.write.mode("overwrite").partitionBy("run_date").parquet(folder)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(HISTORY_SCHEMA).parquet(path)
+    return spark.read.schema(HISTORY_SCHEMA).parquet(path).drop("run_id")
 
 
-def recent(history: DataFrame, as_of=None, days: int = 30, limit: int = 100, oldest: bool = False) -> DataFrame:
-    """Snapshots of the last ``days``, in order of time; of more than ``limit`` the newest (or oldest) are kept.
+def recent(history: DataFrame, as_of=None, days: int = 30, limit: int | None = None, oldest: bool = False) -> DataFrame:
+    """Snapshots of the last ``days``, in order of time; with a ``limit`` the newest (or oldest) ones.
 
     The day partition is filtered too where there is one, so older files are not read.
     """
@@ -44,7 +47,9 @@ def recent(history: DataFrame, as_of=None, days: int = 30, limit: int = 100, old
     kept = history.filter(f"ts >= {since}")
     if "run_date" in history.columns:
         kept = kept.filter(f"run_date >= to_date({since})")
-    return kept.orderBy(F.asc("ts") if oldest else F.desc("ts")).limit(limit).orderBy("ts")
+    if limit is not None:
+        kept = kept.orderBy(F.asc("ts") if oldest else F.desc("ts")).limit(limit)
+    return kept.orderBy("ts")
 
 
 def latest(history: DataFrame) -> DataFrame:

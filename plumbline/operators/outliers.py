@@ -111,6 +111,16 @@ def fit(
     ]
 
 
+def or_none(
+    df: DataFrame, bounds: Sequence[Bounds], columns: Sequence[str] | None, methods: Sequence[str]
+) -> tuple[list[Bounds], bool]:
+    """The bounds; where no column has any, a stand-in that gives the result's columns, and False."""
+    names = list(numeric_columns(df) if columns is None else columns)
+    if bounds or not names:
+        return list(bounds), True
+    return [Bounds(names[0], methods[0], 0.0, 1.0, 1.0)], False
+
+
 def outlier_checks(bounds: Sequence[Bounds]) -> list[Check]:
     """Outlier counts of all columns and methods, fused into one aggregation."""
     found = []
@@ -157,9 +167,11 @@ def outlier_checks(bounds: Sequence[Bounds]) -> list[Check]:
 
 
 def outliers(df: DataFrame, method: str, columns: Sequence[str] | None = None, **limits) -> DataFrame:
-    """Outlier count and rate per numeric column under one method."""
+    """Outlier count and rate per numeric column under one method; columns without spread give no row."""
     df = nan_to_null(df)
-    return fused.flat(df, outlier_checks(fit(df, columns, (method,), **limits)))
+    bounds, some = or_none(df, fit(df, columns, (method,), **limits), columns, (method,))
+    found = fused.flat(df, outlier_checks(bounds))
+    return found if some else found.limit(0)
 
 
 def outlier_rows(df: DataFrame, bounds: Sequence[Bounds], keep: Sequence[str]) -> DataFrame:

@@ -10,36 +10,45 @@ from pyspark.sql import functions as F
 
 from plumbline.config import Roles
 from plumbline.functions import sqltext as sql
-from plumbline.functions.columns import as_timestamp, nan_to_null
+from plumbline.functions.columns import as_timestamp, has, nan_to_null
 from plumbline.operators import checks as fused
 from plumbline.operators import outliers as univariate
 
 MAX_BINS = 50
+MAX_CATEGORIES = 1000
+# Names of the timeline's shares, and the column and bounds of plausible ages.
+TIMELINE_NAMES = {
+    "null_customer_email": "null_email", "null_unit_price": "null_price", "null_customer_age": "null_age",
+    "outlier_quantity": "outlier_qty", "outlier_unit_price": "outlier_price",
+}
+AGE = ("customer_age", 0, 120)
 
 
 def quality_timeline(df: DataFrame, roles: Roles = Roles(), as_of=None) -> DataFrame:
     """Quality metrics per snapshot.
 
-    Rows are summed per (snapshot, key) first, which yields the duplicates too: one shuffle of the table.
+    Rows are summed per (snapshot, key) first, which yields the duplicates too: one shuffle of the table. Shares of
+    columns that the table lacks are left out.
     """
     df = nan_to_null(df)
-    age = sql.as_double("customer_age")
-    event = as_timestamp(df, roles.event_time, roles.time_formats)
-    shares = {
-        "null_email": "customer_email IS NULL",
-        "null_price": "unit_price IS NULL",
-        "null_age": "customer_age IS NULL",
-        "future_date_rate": f"{event} > {sql.timestamp(as_of)}",
-        "outlier_qty": f"{sql.as_double('quantity')} = {sql.double(roles.sentinels['quantity'])}",
-        "outlier_price": f"{sql.as_double('unit_price')} = {sql.double(roles.sentinels['unit_price'])}",
-        "invalid_age": f"{age} < 0 OR {age} > 120",
-    }
+    shares = {TIMELINE_NAMES.get(f"null_{c}", f"null_{c}"): f"{sql.name(c)} IS NULL" for c in roles.drift_nulls if has(df, c)}
+    if has(df, roles.event_time):
+        event = as_timestamp(df, roles.event_time, roles.time_formats)
+        shares["future_date_rate"] = f"{event} > {sql.timestamp(as_of)}"
+    for c, sentinel in roles.sentinels.items():
+        if has(df, c):
+            shares[TIMELINE_NAMES.get(f"outlier_{c}", f"outlier_{c}")] = f"{sql.as_double(c)} = {sql.double(sentinel)}"
+    if has(df, AGE[0]):
+        age = sql.as_double(AGE[0])
+        shares["invalid_age"] = f"{age} < {AGE[1]} OR {age} > {AGE[2]}"
+    amount = {"amount": "CAST(NULL AS DOUBLE)", "amounts": "0L"}
+    if has(df, roles.amount):
+        amount = {"amount": f"sum({sql.as_double(roles.amount)})", "amounts": f"count({sql.name(roles.amount)})"}
     per_key = df.groupBy(
         F.expr(f"{sql.name(roles.snapshot)} AS snapshot"), F.expr(f"{sql.name(roles.keys[0])} AS _key")
     ).agg(
         F.expr("count(*) AS rows"),
-        F.expr(f"sum({sql.as_double(roles.amount)}) AS amount"),
-        F.expr(f"count({sql.name(roles.amount)}) AS amounts"),
+        *[F.expr(sql.alias(expression, name)) for name, expression in amount.items()],
         *[F.expr(sql.alias(sql.tally(condition), name)) for name, condition in shares.items()],
     )
     totals = per_key.groupBy("snapshot").agg(
@@ -56,9 +65,18 @@ def quality_timeline(df: DataFrame, roles: Roles = Roles(), as_of=None) -> DataF
     )
 
 
-def category_share(df: DataFrame, categories: Sequence[str], roles: Roles = Roles()) -> DataFrame:
-    """Share of each listed category among the non-null ones per snapshot, one column per category."""
+def category_share(df: DataFrame, categories: Sequence[str] | None = None, roles: Roles = Roles()) -> DataFrame:
+    """Share of each category among the non-null ones per snapshot, one column per category.
+
+    Without a list all categories of the table are found first; more than ``MAX_CATEGORIES`` are an error, as they cannot
+    be columns.
+    """
     category = sql.name(roles.category)
+    if categories is None:
+        found = df.selectExpr(f"CAST({category} AS STRING) AS value").dropna().distinct().limit(MAX_CATEGORIES + 1).collect()
+        if len(found) > MAX_CATEGORIES:
+            raise ValueError(f"column {roles.category!r} has more than {MAX_CATEGORIES} categories")
+        categories = sorted(r["value"] for r in found)
     counted = df.groupBy(F.expr(f"{sql.name(roles.snapshot)} AS snapshot")).agg(
         F.expr(f"count({category}) AS _values"),
         *[F.expr(sql.alias(sql.tally(f"{category} = {sql.string(v)}"), f"count of {v}")) for v in categories],
@@ -68,12 +86,34 @@ def category_share(df: DataFrame, categories: Sequence[str], roles: Roles = Role
     )
 
 
+def _first_distinct(limit: int):
+    """At most ``limit`` distinct values of each task: enough to tell how many there are up to the limit."""
+
+    def values(batches):
+        import pyarrow as pa
+
+        seen: set[float] = set()
+        for batch in batches:
+            if len(seen) < limit:
+                new = [v for v in batch.column(0).unique().to_pylist() if v not in seen][: limit - len(seen)]
+                seen.update(new)
+                yield pa.RecordBatch.from_arrays([pa.array(new, pa.float64())], names=["value"])
+
+    return values
+
+
 def histogram(df: DataFrame, column: str, max_bins: int = MAX_BINS) -> DataFrame:
-    """Equal-width bins over the column's range, as many as there are distinct values but at most ``max_bins``."""
-    values = nan_to_null(df, [column]).selectExpr(f"{sql.as_double(column)} AS value").dropna()
-    span = values.selectExpr(
-        f"struct(min(value) AS low, max(value) AS high, least(count(DISTINCT value), {int(max_bins)}L) AS bins) AS span"
-    )
+    """Equal-width bins over the range of finite values, as many as there are distinct ones but at most ``max_bins``.
+
+    Infinite values are counted in rows without a bin, whose start and end they are.
+    """
+    present = nan_to_null(df, [column]).selectExpr(f"{sql.as_double(column)} AS value").dropna()
+    finite = "abs(value) < DOUBLE('Infinity')"
+    values = present.filter(finite)
+    infinite = present.filter(f"NOT {finite}").groupBy("value").agg(F.expr("count(*) AS count"))
+    few = values.mapInArrow(_first_distinct(int(max_bins)), "value double").distinct().selectExpr(f"least(count(*), {int(max_bins)}L)")
+    ends = values.selectExpr("min(value) AS low", "max(value) AS high").withColumn("bins", few.scalar())
+    span = ends.selectExpr("struct(low, high, bins) AS span")
     placed = values.withColumn("span", span.scalar()).selectExpr("value", "span.low", "span.high", "span.bins")
     step = "CAST(floor(bins * (value - low) / (high - low)) AS BIGINT) + 1"
     index = f"CASE WHEN high > low THEN least({step}, bins) ELSE 1L END AS bin"
@@ -87,6 +127,7 @@ def histogram(df: DataFrame, column: str, max_bins: int = MAX_BINS) -> DataFrame
             "low + (high - low) * bin / bins AS bin_end",
             "count",
         )
+        .unionByName(infinite.selectExpr("CAST(NULL AS BIGINT) AS bin", "value AS bin_start", "value AS bin_end", "count"))
     )
 
 
@@ -161,11 +202,10 @@ def outliers_by_column(df: DataFrame, methods: Sequence[str] = univariate.METHOD
     """Outlier counts of every column under every method; all are counted in one scan."""
     df = nan_to_null(df)
     wanted = ("column", "method", "outlier_count", "outlier_rate")
-    checks = [
-        replace(check, fields={name: check.fields[name] for name in wanted})
-        for check in univariate.outlier_checks(univariate.fit(df, methods=methods))
-    ]
-    return fused.flat(df, checks).drop("score", "threshold")
+    bounds, some = univariate.or_none(df, univariate.fit(df, methods=methods), None, methods)
+    checks = [replace(check, fields={name: check.fields[name] for name in wanted}) for check in univariate.outlier_checks(bounds)]
+    found = fused.flat(df, checks).drop("score", "threshold")
+    return found if some else found.limit(0)
 
 
 def preview(df: DataFrame, rows: int) -> DataFrame:

@@ -139,6 +139,7 @@ def merged_report(quality: DataFrame, anomaly: DataFrame, limits: Thresholds = T
     total = dimensions.selectExpr(
         "coalesce(avg(score), 0D) AS overall_score",
         "count(*) AS dimensions",
+        "map_from_entries(array_sort(collect_list(struct(dimension, round(score, 4))))) AS dimension_scores",
         "coalesce(sum(checks), 0L) AS num_checks",
         "coalesce(sum(passed), 0L) AS num_passed",
     )
@@ -146,6 +147,7 @@ def merged_report(quality: DataFrame, anomaly: DataFrame, limits: Thresholds = T
         "dimensions",
         "round(overall_score, 4) AS overall_score",
         _overall_status(limits),
+        "dimension_scores",
         "num_checks",
         "num_passed",
         "num_checks - num_passed AS num_failed",

@@ -35,7 +35,7 @@ def run(
     """Store the checks under ``path``/checks and one history row under ``path``/history.
 
     The checks are evaluated once, when they are written; everything else reads the few stored rows. Storing a
-    ``run_id`` again replaces its checks.
+    ``run_id`` again replaces its checks and its history row.
     """
     merged = quality.withColumn("origin", F.lit("quality"))
     if anomaly is not None:
@@ -47,10 +47,8 @@ def run(
         both = scoring.merged_report(
             stored.filter("origin = 'quality'").drop("origin"), stored.filter("origin = 'anomaly'").drop("origin"), limits
         )
-        row = both.select(F.struct("overall_score", "status").alias("s")).scalar()
-        report = report.withColumn("_merged", row).withColumns(
-            {"overall_score": F.col("_merged.overall_score"), "status": F.col("_merged.status")}
-        )
-        report = report.drop("_merged")
-    history.append(report, f"{path}/history", "full" if anomaly is not None else "validate_only")
+        taken = ("overall_score", "status", "dimension_scores")
+        report = report.withColumn("_merged", both.select(F.struct(*taken).alias("s")).scalar())
+        report = report.withColumns({c: F.col(f"_merged.{c}") for c in taken}).drop("_merged")
+    history.append(report, f"{path}/history", "full" if anomaly is not None else "validate_only", run_id)
     return Audit(stored, report, alerts.alerts(report, drift_events, rules, limits))

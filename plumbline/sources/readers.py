@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from plumbline.functions import sqltext as sql
 from plumbline.functions.columns import as_text, nan_to_null
-from plumbline.operators.checks import aggregated
+from plumbline.operators.checks import aggregated, per_column
 
 # Names a source may be given by, and the tokens read as missing in text files.
 FILE_FORMATS = {"csv": "csv", "parquet": "parquet", "json": "json", "orc": "orc"}
@@ -27,7 +27,15 @@ MISSING_TOKENS = (
     "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL",
     "NaN", "None", "n/a", "nan", "null",
 )
-MAX_BROADCAST_FILES = 100_000
+# What text must look like for a type, from narrow to wide.
+_TEXT_TYPES = (
+    ("INT", "try_cast({0} AS INT) IS NOT NULL"),
+    ("BIGINT", "try_cast({0} AS BIGINT) IS NOT NULL"),
+    ("DOUBLE", "try_cast({0} AS DOUBLE) IS NOT NULL AND NOT {0} RLIKE '[dDfF]$'"),
+    ("DATE", "try_cast({0} AS DATE) IS NOT NULL AND {0} RLIKE '^[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}$'"),
+    ("TIMESTAMP", "try_cast({0} AS TIMESTAMP) IS NOT NULL AND {0} RLIKE '^[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}'"),
+    ("BOOLEAN", "lower({0}) IN ('true', 'false')"),
+)
 DESCRIPTIONS = {
     "csv": "CSV files",
     "parquet": "Parquet files",
@@ -206,18 +214,18 @@ def read_source(
     schema: str | T.StructType | None = None,
     **options,
 ) -> DataFrame:
-    """Read a source as a DataFrame. CSV types are inferred unless a schema is given, which saves a pass."""
+    """Read a source as a DataFrame. CSV types are found in one pass unless a schema is given."""
     found = resolve(source, table, query, limit, **options)
     reader = spark.read.format(found.format)
     if found.format == "csv":
-        if schema is None and "inferSchema" not in found.options:
-            reader = reader.option("inferSchema", "true")
         reader = reader.option("nullValue", found.options.get("nullValue", ""))
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.options(**found.options).load(found.path) if found.path else reader.options(**found.options).load()
     if found.format == "csv":
         df = missing_to_null(df)
+        if schema is None and "inferSchema" not in found.options:
+            df = typed(df)
     return df.limit(limit) if limit is not None and found.path else df
 
 
@@ -233,23 +241,52 @@ def missing_to_null(df: DataFrame, tokens: Sequence[str] = MISSING_TOKENS) -> Da
     )
 
 
+def typed(df: DataFrame) -> DataFrame:
+    """Cast text columns to the narrowest type that all their values have; all are judged in one pass.
+
+    Columns without values stay text.
+    """
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    metrics = {}
+    for i, c in enumerate(texts):
+        value = sql.name(c)
+        metrics[f"v{i}"] = f"count({value})"
+        metrics |= {f"k{i}_{k}": f"count_if({condition.format(value)})" for k, (_, condition) in enumerate(_TEXT_TYPES)}
+    if not texts:
+        return df
+    row = aggregated(df, metrics).first()
+    kinds = {}
+    for i, c in enumerate(texts):
+        fitting = [t for k, (t, _) in enumerate(_TEXT_TYPES) if row[f"k{i}_{k}"] == row[f"v{i}"]]
+        if row[f"v{i}"] and fitting:
+            kinds[c] = fitting[0]
+    return df.selectExpr(
+        *[sql.alias(f"CAST({sql.name(c)} AS {kinds[c]})", c) if c in kinds else sql.name(c) for c in df.columns]
+    )
+
+
 def scan_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None, **options) -> DataFrame:
     return read_source(spark, "csv", path=path, schema=schema, **options)
 
 
+def _plain_path(path: str) -> str:
+    """A local path without its scheme, which is spelled in several ways; other paths as they are."""
+    return "/" + path.removeprefix("file:").lstrip("/") if path.startswith("file:") else path
+
+
 def scan_snapshots(
     spark: SparkSession, path: str, schema: str | T.StructType | None = None, snapshot: str = "day", **options
 ) -> DataFrame:
-    """Read all snapshot files under one glob; the snapshot number is the file's position in name order, from 1.
+    """Read all snapshot files under one glob; the snapshot number is the file's position in order of full paths, from 1.
 
-    The numbered file names are joined back; they are broadcast unless there are very many of them.
+    The numbered paths are joined back; Spark broadcasts them as long as they are few.
     """
     df = scan_csv(spark, path, schema, **options)
-    names = sorted({os.path.basename(unquote(f)) for f in df.inputFiles()})
-    numbered = spark.createDataFrame([(n, i) for i, n in enumerate(names, 1)], f"_file string, `{snapshot}` bigint")
-    if len(names) <= MAX_BROADCAST_FILES:
-        numbered = F.broadcast(numbered)
-    file = F.element_at(F.split(F.url_decode(F.col("_metadata.file_path")), "/"), -1)
+    paths = sorted({_plain_path(unquote(f)) for f in df.inputFiles()})
+    numbered = spark.createDataFrame([(p, i) for i, p in enumerate(paths, 1)], f"_file string, `{snapshot}` bigint")
+    # "+" is an ordinary character in paths, so it is kept from being decoded as a space
+    decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    file = F.regexp_replace(decoded, "^file:/+", "/")
     return df.select("*", file.alias("_file")).join(numbered, "_file").drop("_file")
 
 
@@ -287,16 +324,16 @@ def table_listing_query(schema: str, kind: str = "postgresql") -> str:
 
 
 def schema_inspect(df: DataFrame) -> DataFrame:
-    """Name, type, whether nulls occur and the least value as a sample, observed over the whole table in one pass."""
+    """Name, type, whether nulls occur and the least value as a sample, observed over the whole table."""
     df = nan_to_null(df)
-    metrics, structs = {}, []
+    cells = []
     for i, f in enumerate(df.schema.fields):
-        metrics |= {f"n{i}": f"count_if({sql.name(f.name)} IS NULL)", f"s{i}": f"min({as_text(f.dataType, f.name)})"}
+        metrics = {f"n{i}": f"count_if({sql.name(f.name)} IS NULL)", f"s{i}": f"min({as_text(f.dataType, f.name)})"}
         fields = {
             "column_name": sql.string(f.name),
             "dtype": sql.string(f.dataType.simpleString()),
             "nullable": f"n{i} > 0",
             "sample": f"s{i}",
         }
-        structs.append(sql.struct(fields))
-    return aggregated(df, metrics).selectExpr(sql.inline(structs))
+        cells.append((metrics, sql.struct(fields)))
+    return per_column(df, cells)

@@ -26,9 +26,13 @@ def monitor(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        checks = checks_of(batch)
         folder = f"{path}/checks/batch_id={batch_id}"
-        checks.write.mode("overwrite").parquet(folder)
+        batch.persist()  # every family of checks reads it
+        try:
+            checks = checks_of(batch)
+            checks.write.mode("overwrite").parquet(folder)
+        finally:
+            batch.unpersist()
         stored = batch.sparkSession.read.schema(checks.schema).parquet(folder)
         scoring.report(stored).write.mode("overwrite").parquet(f"{path}/reports/batch_id={batch_id}")
 

@@ -133,14 +133,14 @@ def test_forest_finds_planted_rows(cloud):
 
 
 def test_forest_does_not_depend_on_partitioning(cloud):
-    options = {"features": FEATURES, "key": ["id"], "trees": 20, "sample_rows": 500}
+    options = {"features": FEATURES, "key": ["id"], "trees": 20}
     one, two = forest.fit(cloud.repartition(1), **options), forest.fit(cloud.repartition(9, "id"), **options)
     assert one.offset == two.offset
     assert one.nodes.sort_values(["tree", "node"]).reset_index(drop=True).equals(two.nodes.sort_values(["tree", "node"]).reset_index(drop=True))
 
 
 def test_forest_sample_is_bounded_without_a_key(cloud):
-    model = forest.fit(cloud, FEATURES, trees=10, sample_rows=200, sample_per_tree=64)
+    model = forest.fit(cloud, FEATURES, trees=10, sample_per_tree=64)
     assert model.nodes.groupby("tree").size().max() <= 2 * 64
 
 

@@ -101,9 +101,9 @@ def test_samples_use_numeric_order(spark):
 
 def test_flags(table):
     found = {(r["column"], r["flag"]): r for r in profile.quality_flags(table).collect()}
-    assert found["gappy", "missing"]["severity"] == "critical" and found["gappy", "missing"]["message"] == "30.0% missing values"
-    assert found["sparse", "mostly_zero"]["message"] == "90% of values are zero"
-    assert found["negative", "mostly_negative"]["message"] == "Most values are negative (999/1000)"
+    assert found["gappy", "missing"]["severity"] == "critical" and found["gappy", "missing"]["message"] == "empty in 30.0% of the rows"
+    assert found["sparse", "mostly_zero"]["message"] == "zero in 90% of the filled cells"
+    assert found["negative", "mostly_negative"]["message"] == "below zero in 999 of 1000 filled cells"
     assert found["category", "low_cardinality"]["severity"] == "info"
     assert ("sparse", "skewed") in found and ("id", "high_cardinality") not in found
     text_key = profile.quality_flags(table.selectExpr("CAST(id AS STRING) AS key")).collect()

@@ -22,25 +22,25 @@ def sample(spark):
     return checks(
         spark,
         [
-            ("completeness", "a", True, 0.8),
-            ("completeness", "b", True, 1.0),
+            ("completeness", "a", True, 0.7),
+            ("completeness", "b", True, 0.84),
             ("completeness", "overall_completeness", True, 0.1),
-            ("uniqueness", "c", False, 0.4),
-            ("validity", "d", True, 0.95),
+            ("uniqueness", "c", False, 0.46),
+            ("validity", "d", True, 0.82),
             ("timeliness", "overall_timeliness", True, 1.0),
         ],
     )
 
 
-WEIGHTS = {"completeness": 0.40, "uniqueness": 0.30, "validity": 0.30, "timeliness": 0.0}
+WEIGHTS = {"completeness": 5.0, "uniqueness": 1.0, "validity": 2.0, "timeliness": 0.0}
 
 
 def test_dimension_and_overall_scores(sample):
     scores = {r["dimension"]: r["score"] for r in scoring.dimension_scores(sample).collect()}
-    assert scores == {"completeness": pytest.approx(0.9), "uniqueness": 0.4, "validity": 0.95, "timeliness": 0.0}
+    assert scores == {"completeness": pytest.approx(0.77), "uniqueness": 0.46, "validity": 0.82, "timeliness": 0.0}
     row = scoring.overall_score(scoring.dimension_scores(sample), weights=WEIGHTS).first()
-    assert row["overall_score"] == pytest.approx(0.40 * 0.90 + 0.30 * 0.40 + 0.30 * 0.95)
-    assert row["status"] == "pass"
+    assert row["overall_score"] == pytest.approx((5 * 0.77 + 0.46 + 2 * 0.82) / 8)
+    assert row["status"] == "warning"
 
 
 def test_unlisted_dimensions_weigh_the_default(spark):
@@ -62,7 +62,7 @@ def test_status_limits(spark, score, status):
 def test_report_totals(sample):
     row = scoring.report(sample, weights=WEIGHTS).first()
     assert (row["num_checks"], row["num_passed"], row["num_failed"]) == (6, 5, 1)
-    assert row["dimension_scores"] == {"completeness": 0.9, "timeliness": 0.0, "uniqueness": 0.4, "validity": 0.95}
+    assert row["dimension_scores"] == {"completeness": 0.77, "timeliness": 0.0, "uniqueness": 0.46, "validity": 0.82}
     assert row["dataset"] == "set" and str(row["ts"]) == "2026-02-01 00:00:00"
 
 
@@ -74,7 +74,7 @@ def test_labels(sample):
 def test_merged_report_prefers_the_anomaly_score(spark, sample):
     anomaly = checks(spark, [("anomaly_iqr", "i", True, 0.5), ("uniqueness", "u", False, 0.9)])
     row = scoring.merged_report(sample, anomaly).first()
-    assert row["overall_score"] == round((0.9 + 0.9 + 0.95 + 0.0 + 0.5) / 5, 4)
+    assert row["overall_score"] == round((0.77 + 0.9 + 0.82 + 0.0 + 0.5) / 5, 4)
     assert (row["num_checks"], row["num_failed"]) == (8, 2)
     merged = scoring.merged_dimension_scores(scoring.dimension_scores(sample), scoring.dimension_scores(anomaly))
     assert {r["dimension"]: r["score"] for r in merged.collect()}["uniqueness"] == 0.9
@@ -152,14 +152,16 @@ def test_stored_runs_and_history(spark, sample, tmp_path):
     anomaly = checks(spark, [("anomaly_iqr", "i", True, 0.5)])
     first = audit.run(spark, path, "r1", sample, anomaly)
     assert first.checks.count() == 7
-    assert first.report.first()["overall_score"] == round((0.9 + 0.4 + 0.95 + 0.0 + 0.5) / 5, 4)
+    assert first.report.first()["overall_score"] == round((0.77 + 0.46 + 0.82 + 0.0 + 0.5) / 5, 4)
     assert {r["type"] for r in first.alerts.collect()} == {"daily_summary"}
     audit.run(spark, path, "r1", sample)
     stored = spark.read.parquet(f"{path}/checks")
     assert stored.count() == 6, "the same run again replaces its checks"
     kept = history.read(spark, f"{path}/history")
-    assert kept.count() == 2 and {r["run_type"] for r in kept.collect()} == {"full", "validate_only"}
-    assert history.recent(kept, "2026-02-02").count() == 2
+    assert [r["run_type"] for r in kept.collect()] == ["validate_only"], "and its history row"
+    second = audit.run(spark, path, "r2", sample, checks(spark, [("uniqueness", "x", True, 0.9)])).report.first()
+    assert history.recent(history.read(spark, f"{path}/history"), "2026-02-02").count() == 2
+    assert second["dimension_scores"]["uniqueness"] == 0.9, "scores are those of the merged report"
 
 
 def test_report_sink(spark, sample, tmp_path):

@@ -443,19 +443,19 @@ def _flags(name: str, base: str, numbers: str | None) -> str:
     joined = f'{base} LEFT JOIN {numbers} USING ("column")' if numbers else base
     always = [
         "SELECT \"column\", CASE WHEN null_rate > 0.25 THEN 'critical' ELSE 'warning' END AS severity, 'missing' AS flag, "
-        f"printf('%.1f%%', null_rate * 100) || ' missing values' AS message FROM {base} WHERE null_rate > 0.10",
-        "SELECT \"column\", 'info', 'low_cardinality', 'Low cardinality (' || distinct_count || ' unique values across ' "
-        f"|| total_rows || ' rows)' FROM {base} WHERE kind = 'categorical' AND cardinality_ratio < 0.01 AND distinct_count < 5",
-        "SELECT \"column\", 'info', 'high_cardinality', 'High cardinality — ' || distinct_count || "
-        f"' unique values (likely an ID column)' FROM {base} WHERE kind = 'categorical' AND cardinality_ratio > 0.95 "
+        f"printf('empty in %.1f%%', null_rate * 100) || ' of the rows' AS message FROM {base} WHERE null_rate > 0.10",
+        "SELECT \"column\", 'info', 'low_cardinality', 'only ' || distinct_count || ' different values in ' "
+        f"|| total_rows || ' rows' FROM {base} WHERE kind = 'categorical' AND cardinality_ratio < 0.01 AND distinct_count < 5",
+        "SELECT \"column\", 'info', 'high_cardinality', 'nearly every row differs: ' || distinct_count || "
+        f"' values, perhaps an identifier' FROM {base} WHERE kind = 'categorical' AND cardinality_ratio > 0.95 "
         "AND distinct_count > 100",
     ]
     numeric = [
-        "SELECT \"column\", 'warning', 'skewed', printf('Highly skewed distribution (skew=%.2f)', skewness) "
+        "SELECT \"column\", 'warning', 'skewed', printf('lopsided values, skew %.2f', skewness) "
         f"FROM {joined} WHERE abs(skewness) > 2",
-        "SELECT \"column\", 'info', 'mostly_zero', printf('%.0f%%', zeros / \"values\" * 100) || ' of values are zero' "
+        "SELECT \"column\", 'info', 'mostly_zero', printf('zero in %.0f%%', zeros / \"values\" * 100) || ' of the filled cells' "
         f'FROM {joined} WHERE zeros / "values" > 0.5 AND distinct_count > 2',
-        "SELECT \"column\", 'info', 'mostly_negative', 'Most values are negative (' || negatives || '/' || \"values\" || ')' "
+        "SELECT \"column\", 'info', 'mostly_negative', 'below zero in ' || negatives || ' of ' || \"values\" || ' filled cells' "
         f'FROM {joined} WHERE negatives / "values" > 0.5',
     ]
     return f"{name} AS ({_union(always + (numeric if numbers else []))})"

@@ -33,7 +33,7 @@ from plumbline.plans.quality import quality_checks
 from plumbline.sources.readers import schema_inspect, union_snapshots
 from plumbline.sources.sinks import latest_report
 from plumbline.streaming.windows import windowed_metrics
-from workload.fixture import AS_OF, CATEGORIES, Tables
+from workload.fixture import AS_OF, Tables
 
 LIMITS = Thresholds()
 ROLES = Roles()
@@ -377,7 +377,7 @@ def _dimension_status(t: Tables) -> DataFrame:
 
 @_query("merged_report")
 def _merged_report(t: Tables) -> DataFrame:
-    return scoring.merged_report(_quality(t), _anomaly(t), LIMITS)
+    return scoring.merged_report(_quality(t), _anomaly(t), LIMITS).drop("dimension_scores")
 
 
 @_query("merged_dimensions")
@@ -564,7 +564,7 @@ def _quality_timeline(t: Tables) -> DataFrame:
 
 @_query("category_share")
 def _category_share(t: Tables) -> DataFrame:
-    return comparable(reports.category_share(t.dirty_orders(), CATEGORIES, ROLES))
+    return comparable(reports.category_share(t.dirty_orders(), roles=ROLES))
 
 
 @_query("histogram")
