@@ -70,7 +70,7 @@ def _planes(values: np.ndarray) -> bytes:
 
 def _from_planes(blob: bytes, n: int) -> np.ndarray:
     raw = pa.decompress(blob, decompressed_size=8 * n, codec="zstd", asbytes=True)
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, n).T).view(np.uint64).ravel()
+    return np.frombuffer(raw, np.uint8).reshape(8, n).T.copy().view(np.uint64).ravel()
 
 
 def pack(values: np.ndarray, ascending: bool = False) -> bytes:

@@ -89,7 +89,8 @@ def _search(k: int):
             for r in batch.to_pylist():
                 dim = r["dim"]
                 qid, vid = (np.frombuffer(r[x], np.int64) for x in ("q_ids", "v_ids"))
-                queries, vectors = (np.frombuffer(r[x], np.int64).reshape(-1, dim) for x in ("q_exact", "v_exact"))
+                queries = np.frombuffer(r["q_exact"], np.int64).reshape(len(qid), dim)
+                vectors = np.frombuffer(r["v_exact"], np.int64).reshape(len(vid), dim)
                 if dim and dim * float(np.abs(queries).max()) * float(np.abs(vectors).max()) < 2.0**53:
                     queries, vectors = queries.astype(float), vectors.astype(float)
                     cells = np.frombuffer(r["v_cells"], np.uint8).reshape(-1, dim)

@@ -38,7 +38,7 @@ def test_words_are_restored(corpus):
     for observed in ("numb5kull", "n.u.m.b.s.k.u.l.l", "numbskuuuulll", "b1i5tering", "wr3tch3d", "n u m b s k u l l", "wretch€d"):
         got = reader.restore(observed)
         assert got in BAD, (observed, got)
-    assert reader.restore("2024") == "2024"
+    assert not toxicity.suspicious("2024") and toxicity.suspicious("w0rd")
 
 
 def test_held_out_scores(corpus):

@@ -29,7 +29,7 @@ def brute(rows, k, scale=64):
     return sorted(out)
 
 
-@pytest.mark.parametrize("scale", [64, 1 << 40])
+@pytest.mark.parametrize("scale", [64, 1 << 29])
 def test_matches_full_scan(frame, monkeypatch, scale):
     random.seed(4)
     monkeypatch.setattr(vafile, "VECTOR_BLOCK", 60)
