@@ -33,7 +33,7 @@ from plumbline.llm.components import components
 SETS = "doc_id long, n_shingles long, digest binary, shared binary"
 #: Which members lead, round by round.
 LEADERS = (("min({0})",), ("max({0})", "min_by({0}, hash(rep))"))
-FRAGMENTS = 8
+FRAGMENTS = 2
 
 
 def shingle_set(words: list[bytes], width: int) -> np.ndarray:
@@ -168,19 +168,21 @@ def shingle_sets(documents: DataFrame, width: int = 5, percent: int = 80, id_col
 
 def _led(postings: DataFrame, leaders: tuple[str, ...]) -> DataFrame:
     """Pairs of members of a posting list with its leaders, if they lie in different components."""
-    member = "struct(rep, n, component)"
+    member = "struct(rep, n, component, at)"
     chosen = [F.expr(x.format(member)) for x in leaders]
     split = postings.groupBy("h").agg(F.array_distinct(F.array(*chosen)).alias("leads"), F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    met = postings.join(split.select("h", "leads"), "h").select("rep", "n", "component", F.explode("leads").alias("lead")).where("component <> lead.component")
-    return met.select(F.least("rep", "lead.rep").alias("a"), F.greatest("rep", "lead.rep").alias("b"), F.least("n", "lead.n").alias("s"), F.greatest("n", "lead.n").alias("l"))
+    met = postings.join(split.select("h", "leads"), "h").select("rep", "n", "component", "at", F.explode("leads").alias("lead")).where("component <> lead.component")
+    room = F.least(F.col("n") - F.col("at"), F.col("lead.n") - F.col("lead.at")).alias("room")
+    return met.select(F.least("rep", "lead.rep").alias("a"), F.greatest("rep", "lead.rep").alias("b"), F.least("n", "lead.n").alias("s"), F.greatest("n", "lead.n").alias("l"), room)
 
 
 def _remaining(postings: DataFrame) -> DataFrame:
     """All pairs of members of a posting list that lie in different components."""
     split = postings.groupBy("h").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
     rest = postings.join(split.select("h"), "h")
-    one, other = (rest.select("h", F.col("rep").alias(r), F.col("n").alias(f"n{r}"), F.col("component").alias(f"c{r}")) for r in "ab")
-    return one.join(other, "h").where("a < b AND ca <> cb").select("a", "b", F.least("na", "nb").alias("s"), F.greatest("na", "nb").alias("l"))
+    one, other = (rest.select("h", F.col("rep").alias(r), F.col("n").alias(f"n{r}"), F.col("component").alias(f"c{r}"), F.col("at").alias(f"at{r}")) for r in "ab")
+    room = F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb")).alias("room")
+    return one.join(other, "h").where("a < b AND ca <> cb").select("a", "b", F.least("na", "nb").alias("s"), F.greatest("na", "nb").alias("l"), room)
 
 
 def class_components(sets: DataFrame, percent: int = 80, fragments: int = FRAGMENTS) -> DataFrame:
@@ -192,14 +194,17 @@ def class_components(sets: DataFrame, percent: int = 80, fragments: int = FRAGME
     rarest = Window.partitionBy("rep").orderBy("df", "h")
     ranked = tokens.join(common, "h").withColumn("at", F.row_number().over(rarest)).withColumn("m", F.count("*").over(Window.partitionBy("rep")))
     # shingles of one set only come before all others in the order from rare to frequent
-    postings = written(ranked.where(f"n - m + at <= n - ceil({percent} * n / 100) + 1").select("rep", "n", "h"), "postings")
+    ranked = ranked.selectExpr("rep", "n", "h", "n - m + at AS at")
+    postings = written(ranked.where(f"at <= n - ceil({percent} * n / 100) + 1"), "postings")
     lengths = held.select("rep", "n")
     segments = held.mapInArrow(_segments(fragments), "rep long, fragment int, segment binary")
     label = lengths.select("rep", F.col("rep").alias("component"))
     for leaders in (*LEADERS, None):
         open_ = postings.join(label, "rep")
         pairs = _led(open_, leaders) if leaders else _remaining(open_)
-        pairs = written(pairs.where(f"100 * s >= {percent} * l").select("a", "b").distinct(), "pairs")
+        # the first shingle that two sets share leaves room for so many more; of several rows of a pair the widest counts
+        enough = f"100 * s >= {percent} * l AND {100 + percent} * (room + 1) >= {percent} * (s + l)"
+        pairs = written(pairs.where(enough).select("a", "b").distinct(), "pairs")
         found = _linked(pairs, segments, lengths, percent)
         # links join components, of which there are fewer than classes
         found = found.join(label.select(F.col("rep").alias("a"), F.col("component").alias("ca")), "a").join(label.select(F.col("rep").alias("b"), F.col("component").alias("cb")), "b")
