@@ -245,7 +245,7 @@ def _gradient(x, y, mask, emission, transition):
     return d_emission, ((both - pair) * mask[:, 1:, None, None]).sum((0, 1))
 
 
-def fit(pages: list[list[tuple[str, set[str]]]], most_blocks: int = 200, steps: int = 200, ridge: float = 0.5) -> Field:
+def fit(pages: list[list[tuple[str, set[str]]]], most_blocks: int = 60, steps: int = 120, ridge: float = 0.5) -> Field:
     """Train on pages that mark their article up; each also with the marks hidden and with a mark around everything."""
     examples = []
     for page in pages:
@@ -291,7 +291,7 @@ def main_text(page: str | None, field: Field) -> str:
     return "\n".join(t for (t, _), k in zip(found, keep, strict=True) if k)
 
 
-def train(pages: DataFrame, sample: int = 400, id_column: str = "page_id", html_column: str = "html") -> Field:
+def train(pages: DataFrame, sample: int = 150, id_column: str = "page_id", html_column: str = "html") -> Field:
     """Fit on at most ``sample`` labelled pages, the ones with the smallest hashes of their identifiers."""
     marked = pages.where(F.col(html_column).rlike("(?i)<(article|main)[ >]")).select(F.col(id_column).alias("i"), F.col(html_column).alias("h"))
     chosen = marked.orderBy(F.xxhash64("i"), "i").limit(sample)
