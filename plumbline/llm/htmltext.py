@@ -294,8 +294,9 @@ def main_text(page: str | None, field: Field) -> str:
 def train(pages: DataFrame, sample: int = 150, id_column: str = "page_id", html_column: str = "html") -> Field:
     """Fit on at most ``sample`` labelled pages, the ones with the smallest hashes of their identifiers."""
     marked = pages.where(F.col(html_column).rlike("(?i)<(article|main)[ >]")).select(F.col(id_column).alias("i"), F.col(html_column).alias("h"))
-    chosen = marked.orderBy(F.xxhash64("i"), "i").limit(sample)
-    return fit([blocks(r["h"]) for r in chosen.collect()])
+    # identifiers first, so that tasks send no pages they need not
+    chosen = marked.where("i IS NOT NULL").select("i").distinct().orderBy(F.xxhash64("i"), "i").limit(sample)
+    return fit([blocks(r["h"]) for r in marked.join(F.broadcast(chosen), "i").select("h").limit(sample).collect()])
 
 
 def extract(pages: DataFrame, field: Field, html_column: str = "html", text_column: str = "text") -> DataFrame:
