@@ -1,11 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds join documents to test items, and Smith-Waterman scores edited copies.
+"""Benchmark decontamination: n-gram seeds join documents to test items, and Smith-Waterman scores edited copies.
 
 1. Every n-gram of the test items is counted over all documents (document frequency).
-2. The seeds of an item are its rarer n-grams, and the rarest of every few consecutive ones, so that each part of an item
-   can be found, however often it was copied. Rarity only ranks the n-grams of one item among each other.
-3. Documents are joined to items by seeds. Around seeds of one item that lie about as far apart as in the item, the words
-   of the document are aligned with those of the item; the score is that of the best local alignment, as a share of a
-   perfect one.
+2. The seeds of an item are all of its n-grams that occur in a document, whichever an edited copy has left whole. Only an
+   n-gram that is far more frequent than the item's others, such as a common phrase, is no seed.
+3. Documents are joined to items by seeds. Around any seed the words of the document are aligned with those of the item,
+   unless too few of the item's words are there to reach the threshold; the score is that of the best local alignment, as
+   a share of a perfect one.
 
 Both passes read the documents once and shuffle no text. Items are taken in blocks of a bounded number of words; each
 block is sent to all tasks.
@@ -25,6 +25,8 @@ from plumbline.llm import cells
 SCHEMA = "doc_id long, item_id long, score double, start int, end int, passage string"
 MATCH, MISMATCH, GAP = 2, -1, 1
 BLOCK_WORDS = 200_000
+#: An n-gram in more documents than this, and in so many times more than the median one of its item, is no seed.
+FREQUENT, FREQUENT_TIMES = 1000, 20
 #: Lower-case letters and digits stay, other ASCII characters part words.
 _PLAIN = bytes(c if chr(c).isalnum() and c < 128 or c >= 128 else 32 for c in range(256))
 
@@ -81,14 +83,11 @@ def document_frequency(documents: DataFrame, known: np.ndarray, n: int) -> np.nd
     return out
 
 
-def seeds(frequency: np.ndarray, share: float = 0.5, every: int = 4) -> np.ndarray:
-    """Of an item's n-grams in order, which ones are seeds: the rarer share, and the rarest of every few."""
-    order = np.argsort(frequency, kind="stable")
-    out = np.zeros(len(frequency), bool)
-    out[order[: max(1, int(np.ceil(share * len(order))))]] = True
-    for at in range(0, len(frequency), every):
-        out[at + int(np.argmin(frequency[at : at + every]))] = True
-    return out
+def seeds(frequency: np.ndarray) -> np.ndarray:
+    """Of an item's n-grams in order, which ones are seeds: all that occur, but those far more frequent than the others."""
+    live = frequency > 0
+    usual = np.median(frequency[live]) if live.any() else 0
+    return live & (frequency <= max(FREQUENT, FREQUENT_TIMES * usual))
 
 
 def align(item: np.ndarray, part: np.ndarray) -> tuple[int, int, int]:
@@ -125,8 +124,7 @@ class _Matcher:
         group: list[tuple[int, int]] = []
         for place, at in [*own, (1 << 60, 0)]:
             if group and place - at - (group[-1][0] - group[-1][1]) > slack:
-                if len({a for _, a in group}) > 1 or size < 2 * self.n + 2:
-                    yield min(p - a for p, a in group) - slack, max(p - a for p, a in group) + size + slack
+                yield min(p - a for p, a in group) - slack, max(p - a for p, a in group) + size + slack
                 group = []
             group.append((place, at))
 
@@ -145,6 +143,9 @@ class _Matcher:
             best = (0.0, 0, 0)
             for first, last in self._stretches(own, size):
                 first, last = max(first, start), min(last, stop)
+                # each word of the item adds at most one match
+                if np.isin(self.items[item], t.hashes[first:last]).sum() / size < self.threshold:
+                    continue
                 score, a, b = align(self.items[item], t.hashes[first:last])
                 best = max(best, (score / (MATCH * size), first + a - start, first + b - start))
             if best[0] >= self.threshold:

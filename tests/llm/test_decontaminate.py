@@ -68,3 +68,30 @@ def test_empty_tables(frame):
 def test_every_part_of_an_item_has_a_seed():
     chosen = seeds(np.array([9] * 8 + [1] * 8))
     assert all(chosen[k : k + 4].any() for k in range(0, 16, 4))
+
+
+def test_heavily_edited_copies_are_found_as_without_seeds(frame):
+    random.seed(11)
+    items = [(k, " ".join(words(random.randint(24, 50)))) for k in range(24)]
+    docs = []
+    for k, item in items:
+        for share in (0.15, 0.2, 0.25):
+            copy = item.split()
+            for at in range(0, len(copy), round(1 / share)):
+                copy[at] = f"x{random.randint(0, 5000)}"
+            docs.append((len(docs), " ".join(words(20) + copy + words(20)), 0, ""))
+        if k % 2:  # a clean copy gives every n-gram a document
+            docs.append((len(docs), item, 0, ""))
+    every = {
+        (d, i)
+        for d, text, *_ in docs
+        for i, item in items
+        if align(np.array([hash(w) for w in item.split()]), np.array([hash(w) for w in text.split()]))[0] >= len(item.split())
+    }
+    assert len(every) == len(docs)
+    assert {(r.doc_id, r.item_id) for r in contaminated(frame(docs, DOCS), frame(items, ITEMS)).collect()} == every
+
+
+def test_seeds_occur_and_are_not_far_more_frequent_than_others():
+    assert seeds(np.array([0, 1, 0, 500, 90_000, 2])).tolist() == [False, True, False, True, False, True]
+    assert seeds(np.array([7000, 7001, 7000, 1])).all() and not seeds(np.array([0, 0])).any()
