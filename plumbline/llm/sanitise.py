@@ -5,8 +5,8 @@ entity. A term is a word near a mention of an entity. The corpus tells how much
 
     disclosure(t, e) = PMI(t; e) / IC(e) = log(N c(t, e) / (df(t) df(e))) / log(N / df(e))
 
-with N documents, df(e) that hold the entity, df(t) that hold the term, and c(t, e) different texts around the entity that
-hold the term, so that copies of a document count once. It is 1 if a term occurs nowhere but beside the entity and always
+with N different texts, df(e) that hold the entity, df(t) that hold the term, and c(t, e) that hold the term near the entity.
+All four count texts by their hashes, so that copies of a document count once. It is 1 if a term occurs nowhere but beside the entity and always
 there, and about 0 if the two are independent. Terms seen beside an entity in at least ``support`` different texts are
 removed at a disclosure of ``remove`` and generalised from ``generalise`` on. Everything is DataFrame work: regular expressions, arrays, counts and joins.
 """
@@ -84,9 +84,9 @@ def _entity(kind: Column, value: Column) -> Column:
 
 
 def found_spans(documents: DataFrame) -> DataFrame:
-    """row_key, doc_id and the base spans of each document; the texts around them where there are any."""
+    """row_key, text_key, doc_id and the base spans of each document; the texts around them where there are any."""
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.select(F.xxhash64("doc_id", "text").alias("row_key"), "doc_id", "text", *(base_spans(F.col("text"), k).alias(k) for k in PATTERNS))
+    rows = rows.select(F.xxhash64("doc_id", "text").alias("row_key"), F.xxhash64("text").alias("text_key"), "doc_id", "text", *(base_spans(F.col("text"), k).alias(k) for k in PATTERNS))
 
     def of_kind(kind: str) -> Column:
         return F.transform(kind, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
@@ -100,7 +100,7 @@ def found_spans(documents: DataFrame) -> DataFrame:
             s["end"].alias("end"), F.substring("text", s["end"] + 1, F.lit(REACH)).alias("right"),
         )
 
-    return rows.withColumn("spans", every).select("row_key", "doc_id", F.transform("spans", lambda s: s.dropFields("value")).alias("spans"), F.transform("spans", around).alias("mentions"))
+    return rows.withColumn("spans", every).select("row_key", "text_key", "doc_id", F.transform("spans", lambda s: s.dropFields("value")).alias("spans"), F.transform("spans", around).alias("mentions"))
 
 
 def _terms(side: str, first: Column) -> Column:
@@ -111,8 +111,9 @@ def _terms(side: str, first: Column) -> Column:
 
 
 def _document_frequency(documents: DataFrame, terms: DataFrame) -> DataFrame:
-    """In how many documents each term occurs. Few terms are sent to all tasks; more are joined after counting."""
-    words = documents.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{M}]+"))).alias("term"))
+    """In how many different texts each term occurs. Few terms are sent to all tasks; more are joined after counting."""
+    texts = documents.groupBy(F.xxhash64("text")).agg(F.first("text").alias("text"))
+    words = texts.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{M}]+"))).alias("term"))
     if terms.count() <= BROADCAST_TERMS:
         return words.join(F.broadcast(terms), "term").groupBy("term").agg(F.count("*").alias("df_term"))
     return words.groupBy("term").agg(F.count("*").alias("df_term")).join(terms, "term")
@@ -120,15 +121,14 @@ def _document_frequency(documents: DataFrame, terms: DataFrame) -> DataFrame:
 
 def disclosing_terms(documents: DataFrame, found: DataFrame, support: int = 2, generalise: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """The terms beside mentions with their places, and (entity, term, disclosure) of those at or over the threshold."""
-    near = found.where("size(mentions) > 0").select("row_key", F.explode("mentions").alias("m"))
+    near = found.where("size(mentions) > 0").select("row_key", "text_key", F.explode("mentions").alias("m"))
     both = F.concat(_terms("left", F.col("m.first")), _terms("right", F.col("m.end")))
-    context = F.xxhash64("m.left", "m.right").alias("context")
-    near = near.select("row_key", context, F.col("m.entity").alias("entity"), F.explode(both).alias("t"))
-    near = written(near.select("row_key", "context", "entity", "t.*"), "near")
-    total = max(2, found.count())
-    pairs = near.select("context", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("c")).where(F.col("c") >= support)
+    near = near.select("row_key", "text_key", F.col("m.entity").alias("entity"), F.explode(both).alias("t"))
+    near = written(near.select("row_key", "text_key", "entity", "t.*"), "near")
+    total = max(2, found.select("text_key").distinct().count())
+    pairs = near.select("text_key", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("c")).where(F.col("c") >= support)
     pairs = written(pairs, "pairs")
-    entities = found.where("size(mentions) > 0").select(F.explode(F.array_distinct(F.transform("mentions", lambda m: m["entity"]))).alias("entity")).groupBy("entity").agg(F.count("*").alias("df_entity"))
+    entities = found.where("size(mentions) > 0").select("text_key", F.explode("mentions.entity").alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("df_entity"))
     frequency = _document_frequency(documents, pairs.select("term").distinct())
     scored = pairs.join(entities, "entity").join(frequency, "term")
     known = F.log(total / F.col("df_entity"))

@@ -68,3 +68,10 @@ def test_empty_table_and_repeated_rows(frame):
     assert personal_spans(frame([], SCHEMA)).collect() == []
     assert len(personal_spans(frame([(1, "a@b.co"), (1, "a@b.co"), (1, "c")], SCHEMA)).collect()) == 3
     assert sorted(r.text for r in sanitise(frame([(1, "a@b.co"), (1, "a@b.co"), (1, "c")], SCHEMA)).collect()) == ["[EMAIL]", "[EMAIL]", "c"]
+
+
+def test_copies_count_once(frame):
+    rows = [(i, f"plain words of everyone by number at {i}") for i in range(200)]
+    rows += [(1000 + i, f"plain words by Quillfeather at quill@mail.example.com of everyone {i % 4}") for i in range(120)]
+    got = {r.text for r in sanitise(frame(rows, SCHEMA)).where("doc_id >= 1000").collect()}
+    assert got == {f"plain words by  at [EMAIL] of everyone {i}" for i in range(4)}
