@@ -1,14 +1,15 @@
 """Personal data: base patterns, and terms that give a protected entity away (information-theoretic sanitisation).
 
 Base spans are e-mail addresses, IP addresses, card numbers and telephone numbers. Each distinct value is a protected
-entity. A term is a word near a mention of an entity. The corpus tells how much it reveals:
+entity. A term is any word of two letters or more in a text that holds the entity. The corpus tells how much it reveals:
 
     disclosure(t, e) = PMI(t; e) / IC(e) = log(N c(t, e) / (df(t) df(e))) / log(N / df(e))
 
-with N different texts, df(e) that hold the entity, df(t) that hold the term, and c(t, e) that hold the term near the entity.
-All four count texts by their hashes, so that copies of a document count once. It is 1 if a term occurs nowhere but beside the entity and always
-there, and about 0 if the two are independent. Terms seen beside an entity in at least ``support`` different texts are
-removed at a disclosure of ``remove`` and generalised from ``generalise`` on. Everything is DataFrame work: regular expressions, arrays, counts and joins.
+with N different texts, df(e) that hold the entity, df(t) that hold the term, and c(t, e) that hold both. All four count
+whole texts by their hashes, so that copies of a document count once. It is 1 if a term occurs nowhere but together with
+the entity, and about 0 if the two are independent. Terms seen together with an entity in at least ``support`` different
+texts are removed at a disclosure of ``remove`` and generalised from ``generalise`` on, at all their places in the texts
+that hold the entity. Everything is DataFrame work: regular expressions, arrays, counts and joins.
 """
 
 from __future__ import annotations
@@ -31,7 +32,6 @@ KINDS = ("email", "ip", "card", "phone", "term")
 HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
 WORD = r"\p{L}[\p{L}\p{M}]++"
-REACH = 80
 BROADCAST_TERMS = 200_000
 
 SPAN = "struct<start:int,end:int,value:string>"
@@ -84,7 +84,7 @@ def _entity(kind: Column, value: Column) -> Column:
 
 
 def found_spans(documents: DataFrame) -> DataFrame:
-    """row_key, text_key, doc_id and the base spans of each document; the texts around them where there are any."""
+    """row_key, text_key, doc_id, base spans and entities of each document, and the text where there are any."""
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.select(F.xxhash64("doc_id", "text").alias("row_key"), F.xxhash64("text").alias("text_key"), "doc_id", "text", *(base_spans(F.col("text"), k).alias(k) for k in PATTERNS))
 
@@ -93,47 +93,45 @@ def found_spans(documents: DataFrame) -> DataFrame:
 
     every = F.concat(*map(of_kind, PATTERNS))
 
-    def around(s: Column) -> Column:
-        first = F.greatest(s["start"] - REACH, F.lit(0))
-        return F.struct(
-            _entity(s["kind"], s["value"]).alias("entity"), first.alias("first"), F.substring("text", first + 1, s["start"] - first).alias("left"),
-            s["end"].alias("end"), F.substring("text", s["end"] + 1, F.lit(REACH)).alias("right"),
-        )
+    entities = F.array_distinct(F.transform("spans", lambda s: _entity(s["kind"], s["value"])))
+    held = F.when(F.size("spans") > 0, F.col("text")).alias("text")
+    return rows.withColumn("spans", every).select("row_key", "text_key", "doc_id", F.transform("spans", lambda s: s.dropFields("value")).alias("spans"), entities.alias("entities"), held)
 
-    return rows.withColumn("spans", every).select("row_key", "text_key", "doc_id", F.transform("spans", lambda s: s.dropFields("value")).alias("spans"), F.transform("spans", around).alias("mentions"))
 
+def _words(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))
 
-def _terms(side: str, first: Column) -> Column:
-    """Lower-case words of a stretch of text with their places in the document; words cut off at an edge don't count."""
-    text = F.col(f"m.{side}")
-    inner = F.filter(_places(text, WORD), lambda s: (s["start"] > 0) if side == "left" else (s["end"] < F.length(text)))
-    return F.transform(inner, lambda s: F.struct((first + s["start"]).cast("int").alias("start"), (first + s["end"]).cast("int").alias("end"), F.lower(s["value"]).alias("term")))
 
-
-def _document_frequency(documents: DataFrame, terms: DataFrame) -> DataFrame:
-    """In how many different texts each term occurs. Few terms are sent to all tasks; more are joined after counting."""
+def _document_frequency(documents: DataFrame) -> DataFrame:
+    """In how many different texts each term occurs."""
     texts = documents.groupBy(F.xxhash64("text")).agg(F.first("text").alias("text"))
-    words = texts.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{M}]+"))).alias("term"))
-    if terms.count() <= BROADCAST_TERMS:
-        return words.join(F.broadcast(terms), "term").groupBy("term").agg(F.count("*").alias("df_term"))
-    return words.groupBy("term").agg(F.count("*").alias("df_term")).join(terms, "term")
-
-
-def disclosing_terms(documents: DataFrame, found: DataFrame, support: int = 2, generalise: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """The terms beside mentions with their places, and (entity, term, disclosure) of those at or over the threshold."""
-    near = found.where("size(mentions) > 0").select("row_key", "text_key", F.explode("mentions").alias("m"))
-    both = F.concat(_terms("left", F.col("m.first")), _terms("right", F.col("m.end")))
-    near = near.select("row_key", "text_key", F.col("m.entity").alias("entity"), F.explode(both).alias("t"))
-    near = written(near.select("row_key", "text_key", "entity", "t.*"), "near")
+    return texts.select(F.explode(_words(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("df_term"))
+
+
+def disclosing_terms(documents: DataFrame, found: DataFrame, support: int = 2, generalise: float = 0.8) -> DataFrame:
+    """text_key, term and the highest disclosure of the terms of each text that are at or over the threshold.
+
+    As c is at most either df, a term can reach the threshold only up to df(t) = N (df(e) / N) ** generalise; more frequent
+    ones, and terms and entities in fewer texts than the support, are dropped before they are paired.
+    """
     total = max(2, found.select("text_key").distinct().count())
-    pairs = near.select("text_key", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("c")).where(F.col("c") >= support)
-    pairs = written(pairs, "pairs")
-    entities = found.where("size(mentions) > 0").select("text_key", F.explode("mentions.entity").alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("df_entity"))
-    frequency = _document_frequency(documents, pairs.select("term").distinct())
-    scored = pairs.join(entities, "entity").join(frequency, "term")
+    texts = found.where("size(entities) > 0").groupBy("text_key").agg(F.first("text").alias("text"), F.first("entities").alias("entities"))
+    texts = written(texts, "texts")
+    held = texts.select("text_key", F.explode("entities").alias("entity"))
+    entities = written(held.groupBy("entity").agg(F.count("*").alias("df_entity")).where(F.col("df_entity") >= support), "entities")
+    # a little over the bound, for rounding
+    most = lambda df: total * (df / total) ** generalise * 1.000001
+    widest = entities.agg(F.max("df_entity")).first()[0] or 0
+    frequency = written(_document_frequency(documents).where(F.col("df_term").between(support, most(max(1, widest)))), "frequency")
+    few = F.broadcast if frequency.count() <= BROADCAST_TERMS else lambda df: df
+    words = texts.select("text_key", F.explode(_words(F.col("text"))).alias("term")).join(few(frequency), "term")
+    near = words.join(held.join(entities, "entity"), "text_key").where(F.col("df_term") <= most(F.col("df_entity")))
+    near = written(near, "near")
+    pairs = near.groupBy("entity", "term", "df_entity", "df_term").agg(F.count("*").alias("c")).where(F.col("c") >= support)
     known = F.log(total / F.col("df_entity"))
-    scored = scored.withColumn("disclosure", F.when(known > 0, F.log(F.col("c") * total / (F.col("df_term") * F.col("df_entity"))) / known).otherwise(0.0))
-    return near, scored.where(F.col("disclosure") >= generalise).select("entity", "term", "disclosure")
+    scored = pairs.withColumn("disclosure", F.when(known > 0, F.log(F.col("c") * total / (F.col("df_term") * F.col("df_entity"))) / known).otherwise(0.0))
+    revealing = scored.where(F.col("disclosure") >= generalise).select("entity", "term", "disclosure")
+    return near.join(revealing, ["entity", "term"]).groupBy("text_key", "term").agg(F.max("disclosure").alias("disclosure"))
 
 
 def personal_spans(documents: DataFrame, support: int = 2, generalise: float = 0.8, remove: float = 0.95) -> DataFrame:
@@ -143,13 +141,18 @@ def personal_spans(documents: DataFrame, support: int = 2, generalise: float = 0
     points, ends are exclusive. Base spans of different kinds may overlap; terms inside base spans are left out.
     """
     found = written(found_spans(documents), "found")
-    near, revealing = disclosing_terms(documents, found, support, generalise)
-    hits = near.join(revealing, ["entity", "term"]).groupBy("row_key", "start", "end").agg(F.max("disclosure").alias("d"))
-    action = F.when(F.col("d") >= remove, "remove").otherwise("generalise")
-    term = F.struct(F.lit("term").alias("kind"), "start", "end", action.alias("action"))
-    added = hits.groupBy("row_key").agg(F.collect_list(term).alias("terms"))
-    rows = found.select("row_key", "doc_id", F.transform("spans", lambda s: F.struct(s["kind"], s["start"], s["end"], F.lit("mask").alias("action"))).alias("base"))
-    rows = rows.join(added, "row_key", "left").withColumn("terms", F.coalesce("terms", F.array().cast("array<struct<kind:string,start:int,end:int,action:string>>")))
+    revealing = disclosing_terms(documents, found, support, generalise)
+    terms = revealing.groupBy("text_key").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("known"))
+    rows = found.join(terms, "text_key", "left")
+
+    def hit(s: Column) -> Column:
+        action = F.when(F.col("known")[F.lower(s["value"])] >= remove, "remove").otherwise("generalise")
+        return F.struct(F.lit("term").alias("kind"), s["start"].alias("start"), s["end"].alias("end"), action.alias("action"))
+
+    places = F.filter(_places(F.col("text"), WORD), lambda s: F.map_contains_key("known", F.lower(s["value"])))
+    base = F.transform("spans", lambda s: F.struct(s["kind"], s["start"], s["end"], F.lit("mask").alias("action"))).alias("base")
+    none = F.array().cast("array<struct<kind:string,start:int,end:int,action:string>>")
+    rows = rows.select("row_key", "doc_id", base, F.when(F.col("known").isNotNull(), F.transform(places, hit)).otherwise(none).alias("terms"))
     free = F.filter("terms", lambda t: ~F.exists("base", lambda b: (t["start"] < b["end"]) & (b["start"] < t["end"])))
     order = F.array(*(F.lit(k) for k in KINDS))
     keyed = F.transform(F.concat("base", free), lambda s: F.struct(s["start"].alias("start"), F.array_position(order, s["kind"]).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"), s["action"].alias("action")))

@@ -75,3 +75,11 @@ def test_copies_count_once(frame):
     rows += [(1000 + i, f"plain words by Quillfeather at quill@mail.example.com of everyone {i % 4}") for i in range(120)]
     got = {r.text for r in sanitise(frame(rows, SCHEMA)).where("doc_id >= 1000").collect()}
     assert got == {f"plain words by  at [EMAIL] of everyone {i}" for i in range(4)}
+
+
+def test_far_terms_and_all_their_places_in_texts_that_hold_the_entity(frame):
+    far = " ".join(["plain words of everyone"] * 20)
+    rows = [(i, f"plain words of everyone by number at {i}") for i in range(200)]
+    rows += [(1000 + i, f"Quillfeather {far} quill@mail.example.com {far} Quillfeather, {i}") for i in range(4)]
+    got = {r.text for r in sanitise(frame(rows, SCHEMA)).where("doc_id >= 1000").collect()}
+    assert got == {f" {far} [EMAIL] {far} , {i}" for i in range(4)}
