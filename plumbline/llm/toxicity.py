@@ -181,22 +181,26 @@ def _per_text(reader: _Reader, texts: pa.Array, wanted: dict | None) -> list[set
     return [{f for k in set(index[a:b].tolist()) for f in by_word[k]} for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
 
 
-def _counts(logp: np.ndarray, wanted: dict | None):
+def _counts(logp: np.ndarray):
+    """How many toxic and other documents (y is 1 or 0) hold each feature."""
+
     def count(batches):
         reader = _Reader(logp)
         for batch in _slices(batches):
-            found: Counter = Counter()
-            for one in _per_text(reader, batch["text"], wanted):
-                found.update(one)
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["feature", "n"])
+            found: tuple[Counter, Counter] = (Counter(), Counter())
+            for one, y in zip(_per_text(reader, batch["text"], None), batch["y"].to_pylist(), strict=True):
+                found[y].update(one)
+            names = list(found[0].keys() | found[1].keys())
+            columns = [pa.array([found[y][f] for f in names], pa.int64()) for y in (1, 0)]
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *columns], names=["feature", "hits", "misses"])
 
     return count
 
 
-def lower_bound(hits: np.ndarray, total: np.ndarray, z: float = 2.0) -> np.ndarray:
+def lower_bound(hits: np.ndarray | Column, total: np.ndarray | Column, z: float = 2.0) -> np.ndarray | Column:
     """Wilson's lower bound of a share."""
     p = hits / total
-    return (p + z * z / (2 * total) - z * np.sqrt(p * (1 - p) / total + z * z / (4 * total * total))) / (1 + z * z / total)
+    return (p + z * z / (2 * total) - z * (p * (1 - p) / total + z * z / (4 * total * total)) ** 0.5) / (1 + z * z / total)
 
 
 def _strongest(reader: _Reader, strength: dict[str, float], texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list]:
@@ -246,7 +250,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
 def train(documents: DataFrame, labels: DataFrame, usable: Column, train_rows: int = 20_000, least: int = 3, most_features: int = 50_000) -> Model:
     """Fit on at most ``train_rows`` labelled documents that satisfy ``usable``.
 
-    The curve is fitted on the same documents, each measured by the counts of all others. A feature needs ``least`` toxic documents; the ``most_features`` strongest are kept. Labels that are null are
+    The curve is fitted on the same documents, each measured by the counts of all others. A feature needs ``least`` toxic documents
+    and a strength of over twice the odds of a toxic label; the ``most_features`` strongest are kept. Labels that are null are
     ignored; of several labels of a document the highest counts. Without labels of both kinds every score is one half.
     """
     logp = log_probabilities(trigram_counts(documents))
@@ -256,16 +261,12 @@ def train(documents: DataFrame, labels: DataFrame, usable: Column, train_rows: i
     totals = {r["y"]: r["n"] for r in labels.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not totals.get(0) or not totals.get(1):
         return Model(logp, {}, (0.0, 0.0, 0.0))
-    grouped = lambda part, wanted: part.mapInArrow(_counts(logp, wanted), "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
-    toxic = grouped(rows.where("y = 1").select("text"), None).where(F.col("n") >= least)
-    hits = {r["feature"]: r["n"] for r in toxic.orderBy(F.desc("n"), "feature").limit(4 * most_features).collect()}
-    misses = {r["feature"]: r["n"] for r in grouped(rows.where("y = 0").select("text"), hits).collect()}
-    names = sorted(hits)
-    ones = np.array([hits[f] for f in names], float)
-    bounds = lower_bound(ones, ones + np.array([misses.get(f, 0) for f in names], float)) if names else ones
-    keep = [k for k in np.argsort(-bounds, kind="stable")[:most_features] if bounds[k] > 2 * totals[1] / sum(totals.values())]
-    strength = {names[k]: float(bounds[k]) for k in keep}
-    held = {names[k]: (hits[names[k]], misses.get(names[k], 0)) for k in keep}
+    counts = rows.where("y IN (0, 1)").select("text", F.col("y").cast("int").alias("y")).mapInArrow(_counts(logp), "feature string, hits long, misses long")
+    counts = counts.groupBy("feature").agg(F.sum("hits").alias("hits"), F.sum("misses").alias("misses")).where(F.col("hits") >= least)
+    counts = counts.withColumn("bound", lower_bound(F.col("hits"), F.col("hits") + F.col("misses"))).where(F.col("bound") * totals[0] > 2 * totals[1] * (1 - F.col("bound")))
+    kept = counts.orderBy(F.desc("bound"), "feature").limit(most_features).collect()
+    strength = {r["feature"]: r["bound"] for r in kept}
+    held = {r["feature"]: (r["hits"], r["misses"]) for r in kept}
 
     def measure(batches):
         reader = _Reader(logp)

@@ -67,3 +67,23 @@ def test_empty_table_and_one_sided_labels(spark):
     assert toxicity.toxicity_scores(empty, model).collect() == []
     one = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     assert toxicity.toxicity_scores(one, model).first().score == 0.5
+
+
+@pytest.mark.parametrize("tenths", [5, 7])
+def test_mostly_toxic_labels(spark, tenths):
+    random.seed(15)
+    rows, labels = [], []
+    for d in range(500):
+        text, toxic = words(random.randint(3, 40)), int(d % 10 < tenths)
+        rows.append((d, " ".join(text + [random.choice(BAD)] * toxic)))
+        labels.append((d, toxic))
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(documents, spark.createDataFrame(labels, "doc_id long, toxic int"), F.col("doc_id") < 400)
+    got = {r.doc_id: r.score for r in toxicity.toxicity_scores(documents, model).collect()}
+    assert all((got[d] >= 0.7) == (d % 10 < tenths) for d in range(400, 500))
+
+
+def test_strong_words_are_kept_before_frequent_ones(spark, corpus):
+    labels = spark.createDataFrame([(d, int(d % 4 == 0)) for d in range(600)], "doc_id long, toxic int")
+    model = toxicity.train(corpus[0], labels, F.lit(True), most_features=2)
+    assert len(model.strength) == 2 and all(any(b.startswith(f.rstrip("*")) for b in BAD) for f in model.strength)
