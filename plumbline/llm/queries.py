@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontaminate, htmltext, jaccard, sanitise, sentencepieces, substrings, tokenids, toolcalls, toxicity, vafile
+from plumbline.llm import decontaminate, htmltext, jaccard, langid, sanitise, sentencepieces, substrings, tokenids, toolcalls, toxicity, vafile
 
 
 #: Rows that Spark hands a Python worker at a time; texts are long, so fewer than usual.
@@ -109,6 +109,13 @@ def op10_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
     return linked.select("conv_id", "call_id", "name", "level", "turn", "result_turn", "status", F.sha2("line", 256).alias("line_sha256"))
 
 
+def op13_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    kept_back = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    found = langid.predict(documents.select("doc_id", "text"), langid.train(documents, ~kept_back))
+    return found.select("doc_id", kept_back.alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
