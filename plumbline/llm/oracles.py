@@ -53,6 +53,65 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 FROM scores QUALIFY rank <= 20
 """
 
+_OP12 = """
+WITH RECURSIVE crc AS (
+    SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS t),
+named AS (SELECT DISTINCT conv_id FROM conversations),
+ids AS (SELECT conv_id, row_number() OVER () AS c FROM named),
+coded AS (
+    SELECT c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(v.conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k
+    FROM conversations v JOIN ids ON v.conv_id IS NOT DISTINCT FROM ids.conv_id),
+drawn AS (
+    SELECT c, turn, role, text, xor(list_reduce(list_transform(range(1, length(k) + 1), lambda i: ord(k[i])::BIGINT),
+        lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295), 4294967295) % 20 AS code
+    FROM coded, crc),
+after AS (
+    SELECT c, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+           CASE code WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE WHEN code = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM drawn WHERE code <> 0),
+placed AS (
+    SELECT *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS kept,
+           row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, sha256(text)) AS i
+    FROM after),
+judged AS (
+    SELECT c, i, turn, role, text, left(role, 1) AS f, CASE WHEN kept = '' THEN 'blank'
+           WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'duplicate'
+           WHEN right(kept, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+           left(lag(role) OVER (PARTITION BY c ORDER BY i), 1) || left(role, 1) AS pair
+    FROM placed),
+counts AS (
+    SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(fault = 'blank') AS blank,
+           count_if(fault = 'duplicate') AS duplicate, count_if(fault = 'truncated') AS truncated,
+           count_if(pair NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+    FROM judged GROUP BY c),
+opened(a, b, cost, audit, added) AS (
+    SELECT * FROM (VALUES ('', '', 0, '', []::VARCHAR[]), ('s', 's', 0, '', []), ('u', 'u', 0, '', []), ('a', 'a', 0, '', []),
+        ('', 'u', 3, 'I', ['user:']), ('s', 'u', 3, 'I', ['user:']), ('a', 'u', 3, 'I', ['user:']), ('u', 'a', 3, 'I', ['assistant:']),
+        ('', 'a', 6, 'II', ['user:', 'assistant:']), ('s', 'a', 6, 'II', ['user:', 'assistant:']))),
+follows(a, b) AS (SELECT * FROM (VALUES ('', 's'), ('', 'u'), ('s', 'u'), ('u', 'a'), ('a', 'u'))),
+options AS (
+    SELECT c, i, a, a AS b, 4 AS cost, 'D' AS audit, []::VARCHAR[] AS added FROM judged, (VALUES (''), ('s'), ('u'), ('a')) AS t(a)
+    UNION ALL SELECT c, i, a, b, CASE fault WHEN 'truncated' THEN 3 ELSE 0 END, 'K', [role || ':' || text]
+    FROM judged JOIN follows ON b = f WHERE fault NOT IN ('blank', 'duplicate')
+    UNION ALL SELECT c, i, a, b, CASE fault WHEN 'truncated' THEN 6 ELSE 3 END, 'R', [CASE b WHEN 'u' THEN 'user' ELSE 'assistant' END || ':' || text]
+    FROM judged JOIN follows ON b <> 's' WHERE fault NOT IN ('blank', 'duplicate')),
+best(c, i, s, cost, audit, turns) AS (
+    SELECT c, 0::BIGINT, '', 0, '', []::VARCHAR[] FROM counts
+    UNION ALL
+    SELECT p.c, e.i, e.b, p.cost + o.cost + e.cost AS cost, p.audit || o.audit || e.audit AS audit, p.turns || o.added || e.added
+    FROM best p JOIN opened o ON o.a = p.s JOIN options e ON e.c = p.c AND e.i = p.i + 1 AND e.a = o.b
+    QUALIFY row_number() OVER (PARTITION BY p.c, e.b ORDER BY p.cost + o.cost + e.cost, p.audit || o.audit || e.audit) = 1),
+ended AS (
+    SELECT p.c, p.cost + o.cost AS cost, p.audit || o.audit AS audit, array_to_string(p.turns || o.added, chr(10)) AS text
+    FROM best p JOIN counts ON counts.c = p.c AND n = p.i JOIN opened o ON o.a = p.s AND o.b IN ('', 'a')
+    QUALIFY row_number() OVER (PARTITION BY p.c ORDER BY p.cost + o.cost, p.audit || o.audit) = 1)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(text, '')) AS repaired_sha256
+FROM ids LEFT JOIN counts USING (c) LEFT JOIN ended USING (c)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": _OP1, "op7_jaccard_join": _OP7, "op8_exact_top_k": _OP8}
+    return {"op1_substring_dedup": _OP1, "op7_jaccard_join": _OP7, "op8_exact_top_k": _OP8, "op12_conversation_repair": _OP12}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontaminate, htmltext, jaccard, langid, sanitise, sentencepieces, substrings, tokenids, toolcalls, toxicity, vafile
+from plumbline.llm import decontaminate, htmltext, jaccard, langid, sanitise, sentencepieces, substrings, tokenids, toolcalls, toxicity, turnrepair, vafile
 
 
 #: Rows that Spark hands a Python worker at a time; texts are long, so fewer than usual.
@@ -109,6 +109,27 @@ def op10_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
     return linked.select("conv_id", "call_id", "name", "level", "turn", "result_turn", "status", F.sha2("line", 256).alias("line_sha256"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with faults by a checksum of conversation and turn: rows dropped, emptied, without their sentence ends,
+    repeated or of the user's role."""
+    text, role = (F.coalesce(c, F.lit(" ")) for c in ("text", "role"))
+    conversation, turn = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn"))
+    key = F.concat(conversation, F.lit(":"), turn)
+    code = F.crc32(key) % 20
+    text = F.when(code == 1, "").when(code == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    copies = F.explode(F.array_repeat(F.lit(0), F.when(code == 3, 2).otherwise(1)))
+    return conversations.where(code != 0).select("conv_id", "turn", F.when(code == 4, "user").otherwise(role).alias("role"), text.alias("text"), copies.alias("copy"))
+
+
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    found = turnrepair.summaries(damaged(conversations)).withColumnRenamed("conv_id", "found_id")
+    counts = [F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("blank", "duplicate", "truncated", "illegal", "cost")]
+    gaps = F.coalesce(F.col("high") - F.col("low") + 1 - F.col("distinct_turns"), F.lit(0)).cast("long")
+    texts = F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")
+    return conversations.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left").select("conv_id", gaps.alias("gaps"), *counts, *texts)
+
+
 def op13_language_id(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     kept_back = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
