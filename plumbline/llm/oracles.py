@@ -53,6 +53,25 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 FROM scores QUALIFY rank <= 20
 """
 
+_OP11 = """
+WITH r AS (
+    SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+    SELECT a.rid, a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id, list_inner_product(a.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+    FROM r a JOIN r c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id AND len(a.v) = len(c.v)),
+positives AS (
+    SELECT rid, anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS p
+    FROM scores WHERE same QUALIFY p <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.rid, p.p ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank,
+       n.vec_id AS negative_id, positive_score, n.score AS negative_score
+FROM positives p JOIN scores n ON n.rid = p.rid AND NOT n.same AND 50 * positive_score <= 100 * n.score AND 100 * n.score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
 _OP12 = """
 WITH RECURSIVE crc AS (
     SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS t),
@@ -114,4 +133,4 @@ FROM ids LEFT JOIN counts USING (c) LEFT JOIN ended USING (c)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": _OP1, "op7_jaccard_join": _OP7, "op8_exact_top_k": _OP8, "op12_conversation_repair": _OP12}
+    return {"op1_substring_dedup": _OP1, "op7_jaccard_join": _OP7, "op8_exact_top_k": _OP8, "op11_hard_negatives": _OP11, "op12_conversation_repair": _OP12}

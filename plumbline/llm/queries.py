@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontaminate, htmltext, jaccard, langid, sanitise, sentencepieces, substrings, tokenids, toolcalls, toxicity, turnrepair, vafile
+from plumbline.llm import decontaminate, htmltext, jaccard, langid, negatives, sanitise, sentencepieces, substrings, tokenids, toolcalls, toxicity, turnrepair, vafile
 
 
 #: Rows that Spark hands a Python worker at a time; texts are long, so fewer than usual.
@@ -109,6 +109,12 @@ def op10_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
     return linked.select("conv_id", "call_id", "name", "level", "turn", "result_turn", "status", F.sha2("line", 256).alias("line_sha256"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    relabelled = table(spark, folder, "embeddings").withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return negatives.hard_negatives(relabelled, F.col("vec_id") % 50 == 0, positives=5, negatives=3, low=50, high=95, scale=256)
+
+
 def damaged(conversations: DataFrame) -> DataFrame:
     """Conversations with faults by a checksum of conversation and turn: rows dropped, emptied, without their sentence ends,
     repeated or of the user's role."""

@@ -266,7 +266,6 @@ def summaries(conversations: DataFrame) -> DataFrame:
     """
     runs = repair(conversations)
     schema, arrow = _schemas(f"audit string, repaired_sha256 string, {_COUNTS}", runs.schema["conv_id"].dataType)
-    runs = written(runs, "repaired")
     text = F.array_join(F.transform("messages", line), "\n")
     alone = runs.where("runs = 1").select("conv_id", F.col("edits").alias("audit"), F.sha2(text, 256).alias("repaired_sha256"), *_NUMBERS)
     several = runs.where("runs > 1").repartition("conv_id").sortWithinPartitions("conv_id", "place").mapInArrow(_hashed(arrow), schema)
