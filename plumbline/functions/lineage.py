@@ -28,6 +28,11 @@ def stored(df: DataFrame) -> DataFrame:
 def written(df: DataFrame, name: str = "table") -> DataFrame:
     """``df`` computed now and kept as Parquet in the checkpoint folder: compressed, and read by column."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def scratch(spark: SparkSession, name: str = "table") -> str:
+    """The path of a new folder in the checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"

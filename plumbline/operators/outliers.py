@@ -17,11 +17,13 @@ from plumbline.functions import sqltext as sql
 from plumbline.functions.columns import nan_to_null, numeric_columns, selected
 from plumbline.operators import checks as fused
 from plumbline.operators.checks import Check
-from plumbline.operators.quantiles import exact_quantiles_of
+from plumbline.operators.quantiles import exact_from, exact_quantiles_of, summaries, summary_columns, summary_metrics
 
 METHODS = ("iqr", "zscore", "modified_zscore")
 MAD_SCALE = 0.6745
 MIN_VALUES = 4
+# Columns fitted in one sequence of scans; six aggregates each.
+COLUMNS_AT_ONCE = 20
 
 
 @dataclass(frozen=True)
@@ -69,10 +71,16 @@ class Bounds:
         return f"abs({sql.double(self.factor)} * {distance} / {sql.double(self.scale)})"
 
 
-def _moments(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float | None, float | None]]:
-    """Mean and sample deviation of each column, from one scan."""
-    row = df.selectExpr(*[f"{f}({sql.as_double(c)})" for c in columns for f in ("avg", "stddev_samp")]).first()
-    return {c: (row[2 * i], row[2 * i + 1]) for i, c in enumerate(columns)}
+def _summarised(df: DataFrame, values: dict[str, str], moments: bool, quartiles: bool):
+    """Mean and sample deviation, and summaries for quantiles, of some columns from one scan."""
+    metrics = {}
+    for i, value in enumerate(values.values() if moments else ()):
+        metrics |= {f"_mean{i}": f"avg({value})", f"_std{i}": f"stddev_samp({value})"}
+    metrics |= summary_metrics(values) if quartiles else {}
+    row = df.selectExpr(*[sql.alias(expression, name) for name, expression in metrics.items()])
+    found = row.selectExpr(*[c for c in metrics if c.startswith(("_mean", "_std"))], *(summary_columns(values) if quartiles else [])).first()
+    means = {c: (found[f"_mean{i}"], found[f"_std{i}"]) for i, c in enumerate(values)} if moments else {}
+    return means, summaries(found, values) if quartiles else {}
 
 
 def fit(
@@ -84,25 +92,28 @@ def fit(
 ) -> list[Bounds]:
     """Bounds per column and method; columns without values or without spread are left out.
 
-    The z-score takes one scan for the moments, the other methods those of ``exact_quantiles_of``; all share theirs.
+    One scan gives the moments and sketches of all columns, a second one the exact quartiles, a third one the median
+    distances for the modified z-score, of which the sketches say where to look. Wide tables are fitted in parts.
     """
     if unknown := set(methods) - set(METHODS):
         raise ValueError(f"unknown methods {sorted(unknown)}; known: {METHODS}")
     columns = list(numeric_columns(df) if columns is None else columns)
-    if not columns:
-        return []
     df = nan_to_null(selected(df, columns))
-    values = {c: sql.as_double(c) for c in columns}
-    found: dict[str, dict[str, tuple[float | None, float | None]]] = {}
-    if "zscore" in methods:
-        found["zscore"] = _moments(df, columns)
-    if {"iqr", "modified_zscore"} & set(methods):
-        quartiles = {c: q for c, q in exact_quantiles_of(df, values, (0.25, 0.5, 0.75)).items() if q is not None}
-        found["iqr"] = {c: (q1, q3 - q1) for c, (q1, _, q3) in quartiles.items()}
-    if "modified_zscore" in methods:
-        distances = {c: f"abs({values[c]} - {sql.double(median)})" for c, (_, median, _) in quartiles.items()}
-        deviations = exact_quantiles_of(df, distances, (0.5,))
-        found["modified_zscore"] = {c: (quartiles[c][1], deviations[c][0]) for c in quartiles}
+    found: dict[str, dict[str, tuple[float | None, float | None]]] = {m: {} for m in methods}
+    for at in range(0, len(columns), COLUMNS_AT_ONCE):
+        values = {c: sql.as_double(c) for c in columns[at : at + COLUMNS_AT_ONCE]}
+        means, known = _summarised(df, values, "zscore" in methods, bool({"iqr", "modified_zscore"} & set(methods)))
+        known = {c: s for c, s in known.items() if s is not None}
+        quartiles = exact_from(df, {c: values[c] for c in known}, (0.25, 0.5, 0.75), known)
+        if "zscore" in methods:
+            found["zscore"] |= means
+        if "iqr" in methods:
+            found["iqr"] |= {c: (q1, q3 - q1) for c, (q1, _, q3) in quartiles.items()}
+        if "modified_zscore" in methods:
+            distances = {c: f"abs({values[c]} - {sql.double(quartiles[c][1])})" for c in known}
+            near = {c: [known[c].distances(quartiles[c][1], 0.5)] for c in known}
+            deviations = exact_from(df, distances, (0.5,), known, near)
+            found["modified_zscore"] |= {c: (quartiles[c][1], deviations[c][0]) for c in known}
     return [
         Bounds(c, method, center, scale, iqr_factor if method == "iqr" else z_limit)
         for method in methods

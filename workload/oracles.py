@@ -685,6 +685,15 @@ def oracle_sql() -> dict[str, str]:
         + " FROM outlier_counts JOIN bounds USING (\"column\") WHERE method = 'iqr'",
         *OUTLIERS,
     )
+    out["anomaly_iqr_sketch"] = _sql(
+        'SELECT "column", values_checked, true AS q1_within, true AS q3_within, true AS rate_within FROM outlier_counts '
+        "WHERE method = 'iqr'",
+        *OUTLIERS,
+    )
+    quantiles = ", ".join(f"round(quantile_cont({{0}}::DOUBLE, {p}), 6) AS {n}" for n, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75), ("p99", 0.99)))
+    out["sketch_quantiles"] = _sql(
+        _union([f"SELECT '{c}' AS \"column\", {quantiles.format(c)} FROM dirty_orders WHERE day BETWEEN 11 AND 20" for c in NUMERIC])
+    )
     out["anomaly_zscore"] = _zscores("zscore")
     out["anomaly_mad"] = _zscores("modified_zscore")
     out["outlier_samples"] = _sql(

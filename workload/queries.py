@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from plumbline.config import Arithmetic, Roles, Thresholds
 from plumbline.functions import sqltext as sql
+from plumbline.functions.lineage import scratch
 from plumbline.operators import (
     accuracy,
     alerts,
@@ -23,6 +24,7 @@ from plumbline.operators import (
     profile,
     reports,
     scoring,
+    sketches,
     timeliness,
     uniqueness,
     validity,
@@ -252,6 +254,29 @@ def _anomaly_iqr(t: Tables) -> DataFrame:
     return comparable(outliers.outliers(t.dirty_table(), "iqr"))
 
 
+def _stored_sketches(t: Tables) -> DataFrame:
+    """Sketches of all snapshots, stored as they would arrive: in two runs, the second of which repeats a snapshot."""
+    path = scratch(t.spark, "sketches")
+    for days in ("day <= 15", "day >= 15"):
+        sketches.store(sketches.snapshot_sketches(t.dirty_orders().filter(days)), path)
+    return sketches.load(t.spark, path)
+
+
+@_query("anomaly_iqr_sketch")
+def _anomaly_iqr_sketch(t: Tables) -> DataFrame:
+    # A sketch's quartile differs from run to run; that it keeps its stated error does not.
+    found = sketches.verified(t.dirty_table(), sketches.iqr_outliers(_stored_sketches(t)))
+    within = [f"{c}_rank_off <= 2 * rank_error AS {c}_within" for c in ("q1", "q3")]
+    return found.selectExpr("column", "values_checked", *within, "abs(outlier_rate - actual_rate) <= 4 * rank_error AS rate_within")
+
+
+@_query("sketch_quantiles")
+def _sketch_quantiles(t: Tables) -> DataFrame:
+    kept = _stored_sketches(t).where("snapshot BETWEEN 11 AND 20")
+    orders = t.dirty_orders().filter("day BETWEEN 11 AND 20")
+    return comparable(sketches.quantile_rows(orders, kept, {"q1": 0.25, "median": 0.5, "q3": 0.75, "p99": 0.99}))
+
+
 @_query("anomaly_zscore")
 def _anomaly_zscore(t: Tables) -> DataFrame:
     return comparable(outliers.outliers(t.dirty_table(), "zscore"))
