@@ -16,6 +16,7 @@ import math
 import re
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +32,17 @@ MAGIC = b"PLIDS1\0\0"
 _HEAD = np.dtype([("magic", "S8"), ("partition", "<u4"), ("number", "<u4"), ("nameless", "<u8"), ("before", "<u8"), ("ids", "<u8"), ("width", "u1"), ("pad", "S7")])
 FILE_IDS = 2 << 20
 PARTITION_BYTES = 16 << 20
-SLICE_BYTES = 4 << 20
-CACHE = 120_000
+SLICE_BYTES = 8 << 20
+#: Pieces whose ids a worker keeps, packed as bytes.
+CACHE = 400_000
 #: White space as the tokenizer's pattern sees it, for RE2.
 _SPACE = r"[\t\n\x0b\f\r \x{85}\p{Z}]"
 
 
+def _packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
 class Encoder:
     """The ids of texts by a byte-level BPE file of the tokenizers library, each distinct space-separated piece once.
 
@@ -50,75 +56,73 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache: dict[str, list[int]] = {}
+        self.cache: dict[str, bytes] = {}
         # the printable stand-ins that byte-level vocabularies use for bytes
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in set(plain)]
         self.stand_in = {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
-        self.ends = {c: self._whole([c])[0] for c in ".,"}
+        self.ends = {c: _packed(self._whole([c])[0]) for c in ".,"}
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _word(self, word: str) -> list[int]:
+    def _word(self, word: str) -> bytes:
         """Letters of Latin scripts only: one step of the tokenizer's model."""
         text = word.encode().decode("latin-1").translate(self.stand_in)
-        return [t.id for t in self.tokenizer.model.tokenize(text)]
-
-    def pieces(self, pieces: list[str]) -> list[list[int]]:
-        """The ids of pieces that each start a text or start with a space."""
-        cache, out, rest = self.cache, [], []
-        for k, piece in enumerate(pieces):
-            ids = cache.get(piece)
-            if ids is None:
-                word = piece[1:] if piece[:1] == " " else piece
-                if word.isalpha() and max(word) < "ɐ":
-                    ids = self._word(piece)
-                elif word[-1:] in self.ends and word[:-1].isalpha() and max(word) < "ɐ":
-                    ids = self._word(piece[:-1]) + self.ends[word[-1]]
-                else:
-                    rest.append(k)
-                if ids is not None and len(cache) < CACHE:
-                    cache[piece] = ids
-            out.append(ids)
-        for k, ids in zip(rest, self._whole([pieces[k] for k in rest]) if rest else [], strict=True):
+        return _packed([t.id for t in self.tokenizer.model.tokenize(text)])
+
+    def pieces(self, pieces: list[str]) -> list[bytes]:
+        """The packed ids of pieces that each start a text or start with a space."""
+        cache, rest = self.cache, []
+        out = list(map(cache.get, pieces))
+        for k in [k for k, ids in enumerate(out) if ids is None]:
+            piece = pieces[k]
+            word = piece[1:] if piece[:1] == " " else piece
+            if word.isalpha() and max(word) < "ɐ":
+                ids = self._word(piece)
+            elif word[-1:] in self.ends and word[:-1].isalpha() and max(word) < "ɐ":
+                ids = self._word(piece[:-1]) + self.ends[word[-1]]
+            else:
+                rest.append(k)
+                continue
             out[k] = ids
             if len(cache) < CACHE:
-                cache[pieces[k]] = ids
+                cache[piece] = ids
+        for k, ids in zip(rest, self._whole([pieces[k] for k in rest]) if rest else [], strict=True):
+            out[k] = _packed(ids)
+            if len(cache) < CACHE:
+                cache[pieces[k]] = out[k]
         return out
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, ``end_id`` after each text, and how many each text has."""
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         whole = pc.match_substring_regex(texts, f" {_SPACE}|{_SPACE} ")
         for token in self.special:
             whole = pc.or_(whole, pc.match_substring(texts, token))
-        by_text: list[np.ndarray | None] = [None] * len(texts)
         slow = np.flatnonzero(whole.to_numpy(zero_copy_only=False))
-        for k, ids in zip(slow, self._whole([texts[int(k)].as_py() for k in slow]) if len(slow) else [], strict=True):
-            by_text[k] = np.array([*ids, end_id], np.uint32)
-        fast = np.setdiff1d(np.arange(len(texts)), slow)
-        split = pc.split_pattern(texts.take(pa.array(fast, pa.int64())), " ")
+        # a text that is encoded whole counts as one piece
+        split = pc.split_pattern(pc.if_else(whole, "", texts), " ")
         codes = split.flatten().dictionary_encode()
-        index, words = codes.indices.to_numpy(), codes.dictionary.to_pylist()
+        index, words = codes.indices.to_numpy().astype(np.int64), codes.dictionary.to_pylist()
         offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
         known = self.pieces([f" {w}" for w in words])
-        firsts = index[offsets[:-1]]
-        distinct, at = np.unique(firsts, return_inverse=True)
-        pool = [*known, *self.pieces([words[k] for k in distinct]), [end_id]]
-        lengths = np.array([len(p) for p in pool], np.int64)
-        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        flat = np.fromiter((i for p in pool for i in p), np.uint32, int(lengths.sum()))
-        index = index.astype(np.int64)
+        distinct, at = np.unique(index[offsets[:-1]], return_inverse=True)
+        pool = [*known, *self.pieces([words[k] for k in distinct])]
         index[offsets[:-1]] = len(known) + at
-        index = np.insert(index, offsets[1:], len(pool) - 1)
+        index[offsets[slow]] = len(pool) + np.arange(len(slow))
+        pool += [_packed(ids) for ids in self._whole([texts[int(k)].as_py() for k in slow])] if len(slow) else []
+        index = np.insert(index, offsets[1:], len(pool))
+        pool.append(_packed([end_id]))
+        lengths = np.fromiter(map(len, pool), np.int64, len(pool)) // 4
+        starts = np.cumsum(lengths) - lengths
+        flat = np.frombuffer(b"".join(pool), np.uint32)
         took = lengths[index]
-        ids = flat[np.repeat(starts[index] - np.cumsum(took) + took, took) + np.arange(int(took.sum()))]
         sums = np.concatenate([[0], np.cumsum(took)])
-        counts = np.diff(sums[offsets + np.arange(len(offsets))])
-        for k, part in zip(fast, np.split(ids, np.cumsum(counts)[:-1]) if len(fast) else [], strict=True):
-            by_text[k] = part
-        return np.concatenate(by_text) if by_text else np.zeros(0, np.uint32), np.array([len(x) for x in by_text], np.int64)
+        ids = flat[np.repeat(starts[index] - sums[:-1], took) + np.arange(int(sums[-1]))]
+        return ids, np.diff(sums[offsets + np.arange(len(offsets))])
 
 
 _ENCODERS: dict[str, Encoder] = {}
