@@ -26,7 +26,11 @@ MARK = "▁"
 #: Stands for a U+2581 of the text itself, which has to come back as one; no text can hold this code point.
 LITERAL = "\ud800"
 CACHE = 100_000
-SLICE = 1024
+SLICE = 2048
+#: Characters of a word, with the mark before it, that is encoded together with others, and how many of these
+#: are at a time; longer words are streamed.
+LONGEST_WORD = 48
+WORDS = 16384
 
 
 class Pieces:
@@ -64,6 +68,19 @@ class Pieces:
         self.least = min(self.score.values()) - 10
         self.separate = not any(MARK in p.lstrip(MARK) for p in self.ids)
         self.cache: dict[str, list[int]] = {}
+        # the same tree as edges (node, character) -> node in order, and the bytes of all pieces
+        nodes, edges, todo = [-1], {}, [(0, self.root)]
+        while todo:
+            at, below = todo.pop()
+            for c, (i, _, more) in below.items():
+                edges[at << 21 | ord(c)] = len(nodes)
+                todo.append((len(nodes), more))
+                nodes.append(i)
+        self.edges = np.array(sorted(edges), np.int64)
+        self.nodes, self.node_ids = np.array([edges[k] for k in self.edges.tolist()], np.int64), np.array(nodes, np.int64)
+        self.scores = np.zeros(len(self.text))
+        self.scores[list(self.ids.values())] = [self.score[p] for p in self.ids]
+        self.pool, self.sizes = pa.array(self.text, pa.binary()), np.array([len(t) for t in self.text], np.int64)
 
     def spelled(self, c: str) -> list[int]:
         return [self.bytes[b] for b in (MARK if c == LITERAL else c).encode()]
@@ -145,32 +162,111 @@ class Pieces:
         text = self.text
         return b"".join([text[i] for i in ids]).decode("utf-8", "replace")[1:]
 
+    def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of many words, one after the other, and how many each has: all their lattices at once.
+
+        The paths of a word meet where it ends, so its window is the word itself. Every piece that starts at any character
+        is found by going down the tree of prefixes together, and boundaries are settled in the order of their places.
+        A character that no piece spells is a piece by itself, put in bytes at the end.
+        """
+        sizes = pc.utf8_length(words).to_numpy().astype(np.int64) + 1
+        codes = np.frombuffer("".join(MARK + w for w in words.to_pylist()).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        ends = np.cumsum(sizes)
+        first = np.repeat(ends - sizes, sizes)
+        last = np.repeat(ends, sizes)
+        start, node, reach = np.arange(len(codes)), np.zeros(len(codes), np.int64), np.arange(len(codes))
+        single = np.zeros(len(codes), bool)
+        found = []
+        for length in range(1, self.longest + 1):
+            key = node << 21 | codes[reach]
+            at = np.minimum(np.searchsorted(self.edges, key), len(self.edges) - 1)
+            on = self.edges[at] == key
+            start, node = start[on], self.nodes[at[on]]
+            piece = self.node_ids[node]
+            whole = piece >= 0
+            found.append((start[whole], np.full(int(whole.sum()), length), piece[whole]))
+            if length == 1:
+                single[start[whole]] = True
+            reach = start + length
+            on = reach < last[start]
+            start, node, reach = start[on], node[on], reach[on]
+            if not len(start):
+                break
+        odd, number = np.unique(codes[~single], return_inverse=True)
+        found.append((np.flatnonzero(~single), np.ones(len(number), np.int64), len(self.scores) + number))
+        begins, lengths, ids = (np.concatenate(x) for x in zip(*found, strict=True))
+        scores = np.concatenate([self.scores, np.full(len(odd), self.least)])
+        place = begins - first[begins] + lengths
+        # boundaries in order, and at each the longer pieces first, which win ties
+        order = np.lexsort((-lengths, place))
+        begins, lengths, ids, place = begins[order], lengths[order], ids[order], place[order]
+        word = np.repeat(np.arange(len(sizes)), sizes)
+        best, back, took = np.full(len(codes) + len(sizes), -np.inf), np.zeros(len(codes) + len(sizes), np.int64), np.zeros(len(codes) + len(sizes), np.int64)
+        best[ends - sizes + np.arange(len(sizes))] = 0.0
+        begins = begins + word[begins]  # a word has one more boundary than characters
+        for part in np.split(np.arange(len(begins)), np.flatnonzero((np.diff(place) != 0) | (np.diff(lengths) != 0)) + 1) if len(begins) else []:
+            s = begins[part]
+            to, sums = s + lengths[part[0]], best[s] + scores[ids[part]]
+            better = sums > best[to]
+            best[to[better]], back[to[better]], took[to[better]] = sums[better], s[better], ids[part[better]]
+        at, zero = ends + np.arange(len(sizes)), ends - sizes + np.arange(len(sizes))
+        steps, who = [], np.arange(len(sizes))
+        while len(who):
+            steps.append((who, took[at[who]]))
+            at[who] = back[at[who]]
+            who = who[at[who] > zero[who]]
+        owner, values = (np.concatenate(x)[::-1] for x in zip(*steps, strict=True)) if steps else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        order = np.argsort(owner, kind="stable")
+        owner, values = owner[order], values[order]
+        if len(odd):
+            spelled = [self.spelled(chr(c)) for c in odd.tolist()]
+            extra = np.array([len(x) for x in spelled])
+            bytewise = values >= len(self.scores)
+            repeats = np.ones(len(values), np.int64)
+            repeats[bytewise] = extra[values[bytewise] - len(self.scores)]
+            inserted = [i for v in values[bytewise].tolist() for i in spelled[v - len(self.scores)]]
+            bytewise, owner, values = (np.repeat(x, repeats) for x in (bytewise, owner, values))
+            values[bytewise] = inserted
+        return values.astype(np.int32), np.bincount(owner, minlength=len(sizes))
+
     def encode_all(self, texts: pa.Array) -> pa.ListArray:
         """The ids of every text; words that recur in the batch are looked up once."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         plain = pc.invert(pc.match_substring_regex(texts, f"^$|^ |  |{MARK}")).to_numpy(zero_copy_only=False) & self.separate
-        parts: list = [None] * len(texts)
-        for k in np.flatnonzero(~plain):
-            parts[k] = np.array(self.encode(texts[int(k)].as_py()), np.int32)
-        chosen = np.flatnonzero(plain)
-        split = pc.split_pattern(texts.take(pa.array(chosen, pa.int64())), " ")
-        words = split.flatten().dictionary_encode()
-        pool = [self.word(MARK + w) for w in words.dictionary.to_pylist()]
-        lengths = np.array([len(p) for p in pool], np.int64)
+        # other texts count as one word of their own
+        slow = [np.array(self.encode(texts[int(k)].as_py()), np.int32) for k in np.flatnonzero(~plain)]
+        split = pc.split_pattern(pc.if_else(pa.array(plain), texts, ""), " ")
+        codes = split.flatten().dictionary_encode()
+        known = codes.dictionary
+        long = pc.utf8_length(known).to_numpy() >= LONGEST_WORD
+        short = pc.if_else(pa.array(long), "", known)
+        done = [self.words(short.slice(at, WORDS)) for at in range(0, max(1, len(known)), WORDS)]
+        flat, lengths = (np.concatenate(x) for x in zip(*done, strict=True))
+        if long.any():
+            # in the place of the empty words that stood for them
+            parts = np.split(flat, np.cumsum(lengths)[:-1])
+            for k in np.flatnonzero(long):
+                parts[k] = np.fromiter(self.stream(MARK + known[int(k)].as_py()), np.int32)
+            flat, lengths = np.concatenate(parts), np.array([len(x) for x in parts])
+        index, offsets = codes.indices.to_numpy().astype(np.int64), split.offsets.to_numpy() - split.offsets[0].as_py()
+        index[offsets[:-1][~plain]] = len(lengths) + np.arange(len(slow))
+        flat = np.concatenate([flat, *slow])
+        lengths = np.concatenate([lengths, np.array([len(x) for x in slow], np.int64)]).astype(np.int64)
         starts = np.cumsum(lengths) - lengths
-        flat = np.fromiter((i for p in pool for i in p), np.int32, int(lengths.sum()))
-        index = words.indices.to_numpy()
-        took = lengths[index] if len(index) else np.zeros(0, np.int64)
+        took = lengths[index]
         sums = np.concatenate([[0], np.cumsum(took)])
-        ids = flat[np.repeat(starts[index] - sums[:-1], took) + np.arange(int(sums[-1]))] if len(index) else flat
-        edges = sums[split.offsets.to_numpy() - split.offsets[0].as_py()] if len(chosen) else np.zeros(1, np.int64)
-        for k, a, b in zip(chosen, edges[:-1], edges[1:], strict=True):
-            parts[k] = ids[a:b]
-        offsets = np.cumsum([0, *map(len, parts)])
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(parts) if parts else flat, pa.int32()))
+        ids = flat[np.repeat(starts[index] - sums[:-1], took) + np.arange(int(sums[-1]))]
+        return pa.ListArray.from_arrays(pa.array(sums[offsets], pa.int32()), pa.array(ids, pa.int32()))
 
     def decode_all(self, lists: pa.ListArray) -> pa.Array:
-        return pa.array([None if ids is None else self.decode(ids) for ids in lists.to_pylist()], pa.string())
+        """The text of every list of ids: their bytes, gathered and joined without a step per id."""
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+        ids = pc.list_flatten(lists).to_numpy()
+        ends = np.concatenate([[0], np.cumsum(self.sizes[ids])])[np.concatenate([[0], np.cumsum(sizes)])]
+        content = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), self.pool.take(pa.array(ids))), b"")[0].as_buffer() if len(ids) else b""
+        view, null = memoryview(content), lists.is_null().to_pylist()
+        out = [None if gone else str(view[a:b], "utf-8", "replace")[1:] for a, b, gone in zip(ends[:-1].tolist(), ends[1:].tolist(), null, strict=True)]
+        return pa.array(out, pa.string())
 
 
 _LOADED: dict[str, Pieces] = {}
