@@ -90,25 +90,26 @@ def per_column(df: DataFrame, cells: Sequence[tuple[Mapping[str, str], str]]) ->
     return reduce(DataFrame.union, rows)
 
 
+def _with_derived(row: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    derived = {name: column for check in checks for name, column in check.derived.items()}
+    return row.withColumns(derived) if derived else row
+
+
 def measure(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """One row holding every metric of the checks, then the values derived from them."""
     inputs = {name: expression for check in checks for name, expression in check.inputs.items()}
     if inputs:
         df = df.selectExpr("*", *[sql.alias(expression, name) for name, expression in inputs.items()])
-    row = aggregated(df, {name: e for check in checks for name, e in check.metrics.items()})
-    derived = {name: column for check in checks for name, column in check.derived.items()}
-    return row.withColumns(derived) if derived else row
+    return _with_derived(aggregated(df, {name: e for check in checks for name, e in check.metrics.items()}), checks)
+
+
+def _unfolded(row: DataFrame, checks: Sequence[Check], fields) -> DataFrame:
+    found = row.selectExpr(sql.inline([sql.struct(fields(check) | check.flag()) for check in checks]))
+    return found.filter("_present").drop("_present")
 
 
 def _unfold(df: DataFrame, checks: Sequence[Check], fields) -> DataFrame:
-    parts = [
-        measure(df, part)
-        .selectExpr(sql.inline([sql.struct(fields(check) | check.flag()) for check in part]))
-        .filter("_present")
-        .drop("_present")
-        for part in chunks(checks)
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, [_unfolded(measure(df, part), part, fields) for part in chunks(checks)])
 
 
 def flat(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
@@ -120,18 +121,23 @@ def flat(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 
 def check_rows(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """The checks in the common schema: dimension, check, column, passed, score, threshold, details, basis."""
+    return _unfold(df, checks, _common)
+
+
+def measured_rows(row: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """As ``check_rows``, from a row that holds the metrics already."""
+    return _unfolded(_with_derived(row, checks), checks, _common)
 
-    def common(check: Check) -> dict[str, str]:
-        return {
-            "dimension": sql.string(check.dimension),
-            "check": sql.string(check.name),
-            "column": sql.string(check.column),
-            **check.result(),
-            "details": f"to_json({sql.struct(dict(check.fields))})",
-            "basis": f"CAST({check.basis or check.score} AS DOUBLE)",
-        }
 
-    return _unfold(df, checks, common)
+def _common(check: Check) -> dict[str, str]:
+    return {
+        "dimension": sql.string(check.dimension),
+        "check": sql.string(check.name),
+        "column": sql.string(check.column),
+        **check.result(),
+        "details": f"to_json({sql.struct(dict(check.fields))})",
+        "basis": f"CAST({check.basis or check.score} AS DOUBLE)",
+    }
 
 
 def _overall_score(dimension: str, mean: str) -> str:

@@ -685,6 +685,14 @@ def oracle_sql() -> dict[str, str]:
         + " FROM outlier_counts JOIN bounds USING (\"column\") WHERE method = 'iqr'",
         *OUTLIERS,
     )
+    out["quality_checks_incremental"] = out["quality_checks"]
+    out["cumulative_duplicates"] = _sql(
+        "SELECT r.snapshot, rows, new_keys, rows - new_keys AS repeated, (sum(rows) OVER w)::BIGINT AS total_rows, "
+        "(sum(rows - new_keys) OVER w)::BIGINT AS total_repeated, round((sum(rows - new_keys) OVER w)::DOUBLE / sum(rows) OVER w, 6) "
+        "AS duplicate_rate FROM (SELECT day::BIGINT AS snapshot, count(*) AS rows FROM dirty_orders GROUP BY day) r JOIN "
+        "(SELECT first AS snapshot, count(*) AS new_keys FROM (SELECT min(day) AS first FROM dirty_orders GROUP BY order_id) GROUP BY first) k "
+        "USING (snapshot) WINDOW w AS (ORDER BY snapshot)"
+    )
     out["anomaly_iqr_sketch"] = _sql(
         'SELECT "column", values_checked, true AS q1_within, true AS q3_within, true AS rate_within FROM outlier_counts '
         "WHERE method = 'iqr'",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +31,9 @@ from plumbline.operators import (
     validity,
 )
 from plumbline.plans import catalog as catalogs
+from plumbline.operators.seen import SeenKeys, cumulative_duplicates
 from plumbline.plans.anomaly import anomaly_checks
+from plumbline.plans.incremental import QualityStore
 from plumbline.plans.quality import quality_checks
 from plumbline.sources.readers import schema_inspect, union_snapshots
 from plumbline.sources.sinks import latest_report
@@ -246,6 +249,24 @@ def _quality_report_checks(t: Tables) -> DataFrame:
     return comparable(_quality(t).select(*CHECK_COLUMNS))
 
 
+@_query("cumulative_duplicates")
+def _cumulative_duplicates(t: Tables) -> DataFrame:
+    store = SeenKeys(t.spark, f"seen_{uuid.uuid4().hex}", scratch(t.spark, "seen"), 16).attach()
+    for first, last in ((1, 12), (13, 24), (25, 30)):
+        store.absorb(t.dirty_orders().filter(f"day BETWEEN {first} AND {last}"), ["order_id"], "day")
+    store.detach()
+    return comparable(cumulative_duplicates(store.counts()))
+
+
+@_query("quality_checks_incremental")
+def _quality_checks_incremental(t: Tables) -> DataFrame:
+    orders = t.dirty_orders()
+    store = QualityStore(t.spark, scratch(t.spark, "quality"), f"quality_{uuid.uuid4().hex}", LIMITS, ROLES, as_of=AS_OF, buckets=16)
+    for days in ("day <= 15", "day > 15"):
+        store.absorb(orders.filter(days), t.customers_ref(), t.city_state())
+    return comparable(store.quality_checks(orders, "dirty_orders", t.clean_table()).select(*CHECK_COLUMNS))
+
+
 # Univariate anomalies
 
 
