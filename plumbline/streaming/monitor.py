@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from plumbline.operators import scoring
-from plumbline.operators.drift import drift_events
+from plumbline.streaming.drift import drift_points, events_of, rocksdb_state, series_of
 
 
 def monitor(
@@ -48,19 +48,23 @@ def watch_drift(
     sigma: float = 2.0,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Store closed windows (as ``windowed_metrics`` emits them) and, after each batch, the drift events over all of them.
+    """Store closed windows (as ``windowed_metrics`` emits them) and the drift events among them.
 
-    The stored table has one row per window, so re-reading it is cheap however large the stream is.
+    The few points before each window are kept as state of the stream, so that no stored window is read again; every batch
+    writes its own windows and events, and a batch repeated after a failure overwrites them.
     """
     metrics = [c for c in windows.columns if c != "window_start"]
+    points = drift_points(series_of(windows), window, sigma)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/windows/batch_id={batch_id}")
-        closed = batch.sparkSession.read.schema(batch.schema).parquet(f"{path}/windows")
-        series = closed.select(
-            F.col("window_start").alias("snapshot"), *[F.col(c).cast("double").alias(c) for c in metrics]
-        ).unpivot(["snapshot"], metrics, "metric", "value")
-        drift_events(series, window, sigma).write.mode("overwrite").parquet(f"{path}/drift_events")
+        batch.persist()
+        try:
+            closed = batch.groupBy(F.col("snapshot").alias("window_start")).pivot("metric", metrics).agg(F.first("value"))
+            closed.write.mode("overwrite").parquet(f"{path}/windows/batch_id={batch_id}")
+            events_of(batch).write.mode("overwrite").parquet(f"{path}/drift_events/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
-    writer = windows.writeStream.outputMode("append").foreachBatch(store).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    writer = points.writeStream.outputMode("append").foreachBatch(store).option("checkpointLocation", checkpoint)
+    with rocksdb_state(windows.sparkSession):
+        return (writer.trigger(availableNow=True) if available_now else writer).start()

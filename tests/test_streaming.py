@@ -1,9 +1,14 @@
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
+
+import numpy as np
 import pytest
 
 from plumbline.operators import drift
 from plumbline.plans.quality import quality_checks
+from plumbline.streaming.drift import drift_points, events_of, rocksdb_state
 from plumbline.streaming.monitor import monitor, watch_drift
 from plumbline.streaming.windows import deduplicated, windowed_metrics
 
@@ -75,3 +80,69 @@ def test_drift_over_closed_windows(spark, events, stream, tmp_path):
         (r["metric"], r["snapshot"]) for r in drift.drift_events(drift.metric_series(batch)).collect() if r["snapshot"] in closed
     }
     assert {(r["metric"], r["snapshot"]) for r in spark.read.parquet(f"{path}/drift_events").collect()} == expected
+
+
+def _keys(df):
+    return {(r["metric"], r["snapshot"]) for r in df.collect()}
+
+
+def _arrivals(spark, rows, folder):
+    """One file per batch of rows (metric, snapshot, value)."""
+    for k, batch in enumerate(rows):
+        spark.createDataFrame(batch, "metric string, snapshot timestamp, value double").coalesce(1).write.mode("append").parquet(f"{folder}/b={k}")
+
+
+def test_stateful_drift_equals_the_batch_form_after_a_restart(spark, tmp_path):
+    """Rings of values survive between runs; nulls, constant metrics and several points in one batch included."""
+    random = np.random.default_rng(5)
+    days = [datetime(2026, 1, 1) + timedelta(days=d) for d in range(40)]
+    value = {
+        "noisy": lambda d: float(random.normal(0, 1) + (30 if d in (12, 29) else 0)),
+        "constant": lambda d: 5.0 if d != 20 else 6.0,
+        "holes": lambda d: None if d % 9 == 0 else float(random.normal(0, 1) * (10 if d == 25 else 1)),
+        "short": lambda d: 1.0,
+    }
+    rows = [[(m, days[d], f(d)) for d in part for m, f in value.items() if m != "short" or d < 4] for part in (range(0, 9), range(9, 10), range(10, 24), range(24, 40))]
+    folder, out, checkpoint = (str(tmp_path / x) for x in ("in", "out", "cp"))
+    for k in range(len(rows)):
+        _arrivals(spark, [[*b][:: (-1 if k == 2 else 1)] for b in rows[k : k + 1]], f"{folder}/run{k}")
+        stream = spark.readStream.schema("metric string, snapshot timestamp, value double").parquet(f"{folder}/run*/b=*")
+        with rocksdb_state(spark):
+            query = drift_points(stream).writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out)
+        query.awaitTermination(120)
+        assert query.exception() is None
+    assert "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") or "")
+    points = spark.read.parquet(out)
+    series = spark.createDataFrame([r for part in rows for r in part], "metric string, snapshot timestamp, value double")
+    expected = {(r["metric"], r["snapshot"]): r for r in drift.drift_events(series).collect()}
+    found = {(r["metric"], r["snapshot"]): r for r in events_of(points).collect()}
+    assert points.count() == series.count() and set(found) == set(expected) and len(expected) >= 3
+    for key, row in found.items():
+        assert row["z_score"] == pytest.approx(expected[key]["z_score"], rel=1e-6)
+        assert row["rolling_mean"] == pytest.approx(expected[key]["rolling_mean"])
+
+
+def test_silent_metrics_give_a_gap(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    day = lambda d: datetime(2026, 1, d)
+    _arrivals(spark, [[("a", day(1), 1.0), ("b", day(1), 1.0)], [("a", day(2), 1.0)], [("a", day(9), 1.0)], [("a", day(10), 1.0)]], folder)
+    stream = spark.readStream.schema("metric string, snapshot timestamp, value double").option("maxFilesPerTrigger", 1).parquet(f"{folder}/b=*")
+    with rocksdb_state(spark):
+        points = drift_points(stream.withWatermark("snapshot", "0 seconds"), gap="3 days")
+        query = points.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start(out)
+    query.awaitTermination(120)
+    assert query.exception() is None
+    gaps = spark.read.parquet(out).where("kind = 'gap'")
+    assert ("b", day(1)) in _keys(gaps) and all(r["alert"] for r in gaps.collect())
+    assert _keys(events_of(spark.read.parquet(out))) == set()
+
+
+def test_watched_windows_are_written_once(spark, events, stream, tmp_path):
+    """Every batch writes its own windows and events, none those of an earlier one."""
+    metrics = {k: v for k, v in METRICS.items() if k != "nulls_of"}
+    path = str(tmp_path / "out")
+    query = watch_drift(windowed_metrics(stream, **metrics, delay="1 day"), path, str(tmp_path / "cp"))
+    query.awaitTermination(240)
+    windows = spark.read.parquet(f"{path}/windows")
+    assert windows.count() == windows.select("window_start").distinct().count()
+    assert windows.select("batch_id").distinct().count() >= 2
