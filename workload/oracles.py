@@ -685,6 +685,11 @@ def oracle_sql() -> dict[str, str]:
         + " FROM outlier_counts JOIN bounds USING (\"column\") WHERE method = 'iqr'",
         *OUTLIERS,
     )
+    out["snapshot_scan"] = _sql(
+        "SELECT day::BIGINT AS day, count(*) AS rows, count(nullif(customer_email, '')) AS emails, "
+        "count(TRY_CAST(order_date AS TIMESTAMP)) AS dated, sum(quantity)::BIGINT AS quantity, round(sum(total_amount), 2) AS amount "
+        "FROM dirty_orders WHERE day BETWEEN 3 AND 5 GROUP BY day"
+    )
     out["quality_checks_incremental"] = out["quality_checks"]
     out["cumulative_duplicates"] = _sql(
         "SELECT r.snapshot, rows, new_keys, rows - new_keys AS repeated, (sum(rows) OVER w)::BIGINT AS total_rows, "

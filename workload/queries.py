@@ -37,6 +37,7 @@ from plumbline.plans.incremental import QualityStore
 from plumbline.plans.quality import quality_checks
 from plumbline.sources.readers import schema_inspect, union_snapshots
 from plumbline.sources.sinks import latest_report
+from plumbline.sources.snapshots import read_snapshots
 from plumbline.streaming.windows import windowed_metrics
 from workload.fixture import AS_OF, Tables
 
@@ -101,6 +102,19 @@ def _union_of_snapshots(t: Tables) -> DataFrame:
     )
 
 
+@_query("snapshot_scan")
+def _snapshot_scan(t: Tables) -> DataFrame:
+    # a file per day, as a shop would deliver them, of which three are opened
+    folder = scratch(t.spark, "daily")
+    columns = ["order_id", "customer_email", "quantity", "total_amount", "order_date"]
+    daily = t.dirty_orders().select(*columns, F.expr("lpad(day, 2, '0') AS file"))
+    daily.repartition("file").write.option("header", True).option("emptyValue", "").partitionBy("file").csv(folder)
+    schema = "order_id string, customer_email string, quantity bigint, total_amount double, order_date timestamp"
+    read = read_snapshots(t.spark, f"{folder}/file=*/part-*.csv", schema).where("day BETWEEN 3 AND 5")
+    sums = ("count(*) AS rows", "count(customer_email) AS emails", "count(order_date) AS dated", "sum(quantity) AS quantity", "sum(total_amount) AS amount")
+    return comparable(read.groupBy("day").agg(*map(F.expr, sums)), 2)
+
+
 @_query("latest_report")
 def _latest_of_reports(t: Tables) -> DataFrame:
     return comparable(latest_report(score_history(t)).drop("dimension_scores", "run_date"))
