@@ -685,6 +685,11 @@ def oracle_sql() -> dict[str, str]:
         + " FROM outlier_counts JOIN bounds USING (\"column\") WHERE method = 'iqr'",
         *OUTLIERS,
     )
+    out["checks_while_writing"] = _sql(
+        f"SELECT * FROM ({CHECK_LISTING}quality) WHERE dimension <> 'uniqueness' AND \"check\" NOT LIKE 'overall%' AND "
+        "\"check\" NOT IN ('referential_integrity_customer', 'city_state_mapping')",
+        *QUALITY,
+    )
     out["snapshot_scan"] = _sql(
         "SELECT day::BIGINT AS day, count(*) AS rows, count(nullif(customer_email, '')) AS emails, "
         "count(TRY_CAST(order_date AS TIMESTAMP)) AS dated, sum(quantity)::BIGINT AS quantity, round(sum(total_amount), 2) AS amount "
@@ -800,6 +805,13 @@ def oracle_sql() -> dict[str, str]:
         'row_number() OVER (PARTITION BY "column" ORDER BY copies DESC, value) AS rank FROM value_shares) WHERE rank <= 10',
         VALUE_COUNTS,
     )
+    out["frequent_values"] = _sql(
+        'SELECT "column", rank::INT AS rank, value, copies, round(copies / n * 100, 2) AS percentage, round(3.5::DOUBLE / 4096 * n, 6) AS bound, '
+        'true AS certain FROM (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY copies DESC, value) AS rank FROM value_shares) '
+        "WHERE rank <= 10 AND copies > 3.5::DOUBLE / 4096 * n AND \"column\" IN ('product_category', 'order_status', 'payment_method', "
+        "'shipping_city', 'shipping_state', 'order_id')",
+        VALUE_COUNTS,
+    )
     out["profile_entropy"] = _sql(
         'SELECT "column", count(*) AS distinct_count, round(sum(-p * ln(p + 1e-10)), 4) AS entropy, '
         "round(sum(-p * ln(p + 1e-10)) / CASE WHEN count(*) > 1 THEN ln(count(*)) ELSE 1 END, 4) AS normalized_entropy, "

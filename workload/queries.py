@@ -34,6 +34,7 @@ from plumbline.plans import catalog as catalogs
 from plumbline.operators.seen import SeenKeys, cumulative_duplicates
 from plumbline.plans.anomaly import anomaly_checks
 from plumbline.plans.incremental import QualityStore
+from plumbline.plans.materialise import write_checked
 from plumbline.plans.quality import quality_checks
 from plumbline.sources.readers import schema_inspect, union_snapshots
 from plumbline.sources.sinks import latest_report
@@ -263,6 +264,12 @@ def _quality_report_checks(t: Tables) -> DataFrame:
     return comparable(_quality(t).select(*CHECK_COLUMNS))
 
 
+@_query("checks_while_writing")
+def _checks_while_writing(t: Tables) -> DataFrame:
+    found = write_checked(t.dirty_table(), scratch(t.spark, "orders"), "dirty_orders", t.clean_table(), LIMITS, ROLES, as_of=AS_OF)
+    return comparable(found.select(*CHECK_COLUMNS))
+
+
 @_query("cumulative_duplicates")
 def _cumulative_duplicates(t: Tables) -> DataFrame:
     store = SeenKeys(t.spark, f"seen_{uuid.uuid4().hex}", scratch(t.spark, "seen"), 16).attach()
@@ -484,6 +491,12 @@ def _profile_top_values(t: Tables) -> DataFrame:
     return comparable(profile.top_values(t.dirty_table()))
 
 
+@_query("frequent_values")
+def _frequent_values(t: Tables) -> DataFrame:
+    columns = ["product_category", "order_status", "payment_method", "shipping_city", "shipping_state", "order_id"]
+    return comparable(profile.frequent_values(t.dirty_table(), columns).where("certain"))
+
+
 @_query("profile_entropy")
 def _profile_entropy(t: Tables) -> DataFrame:
     return profile.entropy_profile(t.dirty_table())
