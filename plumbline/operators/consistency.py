@@ -110,6 +110,16 @@ def _lookup_pairs(df: DataFrame, mapping: DataFrame, lookup: Lookup) -> DataFram
     return pairs.join(known, F.expr("_key = _known"), "left")
 
 
+def lookup_conflicts(mapping: DataFrame) -> DataFrame:
+    """Keys to which a mapping (columns ``key``, ``value``) gives several values, with the least and greatest of them.
+
+    The lookup check expects the greatest one, so a mapping should have no conflicts.
+    """
+    found = mapping.where("key IS NOT NULL AND value IS NOT NULL").groupBy("key", "value").agg(F.expr("count(*) AS rows"))
+    sums = ("count(*) AS values", "sum(rows) AS rows", "min(value) AS least", "max(value) AS greatest")
+    return found.groupBy("key").agg(*map(F.expr, sums)).where("values > 1")
+
+
 def lookup_check(lookup: Lookup) -> Check:
     observed = sql.rate("mismatched", "rows")
     return Check(

@@ -208,5 +208,18 @@ def outliers_by_column(df: DataFrame, methods: Sequence[str] = univariate.METHOD
     return found if some else found.limit(0)
 
 
-def preview(df: DataFrame, rows: int) -> DataFrame:
-    return df.limit(rows)
+def preview(df: DataFrame, rows: int, order_by: Sequence[str] = ()) -> DataFrame:
+    """The first rows, in the order of some columns (nulls first) if these are given: each task keeps that many."""
+    ordered = df.orderBy(*[F.col(sql.name(c)).asc_nulls_first() for c in order_by]) if order_by else df
+    return ordered.limit(rows)
+
+
+def category_shares(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
+    """``category_share`` in rows, for any number of categories: snapshot, category, rows, share of the non-null ones.
+
+    Categories are counted in tasks first; a snapshot's total is joined to them, so they never meet in one task.
+    """
+    counted = df.groupBy(F.expr(f"{sql.name(roles.snapshot)} AS snapshot"), F.expr(f"CAST({sql.name(roles.category)} AS STRING) AS category"))
+    counts = counted.agg(F.expr("count(*) AS rows")).where("category IS NOT NULL")
+    totals = counts.groupBy("snapshot").agg(F.expr("sum(rows) AS total"))
+    return counts.join(totals, "snapshot").selectExpr("snapshot", "category", "rows", "CAST(rows AS DOUBLE) / total AS share")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions import sqltext as sql
-from plumbline.functions.columns import as_text, nan_to_null
+from plumbline.functions.columns import as_text, nan_to_null, numeric_columns
 from plumbline.operators.checks import aggregated, per_column
 
 # Names a source may be given by, and the tokens read as missing in text files.
@@ -324,16 +324,23 @@ def table_listing_query(schema: str, kind: str = "postgresql") -> str:
 
 
 def schema_inspect(df: DataFrame) -> DataFrame:
-    """Name, type, whether nulls occur and the least value as a sample, observed over the whole table."""
+    """Name, type, whether nulls occur, the least value as a sample, the longest text's characters (null for other types)
+    and the column's default where the source declares one; nulls, samples and lengths are observed over the whole table."""
     df = nan_to_null(df)
+    numbers = set(numeric_columns(df))
     cells = []
     for i, f in enumerate(df.schema.fields):
-        metrics = {f"n{i}": f"count_if({sql.name(f.name)} IS NULL)", f"s{i}": f"min({as_text(f.dataType, f.name)})"}
+        least = f"min({sql.name(f.name)})" if f.name in numbers else f"min({as_text(f.dataType, f.name)})"
+        text = isinstance(f.dataType, T.StringType)
+        metrics = {f"n{i}": f"count_if({sql.name(f.name)} IS NULL)", f"s{i}": least}
+        metrics |= {f"m{i}": f"max(length({sql.name(f.name)}))"} if text else {}
         fields = {
             "column_name": sql.string(f.name),
             "dtype": sql.string(f.dataType.simpleString()),
             "nullable": f"n{i} > 0",
-            "sample": f"s{i}",
+            "sample": as_text(f.dataType, f"s{i}") if f.name in numbers else f"s{i}",
+            "max_length": f"m{i}" if text else "CAST(NULL AS INT)",
+            "default": sql.string((f.metadata or {}).get("CURRENT_DEFAULT")),
         }
         cells.append((metrics, sql.struct(fields)))
     return per_column(df, cells)

@@ -154,3 +154,5 @@ def test_filters(spark):
     domains = {(r["domain"], r["value"]) for r in reports.filter_domains(df, ["kind"]).collect()}
     assert domains == {("min_date", "2026-01-01"), ("max_date", "2026-01-03"), ("kind", "a"), ("kind", "b")}
     assert reports.preview(df, 2).count() == 2
+    first = df.columns[0]
+    assert [r[0] for r in reports.preview(df, 2, [first]).collect()] == [r[0] for r in df.orderBy(first).limit(2).collect()]

@@ -104,3 +104,12 @@ def test_schema_inspection_covers_the_whole_table(spark):
     found = {r["column_name"]: r for r in readers.schema_inspect(df).collect()}
     assert not found["id"]["nullable"] and found["late_null"]["nullable"] and found["nan"]["nullable"]
     assert (found["id"]["dtype"], found["id"]["sample"], found["nan"]["sample"]) == ("bigint", "0", None)
+
+
+def test_schema_inspection_of_lengths_samples_and_defaults(spark):
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("n", T.IntegerType(), True, {"CURRENT_DEFAULT": "7"}), T.StructField("s", T.StringType())])
+    found = {r["column_name"]: r for r in readers.schema_inspect(spark.createDataFrame([(10, "ab"), (9, "éèê"), (None, None)], schema)).collect()}
+    assert (found["n"]["sample"], found["n"]["default"], found["n"]["max_length"]) == ("9", "7", None)
+    assert (found["s"]["sample"], found["s"]["default"], found["s"]["max_length"]) == ("ab", None, 3)

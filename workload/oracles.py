@@ -268,7 +268,43 @@ def _overall(dimension: str) -> str:
     )
 
 
-CHECK_LISTING = 'SELECT dimension, "check", "column", passed, round(score, 6) AS score, threshold FROM '
+CHECK_LISTING = (
+    'SELECT \'dirty_orders\' AS dataset, dimension, "check", "column", passed, round(score, 6) AS score, threshold, '
+    "'2026-02-01 00:00:00' AS ts FROM "
+)
+
+
+def _details(check: str, source: str, numbers: str = "", texts: str = "") -> str:
+    """Rows (check, field, number, text) from columns of a family, given as "field=expression" or by the field's name."""
+    parts = []
+    for fields, is_text in ((numbers, False), (texts, True)):
+        for field in filter(None, fields.split()):
+            name, _, expression = field.partition("=")
+            value = f"NULL::DOUBLE AS number, ({expression or name})::VARCHAR AS text" if is_text else f"round(({expression or name})::DOUBLE, 6) AS number, NULL AS text"
+            parts.append(f"SELECT {check} AS \"check\", '{name}' AS field, {value} FROM {source}")
+    return _union(parts)
+
+
+_COLUMN = '"column"'
+QUALITY_DETAILS = [
+    _details(f"'null_rate_' || {_COLUMN}", "null_rates", "total_rows null_count empty_string_count total_missing null_rate", f"column={_COLUMN}"),
+    _details("'exact_row_duplicates'", "exact_dups", "total_rows duplicate_rows duplicate_rate"),
+    _details("'key_duplicates_order_id'", "key_dups", "total_rows duplicate_keys duplicate_rate", "key_column"),
+    _details("'email_format'", "format_check", "values_checked valid invalid=values_checked-valid validity_rate", "column='customer_email'"),
+    _details("'future_dates'", "future_check", "total_rows future_dates future_date_rate parse_failures parse_success_rate", "column='order_date'"),
+    _details(f"'range_check_' || {_COLUMN}", "range_check", "range_min range_max values_checked out_of_range out_of_range_rate actual_min actual_max", f"column={_COLUMN}"),
+    _details("'referential_integrity_customer'", "reference_check", "total_rows valid_references=total_rows-orphan_records orphan_records orphan_rate valid_rate", "column='customer_id'"),
+    _details("'amount_calculation'", "arithmetic_check", "rows_checked inconsistent_rows=bad inconsistency_rate=rate", "check='amount_calculation'"),
+    _details("'city_state_mapping'", "mapping_check", "rows_checked mismatched=bad mismatch_rate=rate", "check='city_state_mapping'"),
+    _details("'data_freshness'", "timeliness_check", "hours_since_update=hours", "column='order_date' most_recent_record=latest"),
+    _details("'recent_data_ratio'", "timeliness_check", "total_dates recent_records recent_ratio=ratio", "column='order_date' min_date=earliest max_date=latest"),
+    _details(f"'distribution_comparison_' || {_COLUMN}", "accuracy_check", "dirty_mean clean_mean mean_shift dirty_std clean_std dirty_count clean_count", f"column={_COLUMN}"),
+    _details("'overall_' || dimension", "overalls", "checks_aggregated=n average"),
+]
+ANOMALY_DETAILS = [
+    _details(f"'iqr_outliers_' || {_COLUMN}", f"(SELECT * FROM outlier_counts JOIN bounds USING ({_COLUMN}) WHERE method='iqr')", "q1 q3 iqr=q3-q1 lower_bound=q1-1.5*(q3-q1) upper_bound=q3+1.5*(q3-q1) values_checked outlier_count outlier_rate", f"column={_COLUMN} method"),
+    _details(f"method || '_' || {_COLUMN}", "(SELECT * FROM outlier_counts WHERE method <> 'iqr')", "max_abs_z=max_severity values_checked outlier_count outlier_rate", f"column={_COLUMN} method"),
+]
 
 # Anomalies
 
@@ -503,9 +539,20 @@ HISTORY = (
     f"recent AS (SELECT * FROM history WHERE ts >= {NOW} - INTERVAL 30 DAYS)",
 )
 HISTORY_ROW = (
-    "CAST(ts AS VARCHAR) AS ts, round(overall_score, 6) AS overall_score, status, num_checks, num_passed, num_failed, run_type"
+    "CAST(ts AS VARCHAR) AS ts, round(overall_score, 6) AS overall_score, status, num_checks, num_passed, num_failed, run_type, "
+    "CAST(ts::DATE AS VARCHAR) AS run_date, 1::INT AS scored, round(overall_score, 6) AS completeness"
 )
 
+
+def _scores(table: str, dimensions: tuple[str, ...]) -> str:
+    """A report's scores by dimension, rounded as in the report."""
+    cells = ", ".join(f"(SELECT round(score, 4) FROM {table} WHERE dimension = '{d}') AS {d}" for d in dimensions)
+    return f"(SELECT count(*)::INT FROM {table}) AS scored, {cells}"
+
+
+QUALITY_DIMENSIONS = ("completeness", "uniqueness", "validity", "consistency", "timeliness", "accuracy")
+ANOMALY_DIMENSIONS = ("anomaly_iqr", "anomaly_zscore", "anomaly_drift")
+
 _PREDICATES = (
     ("positive_total", "total_amount > 0", 0.99, "true"),
     ("plausible_quantity", "quantity BETWEEN 1 AND 100", 0.995, "true"),
@@ -554,7 +601,9 @@ def _null_pct(source: str, columns: list[str], name: str) -> str:
 def _inspect(c: str) -> str:
     kind = "bigint" if c == "day" else _type(c)
     return (
-        f"SELECT '{c}' AS column_name, '{kind}' AS dtype, count(*) > count({c}) AS nullable, min({c}::VARCHAR) AS sample "
+        f"SELECT '{c}' AS column_name, '{kind}' AS dtype, count(*) > count({c}) AS nullable, min({c})::VARCHAR AS sample, "
+        + (f"max(length({c}))::INT" if kind == "string" else "NULL::INT")
+        + ' AS max_length, NULL::VARCHAR AS "default" '
         "FROM dirty_orders"
     )
 
@@ -748,9 +797,34 @@ def oracle_sql() -> dict[str, str]:
     out["drift_events"] = _sql(DRIFT_LISTING, *DRIFT)
     out["drift_summary"] = _sql(
         "SELECT metric, snapshots, drift_events, round(drift_rate, 6) AS drift_rate, drift_rate <= 0.05 AS passed, "
-        "round(greatest(0, 1 - drift_rate * 10), 6)::DOUBLE AS score, 0.05::DOUBLE AS threshold FROM drift",
+        "round(greatest(0, 1 - drift_rate * 10), 6)::DOUBLE AS score, 0.05::DOUBLE AS threshold, drift_events::INT AS alerts FROM drift",
         *DRIFT,
     )
+    out["drift_summary_alerts"] = _sql(
+        "SELECT metric, snapshot, round(value, 4) AS value, round(rolling_mean, 4) AS rolling_mean, round(z_score, 4) AS z_score "
+        "FROM scored WHERE alert",
+        *DRIFT,
+    )
+    out["quality_details"] = _sql(_union(QUALITY_DETAILS), *QUALITY)
+    out["anomaly_details"] = _sql(_union(ANOMALY_DETAILS), *OUTLIERS)
+    out["custom_detector"] = _sql(
+        "SELECT 'dirty_orders' AS dataset, 'anomaly_sentinel' AS dimension, 'sentinel_quantity' AS \"check\", 'quantity' AS \"column\", "
+        "f / n <= 0.001 AS passed, round(greatest(0, 1 - f / n * 100), 6) AS score, 0.001::DOUBLE AS threshold, "
+        "'{\"rows\":' || n || ',\"found\":' || found || '}' AS details, '2026-02-01 00:00:00' AS ts "
+        "FROM (SELECT count(*) AS n, count(*) FILTER (quantity = 999) AS found, (count(*) FILTER (quantity = 999))::DOUBLE AS f FROM o)"
+    )
+    out["lookup_conflicts"] = _sql(
+        "SELECT shipping_city AS key, count(DISTINCT shipping_state) AS \"values\", count(*) AS rows, min(shipping_state) AS least, "
+        "max(shipping_state) AS greatest FROM o WHERE shipping_city IS NOT NULL AND shipping_state IS NOT NULL GROUP BY shipping_city "
+        "HAVING count(DISTINCT shipping_state) > 1"
+    )
+    out["category_shares"] = _sql(
+        "SELECT day AS snapshot, product_name AS category, count(*) AS rows, round(count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY day), 6) "
+        "AS share FROM dirty_orders WHERE product_name IS NOT NULL GROUP BY day, product_name"
+    )
+    out["preview"] = _sql(
+        "SELECT order_id, customer_email, day FROM dirty_orders ORDER BY customer_email NULLS FIRST, order_id, day LIMIT 12"
+    )
     out["drift_timeline"] = _sql(
         "SELECT metric, snapshot, round(value, 6) AS value FROM framed "
         "WHERE (position - 1) % greatest(1, snapshots // 10) = 0",
@@ -765,7 +839,8 @@ def oracle_sql() -> dict[str, str]:
     out["report_totals"] = _sql(
         f"SELECT 'dirty_orders' AS dataset, round(overall, 4) AS overall_score, {STATUS}, "
         "(SELECT count(*) FROM quality) AS num_checks, (SELECT count(*) FROM quality WHERE passed) AS num_passed, "
-        "(SELECT count(*) FROM quality WHERE NOT passed) AS num_failed FROM total",
+        "(SELECT count(*) FROM quality WHERE NOT passed) AS num_failed, '2026-02-01 00:00:00' AS ts, "
+        + _scores("quality_scores", QUALITY_DIMENSIONS) + " FROM total",
         *QUALITY_SCORES,
         TOTAL,
     )
@@ -779,7 +854,7 @@ def oracle_sql() -> dict[str, str]:
     out["merged_report"] = _sql(
         "SELECT dimensions, round(overall, 4) AS overall_score, " + STATUS + ", (SELECT count(*) FROM all_checks) AS num_checks, "
         "(SELECT count(*) FROM all_checks WHERE passed) AS num_passed, "
-        "(SELECT count(*) FROM all_checks WHERE NOT passed) AS num_failed "
+        "(SELECT count(*) FROM all_checks WHERE NOT passed) AS num_failed, " + _scores("merged", QUALITY_DIMENSIONS + ANOMALY_DIMENSIONS) + " "
         "FROM (SELECT count(*) AS dimensions, avg(score) AS overall FROM merged)",
         *both,
     )
@@ -867,7 +942,7 @@ def oracle_sql() -> dict[str, str]:
 
     newest = "SELECT * FROM recent ORDER BY ts DESC LIMIT 20"
     out["history_load"] = _sql(
-        f"SELECT {HISTORY_ROW}, round(overall_score, 6) AS completeness FROM ({newest}) AS kept", *HISTORY
+        f"SELECT {HISTORY_ROW} FROM ({newest}) AS kept", *HISTORY
     )
     out["history_load_oldest"] = _sql(
         "SELECT CAST(ts AS VARCHAR) AS ts, round(overall_score, 6) AS overall_score, status FROM "

@@ -44,7 +44,9 @@ from workload.fixture import AS_OF, Tables
 
 LIMITS = Thresholds()
 ROLES = Roles()
-CHECK_COLUMNS = ("dimension", "check", "column", "passed", "score", "threshold")
+CHECK_COLUMNS = ("dataset", "dimension", "check", "column", "passed", "score", "threshold", "ts")
+QUALITY_DIMENSIONS = ("completeness", "uniqueness", "validity", "consistency", "timeliness", "accuracy")
+ANOMALY_DIMENSIONS = ("anomaly_iqr", "anomaly_zscore", "anomaly_drift")
 RULES = [
     custom.Predicate("validity", "positive_total", "total_amount > 0", 0.99),
     custom.Predicate("validity", "plausible_quantity", "quantity BETWEEN 1 AND 100", 0.995),
@@ -80,6 +82,21 @@ def comparable(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.selectExpr(*out)
 
 
+def detailed(checks: DataFrame) -> DataFrame:
+    """The details of checks in rows: check, field, and the value as a number or else as text."""
+    cells = checks.selectExpr("check", "inline(map_entries(from_json(details, 'map<string,string>')))")
+    time = "value RLIKE '^[0-9]{4}-[0-9]{2}-[0-9]{2}T'"
+    number = "try_cast(value AS DOUBLE)"
+    text = f"CASE WHEN {time} THEN substr(replace(value, 'T', ' '), 1, 19) WHEN {number} IS NULL THEN value END"
+    return comparable(cells.selectExpr("check", "key AS field", f"{number} AS number", f"{text} AS text"))
+
+
+def with_scores(report: DataFrame, dimensions: tuple[str, ...]) -> DataFrame:
+    """A report with a column per dimension in place of the map."""
+    scores = [f"dimension_scores['{d}'] AS {d}" for d in dimensions]
+    return comparable(report.selectExpr("*", "size(dimension_scores) AS scored", *scores).drop("dimension_scores"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bound(build):
         return lambda spark, folder: build(Tables(spark, folder))
@@ -118,7 +135,7 @@ def _snapshot_scan(t: Tables) -> DataFrame:
 
 @_query("latest_report")
 def _latest_of_reports(t: Tables) -> DataFrame:
-    return comparable(latest_report(score_history(t)).drop("dimension_scores", "run_date"))
+    return with_scores(latest_report(score_history(t)), ("completeness",))
 
 
 # Quality dimensions
@@ -264,6 +281,16 @@ def _quality_report_checks(t: Tables) -> DataFrame:
     return comparable(_quality(t).select(*CHECK_COLUMNS))
 
 
+@_query("quality_details")
+def _quality_details(t: Tables) -> DataFrame:
+    return detailed(_quality(t))
+
+
+@_query("lookup_conflicts")
+def _lookup_conflicts(t: Tables) -> DataFrame:
+    return consistency.lookup_conflicts(t.dirty_orders().selectExpr("shipping_city AS key", "shipping_state AS value"))
+
+
 @_query("checks_while_writing")
 def _checks_while_writing(t: Tables) -> DataFrame:
     found = write_checked(t.dirty_table(), scratch(t.spark, "orders"), "dirty_orders", t.clean_table(), LIMITS, ROLES, as_of=AS_OF)
@@ -381,7 +408,12 @@ def _drift_events(t: Tables) -> DataFrame:
 
 @_query("drift_summary")
 def _drift_summary(t: Tables) -> DataFrame:
-    return comparable(drift.drift_summary(_series(t)).drop("alerts"))
+    return comparable(drift.drift_summary(_series(t)).selectExpr("* EXCEPT (alerts)", "size(alerts) AS alerts"))
+
+
+@_query("drift_summary_alerts")
+def _drift_summary_alerts(t: Tables) -> DataFrame:
+    return comparable(drift.drift_summary(_series(t)).selectExpr("metric", "inline(alerts)"), 4)
 
 
 @_query("drift_timeline")
@@ -419,6 +451,27 @@ def _anomaly_report_checks(t: Tables) -> DataFrame:
     return comparable(_anomaly(t).select(*CHECK_COLUMNS))
 
 
+@_query("anomaly_details")
+def _anomaly_details(t: Tables) -> DataFrame:
+    return detailed(_anomaly(t).where("dimension <> 'anomaly_drift'"))
+
+
+def sentinel_detector(df: DataFrame) -> DataFrame:
+    """A detector as a user would add one: the share of quantities that stand for a missing one."""
+    row = df.selectExpr("count(*) AS rows", "count_if(quantity = 999) AS found")
+    rate = "CAST(found AS DOUBLE) / rows"
+    return row.selectExpr(
+        "'anomaly_sentinel' AS dimension", "'sentinel_quantity' AS check", "'quantity' AS column", f"{rate} <= 0.001D AS passed",
+        f"greatest(0D, 1D - {rate} * 100) AS score", "0.001D AS threshold", "to_json(struct(rows, found)) AS details",
+    )
+
+
+@_query("custom_detector")
+def _custom_detector(t: Tables) -> DataFrame:
+    found = anomaly_checks(t.dirty_table(), "dirty_orders", with_forest=False, detectors=[sentinel_detector], as_of=AS_OF)
+    return comparable(found.where("dimension = 'anomaly_sentinel'"))
+
+
 # Scores and reports
 
 
@@ -434,7 +487,7 @@ def _overall_score(t: Tables) -> DataFrame:
 
 @_query("report_totals")
 def _report_totals(t: Tables) -> DataFrame:
-    return scoring.report(_quality(t), LIMITS).drop("ts", "dimension_scores")
+    return with_scores(scoring.report(_quality(t), LIMITS), QUALITY_DIMENSIONS)
 
 
 @_query("dimension_status")
@@ -444,7 +497,7 @@ def _dimension_status(t: Tables) -> DataFrame:
 
 @_query("merged_report")
 def _merged_report(t: Tables) -> DataFrame:
-    return scoring.merged_report(_quality(t), _anomaly(t), LIMITS).drop("dimension_scores")
+    return with_scores(scoring.merged_report(_quality(t), _anomaly(t), LIMITS), QUALITY_DIMENSIONS + ANOMALY_DIMENSIONS)
 
 
 @_query("merged_dimensions")
@@ -589,8 +642,7 @@ def score_history(t: Tables) -> DataFrame:
 @_query("history_load")
 def _history_load(t: Tables) -> DataFrame:
     loaded = history.recent(score_history(t), AS_OF, days=30, limit=20)
-    named = loaded.selectExpr("*", "dimension_scores['completeness'] AS completeness")
-    return comparable(named.drop("dimension_scores", "run_date"))
+    return with_scores(loaded, ("completeness",))
 
 
 @_query("history_load_oldest")
@@ -601,7 +653,7 @@ def _history_load_oldest(t: Tables) -> DataFrame:
 
 @_query("history_latest")
 def _history_latest(t: Tables) -> DataFrame:
-    return comparable(history.latest(score_history(t)).drop("dimension_scores", "run_date"))
+    return with_scores(history.latest(score_history(t)), ("completeness",))
 
 
 @_query("history_trend")
@@ -640,6 +692,16 @@ def _category_share(t: Tables) -> DataFrame:
     return comparable(reports.category_share(t.dirty_orders(), roles=ROLES))
 
 
+@_query("category_shares")
+def _category_shares(t: Tables) -> DataFrame:
+    return comparable(reports.category_shares(t.dirty_orders(), Roles(category="product_name")))
+
+
+@_query("preview")
+def _preview(t: Tables) -> DataFrame:
+    return reports.preview(t.dirty_orders().select("order_id", "customer_email", "day"), 12, ["customer_email", "order_id", "day"])
+
+
 @_query("histogram")
 def _histogram(t: Tables) -> DataFrame:
     return comparable(reports.histogram(t.dirty_table(), "total_amount"))
