@@ -25,6 +25,8 @@ QUERY_BYTES = 8 << 20
 VECTOR_BLOCK = 2048
 TILE = 256
 CELL_BITS = 5
+#: Bytes of exact vectors that one step reads.
+GATHER_BYTES = 64 << 20
 
 PACKED = "{0} int, dim int, {0}_ids binary, {0}_exact binary, {0}_cells binary, {0}_edges binary"
 
@@ -69,50 +71,79 @@ def _tile(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids:
     n, rows, open_ = len(ids), [], np.arange(len(queries))
     read = min(n, 2 * k)
     while len(open_):
-        near = order[open_, :read]
-        scores = _exact_scores(queries[open_], vectors[near])
-        scores[bounds[open_, :read] == -np.inf] = -np.inf
-        best = np.lexsort((ids[near], -scores), axis=1)[:, :k]
-        top = np.take_along_axis(scores, best, axis=1)
-        # certain once the next bound lies under the k-th score; an equal bound could still hold a smaller identifier
-        done = np.ones(len(open_), bool) if read == n else bounds[open_, read] < top[:, -1]
-        for i in np.flatnonzero(done):
-            real = top[i] > -np.inf
-            rows.append((np.full(int(real.sum()), open_[i]), ids[near[i, best[i]]][real], top[i][real]))
-        open_, read = open_[~done], min(n, 2 * read)
+        left = []
+        # many equal bounds can ask for much of a block, so as many queries at a time as fit
+        for some in np.array_split(open_, max(1, math.ceil(len(open_) * read * vectors.shape[1] * 8 / GATHER_BYTES))):
+            near = order[some, :read]
+            scores = _exact_scores(queries[some], vectors[near])
+            scores[bounds[some, :read] == -np.inf] = -np.inf
+            best = np.lexsort((ids[near], -scores), axis=1)[:, :k]
+            top = np.take_along_axis(scores, best, axis=1)
+            # certain once the next bound lies under the k-th score; an equal bound could still hold a smaller identifier
+            done = np.ones(len(some), bool) if read == n else bounds[some, read] < top[:, -1]
+            for i in np.flatnonzero(done):
+                real = top[i] > -np.inf
+                rows.append((np.full(int(real.sum()), some[i]), ids[near[i, best[i]]][real], top[i][real]))
+            left.append(some[~done])
+        open_, read = np.concatenate(left), min(n, 2 * read)
     return rows
 
 
+def _best(found: list[np.ndarray], k: int) -> list[np.ndarray]:
+    """Of (query_id, vec_id, score) the k best of each query."""
+    query, ids, scores = found
+    order = np.lexsort((ids, -scores, query))
+    query, ids, scores = query[order], ids[order], scores[order]
+    first = np.flatnonzero(np.diff(query, prepend=query[:1] - 1))
+    rank = np.arange(len(query)) - np.repeat(first, np.diff(first, append=len(query)))
+    return [c[rank < k] for c in (query, ids, scores)]
+
+
 def _search(k: int):
     def search(batches):
+        held, size = [np.zeros(0, np.int64)] * 3, 0
         for batch in batches:
-            for r in batch.to_pylist():
-                dim = r["dim"]
-                qid, vid = (np.frombuffer(r[x], np.int64) for x in ("q_ids", "v_ids"))
-                queries = np.frombuffer(r["q_exact"], np.int64).reshape(len(qid), dim)
-                vectors = np.frombuffer(r["v_exact"], np.int64).reshape(len(vid), dim)
-                if dim and dim * float(np.abs(queries).max()) * float(np.abs(vectors).max()) < 2.0**53:
-                    queries, vectors = queries.astype(float), vectors.astype(float)
-                    cells = np.frombuffer(r["v_cells"], np.uint8).reshape(-1, dim)
-                    edges = np.frombuffer(r["v_edges"], np.int64).reshape(dim, -1).astype(float)
-                    low, high = edges[np.arange(dim), cells], edges[np.arange(dim), cells + 1]
-                else:  # too large for exact doubles: whole numbers of any size, each vector its own cell
-                    queries, vectors = queries.astype(object), vectors.astype(object)
-                    low = high = vectors
-                for at in range(0, len(qid), TILE):
-                    if queries.dtype == object:
-                        rows = _plain(queries[at : at + TILE], qid[at : at + TILE], vectors, vid, k)
-                    else:
-                        rows = _tile(queries[at : at + TILE], qid[at : at + TILE], vectors, vid, low, high, k)
-                    rows = [(a, b, c) for a, b, c in rows if len(a)]
-                    if rows:
-                        a, b, c = (np.concatenate(x) for x in zip(*rows, strict=True))
-                        columns = [pa.array(qid[at:][a], pa.int64()), pa.array(b, pa.int64()), pa.array([int(x) for x in c], pa.int64())]
-                        yield pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "score"])
+            for at in range(batch.num_rows):
+                (row,) = batch.slice(at, 1).to_pylist()
+                found = [held]
+                for query, ids, scores in _searched(row, k):
+                    found.append([query, ids, scores])
+                held = [np.concatenate(c) for c in zip(*found, strict=True)]
+                # the blocks of a task meet here, so that it sends k rows a query however many blocks it read
+                if len(held[0]) > 2 * size:
+                    held = _best(held, k)
+                    size = max(len(held[0]), 1000)
+        held = _best(held, k)
+        if len(held[0]):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in held], names=["query_id", "vec_id", "score"])
 
     return search
 
 
+def _searched(r: dict, k: int):
+    """(query_id, vec_id, score) of the k best of a block of vectors for a block of queries."""
+    dim = r["dim"]
+    qid, vid = (np.frombuffer(r[x], np.int64) for x in ("q_ids", "v_ids"))
+    queries = np.frombuffer(r["q_exact"], np.int64).reshape(len(qid), dim)
+    vectors = np.frombuffer(r["v_exact"], np.int64).reshape(len(vid), dim)
+    exact = dim and dim * float(np.abs(queries).max()) * float(np.abs(vectors).max()) < 2.0**53
+    if exact:
+        queries, vectors = queries.astype(float), vectors.astype(float)
+        cells = np.frombuffer(r["v_cells"], np.uint8).reshape(-1, dim)
+        edges = np.frombuffer(r["v_edges"], np.int64).reshape(dim, -1).astype(float)
+        low, high = edges[np.arange(dim), cells], edges[np.arange(dim), cells + 1]
+    else:  # too large for exact doubles: whole numbers of any size, each vector its own cell
+        queries, vectors = queries.astype(object), vectors.astype(object)
+    for at in range(0, len(qid), TILE):
+        if exact:
+            rows = _tile(queries[at : at + TILE], qid[at : at + TILE], vectors, vid, low, high, k)
+        else:
+            rows = _plain(queries[at : at + TILE], qid[at : at + TILE], vectors, vid, k)
+        for i, ids, scores in rows:
+            if len(ids):
+                yield qid[at:][i], ids, np.array([int(x) for x in scores], np.int64)
+
+
 def _plain(queries, query_ids, vectors, ids, k):
     rows = []
     for i, q in enumerate(queries):
@@ -126,15 +157,18 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str = "v
     """query_id, rank (from 1), vec_id, score: the k highest inner products of every query with all other rows.
 
     Ties go to the smaller identifier. Vectors that are null or hold null or non-finite components, and rows without an
-    identifier, take no part. Of rows that repeat an identifier the least vector counts. Vectors of different lengths
+    identifier, take no part. Every row counts, also if its identifier repeats; a query is not compared with rows of its own
+    identifier, and queries that share one share a ranking. Vectors of different lengths
     are not compared. Fewer than k candidates give as many rows; an empty table gives none. Scores must fit 64 bits.
     """
     chosen = vectors.select(F.col(id_column).cast("long").alias("vec_id"), scaled(embedding_column, scale).alias("v"), is_query.alias("asks"))
     chosen = chosen.where("vec_id IS NOT NULL AND v IS NOT NULL")
-    chosen = chosen.groupBy("vec_id").agg(F.min("v").alias("v"), F.max("asks").alias("asks")).withColumn("dim", F.size("v"))
+    # rows get a number when they are stored, so that equal identifiers spread over the blocks as well as others
+    chosen = chosen.withColumn("dim", F.size("v")).withColumn("row", F.monotonically_increasing_id())
+    chosen = written(chosen, "vectors")
     count = vectors.agg(F.count("*").alias("n"), F.sum(F.when(is_query, 8 * F.size(embedding_column))).alias("q")).first()
     blocks, query_blocks = max(1, math.ceil(count["n"] / VECTOR_BLOCK)), max(1, math.ceil((count["q"] or 0) / QUERY_BYTES))
-    deal = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
+    deal = lambda n: F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
     packed = chosen.withColumn("v_", deal(blocks)).groupBy("v_", "dim").applyInArrow(_pack("v", bits), PACKED.format("v"))
     packed = written(packed, "va-file").select("dim", "v_ids", "v_exact", "v_cells", "v_edges")
     asked = chosen.where("asks").withColumn("q_", deal(query_blocks)).groupBy("q_", "dim").applyInArrow(_pack("q", None), PACKED.format("q"))

@@ -16,16 +16,14 @@ SCHEMA = "vec_id long, embedding array<float>, rank int, v string"
 
 
 def brute(rows, k, scale=64):
-    good = {}
+    good = []
     for i, v, *_ in rows:
         if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            w = [math.floor(scale * float(np.float32(x))) for x in v]
-            good[i] = min(good.get(i, w), w)
+            good.append((i, [math.floor(scale * float(np.float32(x))) for x in v]))
     out = []
-    for q in good:
-        if q % 20 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(good[q], w, strict=True)), i) for i, w in good.items() if i != q and len(w) == len(good[q]))
-            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])]
+    for q in sorted({i for i, _ in good if i % 20 == 0}):
+        scores = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for j, v in good if j == q for i, w in good if i != q and len(w) == len(v))
+        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])]
     return sorted(out)
 
 
@@ -42,6 +40,19 @@ def test_matches_full_scan(frame, monkeypatch, scale):
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got.collect()) == brute(rows, 7, scale)
 
 
+def test_rows_that_repeat_an_identifier_all_count(frame):
+    rows = [(0, [1.0, 0.0], 0, ""), (1, [0.5, 0.0], 0, ""), (1, [0.9, 0.0], 0, ""), (1, [0.9, 0.0], 0, ""), (20, [0.1, 0.2], 0, ""), (20, [0.3, 0.4], 0, "")]
+    got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in top_k(frame(rows, SCHEMA), F.col("vec_id") % 20 == 0, k=4).collect()]
+    assert sorted(got) == brute(rows, 4) and [g[2:] for g in sorted(got) if g[0] == 0][:3] == [(1, 3648), (1, 3648), (1, 2048)]
+
+
+def test_equal_vectors_are_read_in_steps(frame, monkeypatch):
+    monkeypatch.setattr(vafile, "GATHER_BYTES", 1000)
+    rows = [(i, [0.5, 0.25, -0.5], 0, "") for i in range(300)]
+    got = top_k(frame(rows, SCHEMA), F.col("vec_id") % 20 == 0, k=5)
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got.collect()) == brute(rows, 5)
+
+
 def test_empty_table(frame):
     assert top_k(frame([], SCHEMA), F.col("vec_id") % 20 == 0).collect() == []
 
