@@ -37,6 +37,7 @@ CLOSES_P = frozenset(
     "address article aside blockquote details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
 )
 CLOSES_ITSELF = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+FOREIGN = ("svg", "math")
 SCOPE = frozenset("html body table ul ol dl article section div main nav aside header footer form blockquote td th".split())
 
 # What tags, and words in classes, ids and roles, say about their content.
@@ -87,6 +88,7 @@ def blocks(page: str | None) -> list[tuple[str, set[str]]]:
     """(text, features) of the leaf blocks in page order; text with references decoded and white space made one space."""
     stack: list[_Element] = []
     open_tags: dict[str, int] = {}
+    places: dict[str, list[int]] = {}  # where in the stack the elements of a tag are
     hints: dict[str, int] = {}
     out: list[list] = []
     text: list[str] = []
@@ -94,6 +96,7 @@ def blocks(page: str | None) -> list[tuple[str, set[str]]]:
     where: tuple = ()
 
     def push(e: _Element) -> None:
+        places.setdefault(e.tag, []).append(len(stack))
         stack.append(e)
         open_tags[e.tag] = open_tags.get(e.tag, 0) + 1
         for h in e.hints:
@@ -104,6 +107,7 @@ def blocks(page: str | None) -> list[tuple[str, set[str]]]:
 
     def pop() -> _Element:
         e = stack.pop()
+        places[e.tag].pop()
         open_tags[e.tag] -= 1
         for h in [*e.hints, *(f for f in ("silent", "hidden") if getattr(e, f))]:
             hints[h] -= 1
@@ -147,14 +151,13 @@ def blocks(page: str | None) -> list[tuple[str, set[str]]]:
             continue
         gone = {"p"} if tag in CLOSES_P else CLOSES_ITSELF.get(tag)
         if gone:
-            for k in range(len(stack) - 1, max(-1, len(stack) - 40), -1):
-                if stack[k].tag in gone:
-                    while len(stack) > k:
-                        pop()
-                    break
-                if stack[k].tag in SCOPE:
-                    break
-        if m["attributes"].endswith("/"):
+            innermost = lambda tags: max((places[t][-1] for t in tags if places.get(t)), default=-1)
+            k = innermost(gone)
+            if k >= 0 and k > innermost(SCOPE - gone):
+                while len(stack) > k:
+                    pop()
+        # only drawings and formulas have elements that close themselves by a slash
+        if m["attributes"].endswith("/") and (tag in FOREIGN or any(open_tags.get(t) for t in FOREIGN)):
             continue
         push(_Element(tag, m["attributes"]))
         if tag in _CLOSE:
@@ -245,11 +248,26 @@ def _gradient(x, y, mask, emission, transition):
     return d_emission, ((both - pair) * mask[:, 1:, None, None]).sum((0, 1))
 
 
-def fit(pages: list[list[tuple[str, set[str]]]], most_blocks: int = 60, steps: int = 120, ridge: float = 0.5) -> Field:
-    """Train on pages that mark their article up; each also with the marks hidden and with a mark around everything."""
+def _padded(examples: list) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Features, labels and masks of whole pages; pages of like length (up to the same power of two) are padded together."""
+    groups: dict[int, list] = {}
+    for example in examples:
+        groups.setdefault(max(8, 1 << (len(example[1]) - 1).bit_length()), []).append(example)
+    out = []
+    for length, some in groups.items():
+        x = np.zeros((len(some), length, len(FEATURES)), np.float32)
+        y, mask = np.zeros((len(some), length), int), np.zeros((len(some), length), bool)
+        for k, (found, labels) in enumerate(some):
+            x[k, : len(found)], y[k, : len(found)], mask[k, : len(found)] = _matrix(found), labels, True
+        out.append((x, y, mask))
+    return out
+
+
+def fit(pages: list[list[tuple[str, set[str]]]], steps: int = 120, ridge: float = 0.5) -> Field:
+    """Train on whole pages that mark their article up; each also with the marks hidden and with a mark around everything."""
     examples = []
     for page in pages:
-        found = [f for _, f in page[:most_blocks]]
+        found = [f for _, f in page]
         labels = ["hint_main" in f and "boilerplate" not in f for f in found]
         if not any(labels) or all(labels):
             continue
@@ -262,11 +280,7 @@ def fit(pages: list[list[tuple[str, set[str]]]], most_blocks: int = 60, steps: i
         for name, weight in {"boilerplate": -6, "hint_main": 3, "no_link": 0.5, "chars_100": 2, "many_links": -3, "hidden": -4, "copyright": -3, "parent_p": 1, "always": -1.5}.items():
             emission[_AT[name], 1] = weight
         return Field(emission, np.array([[0.3, 0.0], [0.0, 0.3]]))
-    length = max(len(y) for _, y in examples)
-    x = np.zeros((len(examples), length, len(FEATURES)), np.float32)
-    y, mask = np.zeros((len(examples), length), int), np.zeros((len(examples), length), bool)
-    for k, (found, labels) in enumerate(examples):
-        x[k, : len(found)], y[k, : len(found)], mask[k, : len(found)] = _matrix(found), labels, True
+    batches = _padded(examples)
     emission, transition = np.zeros((len(FEATURES), 2)), np.zeros((2, 2))
     # weights of marks that the sample lacks start from what the groups mean, and move only with evidence
     for h in BOILERPLATE:
@@ -276,8 +290,8 @@ def fit(pages: list[list[tuple[str, set[str]]]], most_blocks: int = 60, steps: i
     m = [np.zeros_like(emission), np.zeros_like(transition)]
     v = [np.zeros_like(emission), np.zeros_like(transition)]
     for step in range(1, steps + 1):
-        g = _gradient(x, y, mask, emission, transition)
-        g = (g[0] - ridge * (emission - prior), g[1] - ridge * transition)
+        parts = [_gradient(*batch, emission, transition) for batch in batches]
+        g = (sum(p[0] for p in parts) - ridge * (emission - prior), sum(p[1] for p in parts) - ridge * transition)
         for k, weights in enumerate((emission, transition)):
             m[k] = 0.9 * m[k] + 0.1 * g[k]
             v[k] = 0.99 * v[k] + 0.01 * g[k] ** 2

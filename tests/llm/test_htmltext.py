@@ -107,3 +107,29 @@ def test_table(frame):
     assert len(texts) == 42 and (None, None, "") in texts and (3, "again", "") in texts
     empty = frame([], "page_id long, url string, html string")
     assert extract(empty, train(empty)).collect() == []
+
+
+def test_a_slash_closes_no_html_element():
+    page = "<article><p>Kept.</p><script src=x/>var a=1;</script><div/><p>Also kept.</p><svg><path d='m'/>art</svg></article>"
+    assert [t for t, _ in blocks(page)] == ["Kept.", "Also kept."]
+
+
+def test_deeply_nested_items_close_each_other():
+    """Also below any number of open inline elements, and in time that grows with the page."""
+    deep = "<ul><li>one" + "<b>" * 60 + "two<li>three</ul><p>four" + "<i>" * 20_000 + "x" + "<p>y" * 20_000
+    texts = [t for t, _ in blocks(deep)]
+    assert texts[:3] == ["onetwo", "three", "fourx"] and len(texts) == 20_003
+    inside = [f for t, f in blocks("<ul><li>one" + "<b>" * 60 + "<li>two</ul>after")]
+    assert "in_list" in inside[1] and "in_list" not in inside[2]
+
+
+def test_training_reads_whole_pages():
+    """What only the end of long pages shows is learnt."""
+    body = "<article>" + "".join(f"<p>{'A sentence of the article with many words in it, which goes on. ' * 3}</p>" for _ in range(90)) + "</article>"
+    page = body + "".join("<p>© Some firm</p>" for _ in range(6))
+    end = "<article><p>" + "Words of an article that is long enough to count as one. " * 4 + "</p></article>"
+    pages = [blocks(page), blocks(end + "<p>x</p>")]
+    assert len(pages[0]) == 96
+    field = fit(pages)
+    text = "<div>" + "".join(f"<p>{'A sentence of the article with many words in it, which goes on. ' * 3}</p>" for _ in range(5)) + "<p>© Some firm</p></div>"
+    assert "©" not in main_text(text, field) and main_text(text, field).count("\n") == 4
