@@ -53,6 +53,44 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 FROM scores QUALIFY rank <= 20
 """
 
+_OP10 = """
+WITH RECURSIVE calls AS (
+    SELECT conv_id, turn, 'c' || turn AS call_id, text,
+           CASE WHEN (turn + conv_id) % 11 = 10 THEN 'missing' WHEN turn % 4 < 2 THEN 'search' ELSE 'lookup' END AS name,
+           CASE WHEN conv_id % 3 = 0 OR (conv_id % 5 = 0 AND turn % 4 < 2) THEN turn + 2 WHEN turn >= 2 OR conv_id % 5 = 0 THEN turn - 2 END AS target
+    FROM conversations WHERE role = 'user'),
+results AS (SELECT conv_id, 'c' || (turn - 1) AS call_id, turn AS result_turn, text AS body FROM conversations WHERE role = 'assistant'),
+edges AS (SELECT a.conv_id, a.turn AS user_turn, b.turn AS used_turn, (b.turn >= a.turn)::INT AS back FROM calls a JOIN calls b ON a.conv_id = b.conv_id AND a.target = b.turn),
+needed AS (SELECT conv_id, sum(back) AS backward FROM edges GROUP BY conv_id HAVING sum(back) > 0),
+walks(conv_id, turn, level, steps) AS (
+    SELECT conv_id, turn, 0, 0 FROM calls WHERE conv_id IN (SELECT conv_id FROM needed)
+    UNION
+    SELECT e.conv_id, e.user_turn, w.level + e.back, w.steps + 1 FROM walks w JOIN edges e ON e.conv_id = w.conv_id AND e.used_turn = w.turn WHERE w.steps < 20),
+levels AS (SELECT conv_id, turn, max(level) AS level, max(steps) AS steps FROM walks GROUP BY conv_id, turn),
+fields AS (
+    SELECT *, (turn + conv_id) % 7 = 6 AS worded, (turn + conv_id) % 13 = 12 AS added, (turn + conv_id) % 9 <> 8 AS texted FROM calls),
+judged AS (
+    SELECT conv_id, turn, call_id, name,
+           '{' || CASE WHEN target IS NULL THEN '' ELSE '"after":{"$ref":"c' || target || '"},' END || CASE WHEN added THEN '"extra":true,' ELSE '' END
+           || '"length":' || CASE WHEN worded THEN '"many"' ELSE length(text)::VARCHAR END
+           || CASE WHEN texted THEN ',"text":' || to_json(text)::VARCHAR ELSE '' END || '}' AS arguments,
+           CASE WHEN name = 'missing' THEN 'unknown_tool' WHEN NOT texted THEN 'missing:text'
+                WHEN name = 'lookup' AND target IS NULL THEN 'missing:after' WHEN added THEN 'unexpected:extra' WHEN worded THEN 'type:length' END AS error
+    FROM fields),
+linked AS (
+    SELECT coalesce(j.conv_id, r.conv_id) AS conv_id, coalesce(j.call_id, r.call_id) AS call_id, name, j.turn, result_turn, arguments,
+           CASE WHEN r.conv_id IS NULL THEN 'null' ELSE '{"body":' || to_json(body)::VARCHAR || ',"count":' || length(body) || ',"even":'
+                || CASE WHEN result_turn % 2 = 0 THEN 'true' ELSE 'false' END || '}' END AS content,
+           CASE WHEN j.conv_id IS NULL THEN 'no_call' WHEN coalesce(l.steps, 0) >= 20 THEN 'cyclic' WHEN error IS NOT NULL THEN 'invalid ' || error
+                WHEN r.conv_id IS NULL THEN 'no_result' ELSE 'ok' END AS status,
+           coalesce(l.level, 0) AS level
+    FROM judged j FULL JOIN results r ON j.conv_id = r.conv_id AND j.call_id = r.call_id LEFT JOIN levels l ON l.conv_id = j.conv_id AND l.turn = j.turn)
+SELECT conv_id, call_id, name, CASE WHEN status NOT IN ('cyclic', 'no_call') THEN level END::INTEGER AS level, turn, result_turn, status,
+       sha256('{"arguments":' || coalesce(arguments, 'null') || ',"id":"' || call_id || '","name":' || coalesce('"' || name || '"', 'null')
+              || ',"result":' || content || '}') AS line_sha256
+FROM linked
+"""
+
 _OP11 = """
 WITH r AS (
     SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
@@ -133,4 +171,4 @@ FROM ids LEFT JOIN counts USING (c) LEFT JOIN ended USING (c)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": _OP1, "op7_jaccard_join": _OP7, "op8_exact_top_k": _OP8, "op11_hard_negatives": _OP11, "op12_conversation_repair": _OP12}
+    return {"op1_substring_dedup": _OP1, "op7_jaccard_join": _OP7, "op8_exact_top_k": _OP8, "op10_tool_calls": _OP10, "op11_hard_negatives": _OP11, "op12_conversation_repair": _OP12}

@@ -92,13 +92,25 @@ TOOLS = {
 
 
 def tool_messages(conversations: DataFrame) -> DataFrame:
-    """Conversations as chats with tools: a user's turn becomes a call, which refers to the call two turns before, and an
-    assistant's turn the result of the call one turn before."""
-    name = F.when(F.col("turn") % 4 < 2, "search").otherwise("lookup")
-    before = F.when(F.col("turn") >= 2, F.struct(F.concat(F.lit("c"), F.col("turn") - 2).alias("$ref")))
-    arguments = F.struct("text", F.length("text").alias("length"), before.alias("after"))
-    call = F.to_json(F.struct(F.array(F.struct(F.concat(F.lit("c"), "turn").alias("id"), name.alias("name"), arguments.alias("arguments"))).alias("tool_calls")))
-    result = F.to_json(F.struct(F.concat(F.lit("c"), F.col("turn") - 1).alias("tool_call_id"), F.col("text").alias("content")))
+    """Conversations as chats with tools: a user's turn becomes a call, an assistant's turn the result of the call one turn
+    before. By the turn's number a call refers to the call two turns before or, so that it has to wait, two turns later; in
+    some conversations neighbouring calls refer to each other. Some call an unknown tool, leave out an argument, add one
+    or give one of the wrong type."""
+    turn, conv = F.col("turn"), F.col("conv_id")
+    name = F.when((turn + conv) % 11 == 10, "missing").when(turn % 4 < 2, "search").otherwise("lookup")
+    target = F.when((conv % 3 == 0) | (conv % 5 == 0) & (turn % 4 < 2), turn + 2).when((turn >= 2) | (conv % 5 == 0), turn - 2)
+    after = F.when(target.isNotNull(), F.struct(F.concat(F.lit("c"), target).alias("$ref")))
+    length = F.when((turn + conv) % 7 == 6, F.lit('"many"')).otherwise(F.length("text").cast("string"))
+    fields = [
+        F.concat(F.lit('"after":'), F.to_json(after)),
+        F.when((turn + conv) % 13 == 12, F.lit('"extra":true')),
+        F.concat(F.lit('"length":'), length),
+        F.when((turn + conv) % 9 != 8, F.concat(F.lit('"text":'), F.regexp_extract(F.to_json(F.struct(F.col("text").alias("x"))), r'(?s)^\{"x":(.*)\}$', 1))),
+    ]
+    arguments = F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}"))
+    call = F.concat(F.lit('{"tool_calls":[{"id":"c'), turn, F.lit('","name":"'), name, F.lit('","arguments":'), arguments, F.lit("}]}"))
+    content = F.struct((turn % 2 == 0).alias("even"), F.col("text").alias("body"), F.length("text").alias("count"))
+    result = F.to_json(F.struct(F.concat(F.lit("c"), turn - 1).alias("tool_call_id"), content.alias("content")))
     role = F.when(F.col("role") == "user", "assistant").when(F.col("role") == "assistant", "tool").otherwise(F.col("role"))
     text = F.when(F.col("role") == "user", call).when(F.col("role") == "assistant", result).otherwise(F.col("text"))
     return conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"))

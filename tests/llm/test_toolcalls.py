@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
+from plumbline.llm import toolcalls
 from plumbline.llm.toolcalls import canonical, link, violation
 
 SCHEMA = "conv_id long, turn long, role string, text string, level int, line string"
@@ -67,3 +70,40 @@ def test_violations():
 
 def test_empty_table(frame):
     assert link(frame([], SCHEMA), TOOLS).collect() == []
+
+
+def test_odd_texts_and_schemas_have_results(frame):
+    deep = '{"tool_calls":[{"id":"d","name":"add","arguments":' + '{"a":' * 30_000 + "1" + "}" * 30_000 + "}]}"
+    nested = json.dumps('{"a":' * 3_000 + "1" + "}" * 3_000)
+    rows = [
+        (1, 0, "assistant", '{"tool_calls":[{"id":"s","name":"add","arguments":{"a":1,"note":"\\ud800"}}]}'),
+        (1, 1, "assistant", deep),
+        (1, 2, "assistant", '{"tool_calls":[{"id":"n","name":"add","arguments":' + nested + "}]}"),
+        (1, 3, "assistant", '{"tool_calls":[{"id":"q","name":"add","arguments":{"a":NaN}}]}'),
+        (1, 4, "assistant", '{"tool_calls":[{"id":"i","name":"add","arguments":{"a":1e999}}]}'),
+        (1, 5, "tool", '{"tool_call_id":"s","content":{"b":1,  "a":[2.50, null]}}'),
+        (1, 6, "tool", '{"tool_call_id":"n"}'),
+        (1, 7, "tool", '[1]'),
+        (1, 8, "assistant", "tool_calls " + "x" * 2_000_000),
+    ]
+    got, all_rows = linked(frame, rows)
+    assert got[1, "s", 0].line == '{"arguments":{"a":1,"note":"\\ud800"},"id":"s","name":"add","result":{"a":[2.5,null],"b":1}}'
+    assert got[1, "n", 2].status == "invalid type:a" and got[1, "n", 2].line.endswith('"result":null}')
+    assert got[1, "i", 4].status == "invalid arguments_not_an_object" and (1, "q", 3) not in got and (1, "d", 1) not in got
+    schema = {"properties": {"a": {"type": ["integer", "null"]}, "b": {}, "c": {"type": "tuple"}, "d": {"type": "null"}}}
+    assert violation({"a": None, "b": [1], "d": None}, schema) is None and violation({"a": "x"}, schema) == "type:a"
+    assert violation({"c": 1}, schema) == "unsupported_schema:c" and violation({"d": 0}, schema) == "type:d"
+
+
+@pytest.mark.parametrize("gathered", [100_000, 3])
+def test_long_chains_cycles_and_calls_behind_them(frame, monkeypatch, gathered):
+    monkeypatch.setattr(toolcalls, "GATHERED", gathered)
+    n = 300 if gathered > 3 else 7
+    rows = [(7, k, "assistant", call((f"c{k}", "add", {"a": {"$ref": f"c{k + 1}"}}))) for k in range(n)]
+    rows += [(8, 0, "assistant", call(("p", "add", {"a": {"$ref": "q"}}))), (8, 1, "assistant", call(("q", "add", {"a": {"$ref": "p"}}))),
+             (8, 2, "assistant", call(("r", "add", {"a": {"$ref": "q"}}))), (8, 3, "assistant", call(("s", "add", {"a": 1}))),
+             (8, 4, "assistant", call(("t", "add", {"a": {"$ref": "s"}}))), (9, 0, "assistant", call(("u", "add", {"a": {"$ref": "nowhere"}})))]
+    got, _ = linked(frame, rows)
+    assert [got[7, f"c{k}", k].level for k in range(n)] == list(range(n - 1, -1, -1))
+    assert {k: got[8, k, t].status for t, k in enumerate("pqrst")} == {"p": "cyclic", "q": "cyclic", "r": "cyclic", "s": "no_result", "t": "no_result"}
+    assert (got[9, "u", 0].status, got[9, "u", 0].level) == ("no_result", 0)
