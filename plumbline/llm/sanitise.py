@@ -33,15 +33,29 @@ HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
 WORD = r"\p{L}[\p{L}\p{M}]++"
 BROADCAST_TERMS = 200_000
+#: Matches whose places are summed up together.
+PART = 64
 
 SPAN = "struct<start:int,end:int,value:string>"
 
 
 def _places(text: Column, pattern: str) -> Column:
-    """Start, end (code points) and value of every match: lengths of matches and of what lies between them, summed up."""
+    """Start, end (code points) and value of every match: lengths of matches and of what lies between them, summed up.
+
+    Sums run over parts of PART matches, whose own sums are taken first, so that long texts take time in proportion.
+    """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+    pairs = F.arrays_zip(found.alias("found"), F.slice(between, F.lit(1), F.size(found)).alias("between"))
+    size = lambda x: F.length(x["between"]) + F.length(x["found"])
+
+    def in_parts(pairs: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / PART).cast("int"))
+        parts = F.transform(numbers, lambda k: F.slice(pairs, k * PART + 1, F.lit(PART)))
+        return F.transform(parts, lambda part: F.struct(part.alias("pairs"), F.aggregate(part, F.lit(0), lambda n, x: n + size(x)).alias("size")))
+
+    def before(done: Column, part: Column) -> Column:
+        return F.struct((done["at"] + part["size"]).alias("at"), F.concat(done["starts"], F.array(done["at"])).alias("starts"))
 
     def add(done: Column, x: Column) -> Column:
         begin = done["at"] + F.length(x["between"])
@@ -49,8 +63,15 @@ def _places(text: Column, pattern: str) -> Column:
         span = F.struct(begin.alias("start"), end.alias("end"), x["found"].alias("value"))
         return F.struct(end.alias("at"), F.concat(done["out"], F.array(span)).alias("out"))
 
-    pairs = F.arrays_zip(found.alias("found"), F.slice(between, F.lit(1), F.size(found)).alias("between"))
-    return F.aggregate(pairs, start, add, lambda done: done["out"])
+    def placed(parts: Column) -> Column:
+        starts = F.aggregate(parts, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")), before, lambda done: done["starts"])
+        begin = lambda at: F.struct(at.alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+        return F.flatten(F.zip_with(parts, starts, lambda part, at: F.aggregate(part["pairs"], begin(at), add, lambda done: done["out"])))
+
+    # bound to a name by a transform over one element, so that no step is taken twice
+    once = lambda value, then: F.element_at(F.transform(F.array(value), then), 1)
+    nothing = F.array().cast(f"array<{SPAN}>")
+    return once(pairs, lambda p: F.when(F.size(p) == 0, nothing).otherwise(once(in_parts(p), placed)))
 
 
 def _digits(value: Column) -> Column:
@@ -170,18 +191,20 @@ def sanitise(documents: DataFrame, support: int = 2, generalise: float = 0.8, re
     Of spans that overlap, the one that starts first (the longest of those) is masked together with what sticks out.
     """
     own = personal_spans(documents, support, generalise, remove).where("size(spans) > 0")
-    own = own.select("row_key", F.col("spans").alias("row_spans")).dropDuplicates(["row_key"])
-    keyed = documents.withColumn("row_key", F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))))
-    joined = keyed.join(own, "row_key", "left")
+    # the caller's row travels as one column, beside names that none of its columns has
+    names = {c.lower() for c in documents.columns}
+    row, key, own_key, own_spans = (next(n for k in range(len(names) + 1) if (n := f"_{c}{k}") not in names) for c in ("row", "key", "own_key", "own_spans"))
+    own = own.select(F.col("row_key").alias(own_key), F.col("spans").alias(own_spans)).dropDuplicates([own_key])
+    packed = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias(row), F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))).alias(key))
+    joined = packed.join(own, F.col(key) == F.col(own_key), "left")
+    text = F.col(row)["text"]
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def mask(done: Column, s: Column) -> Column:
         word = F.when(s["action"] == "remove", "").when(s["action"] == "generalise", "[TERM]").otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
-        fresh = F.concat(done["out"], F.substring("text", done["at"] + 1, s["start"] - done["at"]), word)
+        fresh = F.concat(done["out"], F.substring(text, done["at"] + 1, s["start"] - done["at"]), word)
         return F.struct(F.greatest(done["at"], s["end"]).alias("at"), F.when(s["start"] >= done["at"], fresh).otherwise(done["out"]).alias("out"))
 
-    ended = F.aggregate("row_spans", start, mask, lambda done: F.concat(done["out"], F.substring("text", done["at"] + 1, F.length("text"))))
-    masked = F.when(F.col("row_spans").isNull() | F.col("text").isNull(), F.col("text")).otherwise(ended)
-    return joined.select(*(masked.alias("text") if c == "text" else F.col(c) for c in documents.columns))
-
-
+    ended = F.aggregate(own_spans, start, mask, lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))))
+    masked = F.when(F.col(own_spans).isNull() | text.isNull(), text).otherwise(ended)
+    return joined.select(*(masked.alias("text") if c == "text" else F.col(row)[c].alias(c) for c in documents.columns))

@@ -83,3 +83,26 @@ def test_far_terms_and_all_their_places_in_texts_that_hold_the_entity(frame):
     rows += [(1000 + i, f"Quillfeather {far} quill@mail.example.com {far} Quillfeather, {i}") for i in range(4)]
     got = {r.text for r in sanitise(frame(rows, SCHEMA)).where("doc_id >= 1000").collect()}
     assert got == {f" {far} [EMAIL] {far} , {i}" for i in range(4)}
+
+
+def test_columns_of_any_name_keep_their_values(spark):
+    """Also names that the work itself uses."""
+    schema = "doc_id long, row_key string, row_spans int, spans string, _row0 string, _key0 int, _own_spans0 string, entities string, text string, `a.b` int"
+    rows = [(1, "mine", 5, "s", "r", 7, "o", "e", "mail me at jo@x.org", 3), (2, None, None, None, None, None, None, None, None, None)]
+    got = {r["doc_id"]: r for r in sanitise(spark.createDataFrame(rows, schema)).collect()}
+    assert tuple(got[2]) == rows[1]
+    assert tuple(got[1]) == (*rows[0][:8], "mail me at [EMAIL]", 3)
+
+
+def test_places_of_many_matches(spark):
+    import re
+
+    from pyspark.sql import functions as F
+
+    from plumbline.llm.sanitise import WORD, _places
+
+    texts = ["", "x", "no é \U0001f600 word " * 70, " ".join(f"w{'ab' * (i % 3 + 1)}" for i in range(1000)), "aa " * 64, "aa " * 65, "1 2 3"]
+    found = spark.createDataFrame([(t,) for t in texts], "text string").select("text", _places(F.col("text"), WORD).alias("p")).collect()
+    for r in found:
+        expected = [(m.start(), m.end(), m.group()) for m in re.finditer(r"[^\W\d_]{2,}", r["text"])]
+        assert [tuple(s) for s in r["p"]] == expected
