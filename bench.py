@@ -26,7 +26,8 @@ HEADLINE = (
     "anomaly_iqr", "anomaly_zscore", "anomaly_mad", "outlier_samples", "drift_events", "isolation_forest",
     "anomaly_checks", "overall_score", "merged_report", "profile_base", "profile_numeric", "profile_top_values",
     "profile_entropy", "table_profile", "quality_timeline", "category_share", "histogram", "history_trend",
-    "alert_rules", "windowed_metrics", "isolation_top", "catalog", "profile_samples", "kpis", "outlier_rows",
+    "alert_rules", "windowed_metrics", "isolation_top", "catalog", "profile_samples", "kpis", "outlier_rows", "frequent_values",
+    "checks_while_writing", "sketch_quantiles",
 )
 
 

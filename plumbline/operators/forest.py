@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -18,13 +18,15 @@ from pyspark.sql import functions as F
 from plumbline.functions import sqltext as sql
 from plumbline.functions.columns import nan_to_null, numeric_columns, selected
 from plumbline.functions.lineage import written
-from plumbline.operators.quantiles import exact_quantiles_of, quantiles
+from plumbline.operators.quantiles import exact_from, exact_quantiles_of, quantiles, summaries, summary_columns, summary_metrics
 
 TREES = 100
 SAMPLE_PER_TREE = 256
 CONTAMINATION = 0.05
 MIN_ROWS = 10
 MIN_FEATURES = 2
+# Features whose medians are found in one sequence of scans, together with the count of rows.
+COUNTED_FEATURES = 20
 _HASH_RANGE = 1 << 40
 _NODE_SCHEMA = "tree int, node int, feature int, split double, below int, above int, length double"
 
@@ -147,6 +149,13 @@ class IsolationForestModel:
     per_tree: int
     offset: float
     contamination: float
+    #: Scores of the rows it was fitted on, as they are stored.
+    scores: DataFrame | None = field(default=None, compare=False, repr=False)
+
+    def fitted(self) -> DataFrame:
+        """``anomaly_score`` and ``is_anomaly`` of the rows it was fitted on, without scoring them again."""
+        scored = self.scores.selectExpr(f"score - {sql.double(self.offset)} AS anomaly_score")
+        return scored.selectExpr("*", "anomaly_score < 0 AS is_anomaly")
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Add ``anomaly_score`` (negative = anomalous) and ``is_anomaly`` to every row."""
@@ -181,10 +190,9 @@ def fit(
     features = tuple(numeric_columns(df) if features is None else features)
     if len(features) < MIN_FEATURES:
         raise ValueError(f"an isolation forest needs at least {MIN_FEATURES} numeric columns, got {list(features)}")
-    total = df.count()
+    total, found = _counted_medians(df, features, median_accuracy)
     if total < MIN_ROWS:
         return None
-    found = quantiles(df, features, (0.5,), median_accuracy)
     medians = {f: (found[f] or [0.0])[0] for f in features}
     wanted = list(dict.fromkeys([*features, *(key or [])]))
     filled = nan_to_null(selected(df, wanted), features).selectExpr(
@@ -199,7 +207,19 @@ def fit(
     unshifted = IsolationForestModel(features, medians, nodes, trees, per_tree, 0.0, contamination)
     scores = written(filled.select(unshifted.raw_score().alias("score")), "scores")
     offset = exact_quantiles_of(scores, {"score": "score"}, (contamination,))["score"][0]
-    return replace(unshifted, offset=offset)
+    return replace(unshifted, offset=offset, scores=scores)
+
+
+def _counted_medians(df: DataFrame, features: Sequence[str], accuracy: int | None) -> tuple[int, dict[str, list[float] | None]]:
+    """Number of rows and medians; the rows are counted by the scan that makes the medians' sketches."""
+    if accuracy is not None or len(features) > COUNTED_FEATURES:
+        total = df.count()
+        return total, quantiles(df, features, (0.5,), accuracy) if total >= MIN_ROWS else {}
+    df = nan_to_null(selected(df, features))
+    values = {f: sql.as_double(f) for f in features}
+    row = df.selectExpr("count(*) AS rows", *[sql.alias(e, name) for name, e in summary_metrics(values).items()])
+    found = row.selectExpr("rows", *summary_columns(values)).first()
+    return found["rows"], exact_from(df, values, (0.5,), summaries(found, values)) if found["rows"] >= MIN_ROWS else {}
 
 
 def summary(scored: DataFrame, model: IsolationForestModel) -> DataFrame:
@@ -249,7 +269,7 @@ def check_rows(df: DataFrame, key: Sequence[str] | None = None, **options) -> Da
     model = fit(df, features, key, **options)
     if model is None:
         return None
-    return summary(model.transform(df), model).selectExpr(
+    return summary(model.fitted(), model).selectExpr(
         "'anomaly_iforest' AS dimension",
         "'isolation_forest' AS check",
         f"{sql.string(None)} AS column",

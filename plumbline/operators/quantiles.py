@@ -43,8 +43,9 @@ def sketch_of(value: str, size: int = SKETCH_SIZE) -> str:
 
 def grid_of(sketch: str) -> str:
     """Quantiles of a sketch at GRID + 1 even points."""
-    points = ", ".join(sql.double(i / GRID) for i in range(GRID + 1))
-    return f"kll_sketch_get_quantile_double({sketch}, array({points}))"
+    # one literal, since a query of many columns would hold thousands
+    points = ",".join(repr(i / GRID) for i in range(GRID + 1))
+    return f"kll_sketch_get_quantile_double({sketch}, CAST(split('{points}', ',') AS ARRAY<DOUBLE>))"
 
 
 @dataclass(frozen=True)

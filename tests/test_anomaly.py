@@ -169,3 +169,12 @@ def test_anomaly_report(cloud, spark):
     assert "rows" in by(extra, "check")
     empty = anomaly_checks(cloud.limit(0)).collect()
     assert [(r["dimension"], r["check"]) for r in empty] == [("pipeline", "empty_dataset")]
+
+
+def test_stored_scores_are_those_of_the_rows(spark):
+    """The check is read off the scores that the threshold was found in."""
+    df = spark.range(600).selectExpr("id", "CAST(id % 37 AS DOUBLE) AS a", "IF(id % 50 = 0, NULL, CAST(id % 11 AS DOUBLE)) AS b", "IF(id < 3, 1e6, CAST(id % 5 AS DOUBLE)) AS c")
+    model = forest.fit(df.drop("id"), trees=20)
+    stored, scored = forest.summary(model.fitted(), model).first(), forest.summary(model.transform(df), model).first()
+    assert stored.asDict() == pytest.approx({k: v for k, v in scored.asDict().items()}, rel=1e-9)
+    assert model.fitted().count() == 600

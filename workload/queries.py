@@ -432,8 +432,8 @@ def _forest(t: Tables) -> tuple[DataFrame, forest.IsolationForestModel]:
 
 @_query("isolation_forest")
 def _isolation_forest(t: Tables) -> DataFrame:
-    scored, model = _forest(t)
-    return comparable(forest.summary(scored, model))
+    _, model = _forest(t)
+    return comparable(forest.summary(model.fitted(), model))
 
 
 @_query("isolation_top")
