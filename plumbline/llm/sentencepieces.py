@@ -26,11 +26,11 @@ MARK = "▁"
 #: Stands for a U+2581 of the text itself, which has to come back as one; no text can hold this code point.
 LITERAL = "\ud800"
 CACHE = 100_000
-SLICE = 2048
+SLICE = 512
 #: Characters of a word, with the mark before it, that is encoded together with others, and how many of these
 #: are at a time; longer words are streamed.
 LONGEST_WORD = 48
-WORDS = 16384
+WORDS = 8192
 
 
 class Pieces:
