@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from plumbline.functions import sqltext as sql
+
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder. Only a session on one machine that names none gets a local one, as in tests."""
@@ -33,6 +36,20 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def kept(df: DataFrame, columns: Sequence[str] | None = None, name: str = "kept") -> DataFrame:
+    """Some columns of ``df`` (all, if none are named), computed now and kept as by ``written``.
+
+    For what is read several times: joins and shuffles behind ``df`` then run once. Columns of a type that Parquet cannot
+    hold, and no columns at all, are left as they are.
+    """
+    if columns is not None:
+        df = df.selectExpr(*[sql.name(c) for c in columns])
+    if not df.columns or any(kind in f.dataType.simpleString() for f in df.schema.fields for kind in ("void", "interval")):
+        return df
+    # neutral names, since files may not hold every name
+    return written(df.toDF(*[f"c{i}" for i in range(len(df.columns))]), name).toDF(*df.columns)
+
+
 def scratch(spark: SparkSession, name: str = "table") -> str:
     """The path of a new folder in the checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import sqltext as sql
 from plumbline.functions.columns import nan_to_null, numeric_columns, selected
-from plumbline.functions.lineage import written
+from plumbline.functions.lineage import kept, written
 from plumbline.operators.quantiles import exact_from, exact_quantiles_of, quantiles, summaries, summary_columns, summary_metrics
 
 TREES = 100
@@ -180,24 +180,26 @@ def fit(
     sample_per_tree: int = SAMPLE_PER_TREE,
     seed: int = 42,
     median_accuracy: int | None = None,
+    stored: bool = False,
 ) -> IsolationForestModel | None:
     """Fit on the whole table; None for fewer than ten rows.
 
     Every tree gets ``sample_per_tree`` rows of the table, as the algorithm asks. The threshold is the contamination
     quantile of the scores of all rows, which are stored for that as one column. ``key`` should identify rows; it makes
-    the trees independent of the partitioning.
+    the trees independent of the partitioning. Features and key are kept once for the scans that follow, unless ``df`` is
+    ``stored`` anyway.
     """
     features = tuple(numeric_columns(df) if features is None else features)
     if len(features) < MIN_FEATURES:
         raise ValueError(f"an isolation forest needs at least {MIN_FEATURES} numeric columns, got {list(features)}")
+    wanted = list(dict.fromkeys([*features, *(key or [])]))
+    df = nan_to_null(selected(df, wanted), features)
+    df = df if stored else kept(df, name="features")
     total, found = _counted_medians(df, features, median_accuracy)
     if total < MIN_ROWS:
         return None
     medians = {f: (found[f] or [0.0])[0] for f in features}
-    wanted = list(dict.fromkeys([*features, *(key or [])]))
-    filled = nan_to_null(selected(df, wanted), features).selectExpr(
-        *[sql.alias(_filled(medians, c) if c in medians else sql.name(c), c) for c in wanted]
-    )
+    filled = df.selectExpr(*[sql.alias(_filled(medians, c) if c in medians else sql.name(c), c) for c in wanted])
     per_tree = min(sample_per_tree, total)
     xs = [f"x{i}" for i in range(len(features))]
     place = f"row_number() OVER (PARTITION BY tree ORDER BY turn, {', '.join(xs)})"

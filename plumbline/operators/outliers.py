@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from plumbline.config import RATE_PASS, RATE_ZERO_SCORE
 from plumbline.functions import sqltext as sql
 from plumbline.functions.columns import nan_to_null, numeric_columns, selected
+from plumbline.functions.lineage import kept
 from plumbline.operators import checks as fused
 from plumbline.operators.checks import Check
 from plumbline.operators.quantiles import exact_from, exact_quantiles_of, summaries, summary_columns, summary_metrics
@@ -71,6 +72,11 @@ class Bounds:
         return f"abs({sql.double(self.factor)} * {distance} / {sql.double(self.scale)})"
 
 
+def measured(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """The numeric columns of ``df`` (or those named), kept once for fitting, counting and sampling their outliers."""
+    return kept(nan_to_null(selected(df, numeric_columns(df) if columns is None else columns)), name="measured")
+
+
 def _summarised(df: DataFrame, values: dict[str, str], moments: bool, quartiles: bool):
     """Mean and sample deviation, and summaries for quantiles, of some columns from one scan."""
     metrics = {}
@@ -89,16 +95,19 @@ def fit(
     methods: Sequence[str] = METHODS,
     iqr_factor: float = 1.5,
     z_limit: float = 3.0,
+    stored: bool = False,
 ) -> list[Bounds]:
     """Bounds per column and method; columns without values or without spread are left out.
 
     One scan gives the moments and sketches of all columns, a second one the exact quartiles, a third one the median
-    distances for the modified z-score, of which the sketches say where to look. Wide tables are fitted in parts.
+    distances for the modified z-score, of which the sketches say where to look. Wide tables are fitted in parts. The
+    columns are kept once for these scans, unless ``df`` is ``stored`` anyway (as by ``measured``).
     """
     if unknown := set(methods) - set(METHODS):
         raise ValueError(f"unknown methods {sorted(unknown)}; known: {METHODS}")
     columns = list(numeric_columns(df) if columns is None else columns)
     df = nan_to_null(selected(df, columns))
+    df = df if stored or set(methods) == {"zscore"} else kept(df, name="measured")
     found: dict[str, dict[str, tuple[float | None, float | None]]] = {m: {} for m in methods}
     for at in range(0, len(columns), COLUMNS_AT_ONCE):
         values = {c: sql.as_double(c) for c in columns[at : at + COLUMNS_AT_ONCE]}
@@ -180,7 +189,9 @@ def outlier_checks(bounds: Sequence[Bounds]) -> list[Check]:
 def outliers(df: DataFrame, method: str, columns: Sequence[str] | None = None, **limits) -> DataFrame:
     """Outlier count and rate per numeric column under one method; columns without spread give no row."""
     df = nan_to_null(df)
-    bounds, some = or_none(df, fit(df, columns, (method,), **limits), columns, (method,))
+    if method != "zscore" and (columns or numeric_columns(df)):
+        df = measured(df, columns)
+    bounds, some = or_none(df, fit(df, columns, (method,), stored=True, **limits), columns, (method,))
     found = fused.flat(df, outlier_checks(bounds))
     return found if some else found.limit(0)
 
@@ -210,11 +221,14 @@ def outlier_samples(df: DataFrame, bounds: Sequence[Bounds], k: int = 10) -> Dat
     return extreme.selectExpr("*", f"{order} AS rank").filter(f"rank <= {int(k)}")
 
 
-def median_impute(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Replace missing numeric values by the column's median; the columns become double."""
+def median_impute(df: DataFrame, columns: Sequence[str] | None = None, stored: bool = False) -> DataFrame:
+    """Replace missing numeric values by the column's median; the columns become double.
+
+    The columns are kept once for the scans that find the medians, unless ``df`` is ``stored`` anyway.
+    """
     columns = list(numeric_columns(df) if columns is None else columns)
     df = nan_to_null(df)
-    medians = exact_quantiles_of(df, {c: sql.as_double(c) for c in columns}, (0.5,))
+    medians = exact_quantiles_of(df if stored else measured(df, columns), {c: sql.as_double(c) for c in columns}, (0.5,))
     filled = {c for c in columns if medians[c] is not None}
     return df.selectExpr(
         *[

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from plumbline.config import Roles
 from plumbline.functions import sqltext as sql
-from plumbline.functions.columns import as_timestamp, has, nan_to_null
+from plumbline.functions.columns import as_timestamp, has, nan_to_null, numeric_columns
 from plumbline.operators import checks as fused
 from plumbline.operators import outliers as univariate
 
@@ -201,8 +201,9 @@ def with_event_day(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
 def outliers_by_column(df: DataFrame, methods: Sequence[str] = univariate.METHODS) -> DataFrame:
     """Outlier counts of every column under every method; all are counted in one scan."""
     df = nan_to_null(df)
+    df = univariate.measured(df) if numeric_columns(df) else df
     wanted = ("column", "method", "outlier_count", "outlier_rate")
-    bounds, some = univariate.or_none(df, univariate.fit(df, methods=methods), None, methods)
+    bounds, some = univariate.or_none(df, univariate.fit(df, methods=methods, stored=True), None, methods)
     checks = [replace(check, fields={name: check.fields[name] for name in wanted}) for check in univariate.outlier_checks(bounds)]
     found = fused.flat(df, checks).drop("score", "threshold")
     return found if some else found.limit(0)

@@ -7,7 +7,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
-from plumbline.functions.columns import nan_to_null
+from plumbline.functions.columns import nan_to_null, numeric_columns
+from plumbline.functions.lineage import kept
 from plumbline.operators import checks, drift, forest, outliers
 from plumbline.operators.scoring import finished
 from plumbline.plans.quality import empty_table_check
@@ -32,17 +33,20 @@ def anomaly_checks(
     """Every anomaly check of ``df`` in ``CHECK_SCHEMA``.
 
     ``series`` are snapshot metrics (metric, snapshot, value) for the drift checks; ``detectors`` are further functions
-    from the table to check rows. Outliers of all columns and methods are counted in one scan.
+    from the table to check rows. Outliers of all columns and methods are counted in one scan. What these checks read of
+    ``df`` is kept once, so that its plan runs once for them, and once more for each detector.
     """
     df = nan_to_null(df)
-    bounds = outliers.fit(df, iqr_factor=iqr_factor, z_limit=z_limit)
-    parts = [checks.check_rows(df, [empty_table_check(), *outliers.outlier_checks(bounds)]).select(*_COLUMNS)]
-    if not bounds and df.isEmpty():
+    numeric, wanted = set(numeric_columns(df)), set(key or ()) if with_forest else set()
+    narrow = kept(df, [c for c in df.columns if c in numeric or c in wanted], "measured") if numeric else df
+    bounds = outliers.fit(narrow, iqr_factor=iqr_factor, z_limit=z_limit, stored=True)
+    parts = [checks.check_rows(narrow, [empty_table_check(), *outliers.outlier_checks(bounds)]).select(*_COLUMNS)]
+    if not bounds and narrow.isEmpty():
         return finished(parts[0], dataset, as_of)
     if series is not None:
         parts.append(drift.check_rows(series, drift_window, drift_sigma).select(*_COLUMNS))
     if with_forest:
-        forest_rows = forest.check_rows(df, key, contamination=contamination)
+        forest_rows = forest.check_rows(narrow, key, contamination=contamination, stored=True)
         if forest_rows is not None:
             parts.append(forest_rows.select(*_COLUMNS))
     parts += [detector(df).select(*_COLUMNS) for detector in detectors]

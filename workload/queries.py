@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from plumbline.config import Arithmetic, Roles, Thresholds
 from plumbline.functions import sqltext as sql
-from plumbline.functions.lineage import scratch
+from plumbline.functions.columns import numeric_columns
+from plumbline.functions.lineage import kept, scratch
 from plumbline.operators import (
     accuracy,
     alerts,
@@ -358,8 +359,8 @@ def _anomaly_mad(t: Tables) -> DataFrame:
 
 @_query("outlier_samples")
 def _outlier_samples(t: Tables) -> DataFrame:
-    orders = t.dirty_table()
-    return comparable(outliers.outlier_samples(orders, outliers.fit(orders)))
+    orders = outliers.measured(t.dirty_table())
+    return comparable(outliers.outlier_samples(orders, outliers.fit(orders, stored=True)))
 
 
 @_query("outlier_rows")
@@ -372,7 +373,8 @@ def _outlier_rows(t: Tables) -> DataFrame:
 @_query("median_impute")
 def _median_impute(t: Tables) -> DataFrame:
     numeric = ["quantity", "unit_price", "total_amount", "customer_age"]
-    return comparable(outliers.median_impute(t.dirty_table().select("order_id", *numeric), numeric))
+    orders = kept(t.dirty_table(), ["order_id", *numeric], "orders")
+    return comparable(outliers.median_impute(orders, numeric, stored=True))
 
 
 @_query("event_value_outliers")
@@ -425,8 +427,10 @@ def _drift_timeline(t: Tables) -> DataFrame:
 
 
 def _forest(t: Tables) -> tuple[DataFrame, forest.IsolationForestModel]:
+    # what the forest and its queries read of the orders, kept once: fit and transform scan it several times
     orders = t.dirty_table()
-    model = forest.fit(orders, key=["order_id"])
+    orders = kept(orders, ["order_id", "customer_id", *numeric_columns(orders)], "orders")
+    model = forest.fit(orders, key=["order_id"], stored=True)
     return model.transform(orders), model
 
 
