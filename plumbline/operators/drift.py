@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from plumbline.config import EPSILON, Roles
 from plumbline.functions import sqltext as sql
 from plumbline.functions.columns import has, nan_to_null
+from plumbline.functions.lineage import kept
 
 # Window length, alert limit, accepted share of alerts, timeline points listed.
 WINDOW = 5
@@ -63,7 +64,8 @@ def snapshot_metrics(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     if has(df, roles.amount):
         sums |= {"amount": f"sum({sql.as_double(roles.amount)})", "amounts": f"count({sql.name(roles.amount)})"}
         out["avg_order_value"] = "try_divide(amount, amounts)"
-    groups = _by_category(df, roles, sums)
+    # a row per snapshot and category, read for the totals and for the entropy
+    groups = kept(_by_category(df, roles, sums), name="groups")
     totals = groups.groupBy("snapshot").agg(*[F.expr(sql.alias(f"sum({sql.name(c)})", c)) for c in sums])
     joined = totals.join(_entropy(groups).select("snapshot", "category_entropy"), "snapshot", "left")
     return joined.selectExpr("snapshot", *[sql.alias(expression, name) for name, expression in out.items()])

@@ -7,11 +7,14 @@ The frames read Parquet lazily; nothing is cached or collected.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Line items that one task joins and groups.
+ROWS_PER_TASK = 1_000_000
 AS_OF = "2026-02-01 00:00:00"
 CATEGORIES = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
@@ -99,25 +102,28 @@ class Tables:
     def _line_items(self) -> DataFrame:
         """Line items; a file of fewer splits than there are cores is spread, as it would occupy few of them.
 
-        A table of cluster size has many splits per core and is read as it lies, without this shuffle.
+        A split or a merged shuffle partition of narrow rows may hold many millions of them, which the groupings above
+        would all keep in one task. Such a table is dealt by order, as its join needs it, in tasks of a million rows.
         """
         if "spread lineitem" not in self._frames:
             items, cores = self.read("lineitem"), self.spark.sparkContext.defaultParallelism
-            if items.rdd.getNumPartitions() < cores:
+            splits, tasks = items.rdd.getNumPartitions(), math.ceil(items.count() / ROWS_PER_TASK)
+            if tasks > max(splits, cores):
+                items = items.repartition(tasks, "l_orderkey")
+            elif splits < cores:
                 items = items.repartition(cores, "l_orderkey", "l_linenumber", "l_partkey")
             self._frames["spread lineitem"] = items
         return self._frames["spread lineitem"]
 
     def _base(self) -> DataFrame:
-        """Line items joined to their order, customer and part; sides Spark finds small are broadcast by its own rule."""
+        """Line items joined to their order, customer and part; sides Spark finds small are broadcast by its own rule.
+
+        Customers join the orders, of which there are fewer, so that line items are not dealt again by customer.
+        """
         places = self.read("nation").join(self.read("region"), F.expr("n_regionkey = r_regionkey"))
         customers = self.read("customer").join(places, F.expr("c_nationkey = n_nationkey"))
-        joined = (
-            self._line_items()
-            .join(self.read("orders"), F.expr("l_orderkey = o_orderkey"))
-            .join(customers, F.expr("o_custkey = c_custkey"))
-            .join(self.read("part"), F.expr("l_partkey = p_partkey"))
-        )
+        orders = self.read("orders").join(customers, F.expr("o_custkey = c_custkey"))
+        joined = self._line_items().join(orders, F.expr("l_orderkey = o_orderkey")).join(self.read("part"), F.expr("l_partkey = p_partkey"))
         return joined.select("*", *[F.expr(expression).alias(name) for name, expression in _PREPARED.items()])
 
     def dirty_orders(self) -> DataFrame:
