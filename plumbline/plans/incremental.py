@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from plumbline.config import Roles, Thresholds
 from plumbline.functions import sqltext as sql
 from plumbline.functions.columns import has, nan_to_null
+from plumbline.functions.lineage import kept
 from plumbline.operators import accuracy, checks, completeness, consistency, custom, timeliness, uniqueness, validity
 from plumbline.operators.checks import MAX_AGGREGATES, Check
 from plumbline.operators.scoring import finished
@@ -164,9 +165,9 @@ class QualityStore:
         """Take in one or more whole snapshots; those taken in before are replaced by the same rows.
 
         References and lookups are judged by the tables given now. Nothing of earlier snapshots but the digests of keys is
-        read, and these are not shuffled.
+        read, and these are not shuffled. The snapshots are kept once for the scans that this takes.
         """
-        df = nan_to_null(df)
+        df = kept(nan_to_null(df), name="snapshots")
         rows = df.drop(self.snapshot)
         states = metric_states(df, self._plain(rows, df), self.snapshot)
         self._write(states, "states")

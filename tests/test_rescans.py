@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline.functions.lineage import kept
-from plumbline.operators import forest, outliers, profile, reports
+from plumbline.operators import drift, forest, outliers, profile, reports
 from plumbline.plans.anomaly import anomaly_checks
+from plumbline.plans.incremental import QualityStore
+from workload import fixture
 
 ROWS = 400
 
@@ -58,3 +61,34 @@ def test_kept_columns_are_the_same(spark):
     assert sorted(map(str, found.collect())) == sorted(map(str, df.collect()))
     assert kept(df, ["s"]).columns == ["s"] and kept(df, []).columns == []
     assert kept(spark.sql("SELECT NULL AS v, 1 AS x")).count() == 1
+
+
+def test_snapshot_metrics_compute_the_table_once(counted):
+    df, computed = counted
+    metrics = drift.snapshot_metrics(df.selectExpr("id % 3 AS day", "a AS total_amount", "CAST(b AS STRING) AS product_category")).collect()
+    assert computed.value == ROWS and len(metrics) == 3 and sum(r["order_count"] for r in metrics) == ROWS
+
+
+def test_absorbing_snapshots_computes_them_once(spark, counted, tmp_path):
+    df, computed = counted
+    store = QualityStore(spark, str(tmp_path), "rescans", buckets=8)
+    store.absorb(df.selectExpr("id % 3 AS day", "CAST(id DIV 2 AS STRING) AS order_id", "a AS total_amount"))
+    assert computed.value == ROWS
+    assert store.stores["key_order_id"].counts().selectExpr("sum(rows)").first()[0] == ROWS
+
+
+def test_tasks_hold_a_bounded_number_of_line_items(spark, data_folder, monkeypatch):
+    monkeypatch.setattr(fixture, "ROWS_PER_TASK", 200)
+    items = fixture.Tables(spark, data_folder)._line_items()
+    assert items.rdd.getNumPartitions() == -(-items.count() // 200)
+    sizes = items.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert sizes < 4 * 200
+
+
+def test_line_items_are_not_dealt_by_customer(spark, data_folder):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = fixture.Tables(spark, data_folder).dirty_table()._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.index("Join Inner, (l_orderkey") < plan.index("Join Inner, (o_custkey")
