@@ -28,11 +28,11 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame, name: str = "table") -> DataFrame:
+def written(df: DataFrame, name: str = "table", codec: str = "snappy") -> DataFrame:
     """``df`` computed now and kept as Parquet in the checkpoint folder: compressed, and read by column."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

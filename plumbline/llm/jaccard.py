@@ -34,6 +34,8 @@ SETS = "doc_id long, n_shingles long, digest binary, shared binary"
 #: Which members lead, round by round.
 LEADERS = (("min({0})",), ("max({0})", "min_by({0}, hash(rep))"))
 FRAGMENTS = 2
+#: Of the intermediate tables, which make up a good part of the disk that the join needs.
+CODEC = "zstd"
 
 
 def shingle_set(words: list[bytes], width: int) -> np.ndarray:
@@ -188,14 +190,14 @@ def _remaining(postings: DataFrame) -> DataFrame:
 def class_components(sets: DataFrame, percent: int = 80, fragments: int = FRAGMENTS) -> DataFrame:
     """(rep, component) of the representatives of classes that may link: the smallest representative they reach."""
     held = sets.where("shared IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("shared").alias("shared"))
-    held = written(held.select("rep", "n", "shared"), "classes")
+    held = written(held.select("rep", "n", "shared"), "classes", CODEC)
     tokens = held.mapInArrow(_tokens, "rep long, n long, h long")
     common = tokens.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
     rarest = Window.partitionBy("rep").orderBy("df", "h")
     ranked = tokens.join(common, "h").withColumn("at", F.row_number().over(rarest)).withColumn("m", F.count("*").over(Window.partitionBy("rep")))
     # shingles of one set only come before all others in the order from rare to frequent
     ranked = ranked.selectExpr("rep", "n", "h", "n - m + at AS at")
-    postings = written(ranked.where(f"at <= n - ceil({percent} * n / 100) + 1"), "postings")
+    postings = written(ranked.where(f"at <= n - ceil({percent} * n / 100) + 1"), "postings", CODEC)
     lengths = held.select("rep", "n")
     segments = held.mapInArrow(_segments(fragments), "rep long, fragment int, segment binary")
     label = lengths.select("rep", F.col("rep").alias("component"))
@@ -204,13 +206,13 @@ def class_components(sets: DataFrame, percent: int = 80, fragments: int = FRAGME
         pairs = _led(open_, leaders) if leaders else _remaining(open_)
         # the first shingle that two sets share leaves room for so many more; of several rows of a pair the widest counts
         enough = f"100 * s >= {percent} * l AND {100 + percent} * (room + 1) >= {percent} * (s + l)"
-        pairs = written(pairs.where(enough).select("a", "b").distinct(), "pairs")
+        pairs = written(pairs.where(enough).select("a", "b").distinct(), "pairs", CODEC)
         found = _linked(pairs, segments, lengths, percent)
         # links join components, of which there are fewer than classes
         found = found.join(label.select(F.col("rep").alias("a"), F.col("component").alias("ca")), "a").join(label.select(F.col("rep").alias("b"), F.col("component").alias("cb")), "b")
         joined = components(found.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
         renamed = joined.select(F.col("node").alias("component"), F.col("component").alias("joined"))
-        label = written(label.join(renamed, "component", "left").select("rep", F.coalesce("joined", "component").alias("component")), "labels")
+        label = written(label.join(renamed, "component", "left").select("rep", F.coalesce("joined", "component").alias("component")), "labels", CODEC)
     return label
 
 
@@ -221,7 +223,7 @@ def link_components(documents: DataFrame, width: int = 5, percent: int = 80, id_
     is one shingle; a null or empty text has none and links with nothing. Rows that repeat an identifier are judged row
     by row. A row without an identifier links with nothing and has no component. Other columns are ignored.
     """
-    sets = written(shingle_sets(documents, width, percent, id_column, text_column), "sets")
+    sets = written(shingle_sets(documents, width, percent, id_column, text_column), "sets", CODEC)
     classes = sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep"))
     classes = classes.join(class_components(sets, percent), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
     named = sets.select("doc_id", "n_shingles", F.when(F.expr("n_shingles > 0 AND doc_id IS NOT NULL"), F.col("digest")).alias("digest"))
