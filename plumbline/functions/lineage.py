@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from plumbline.functions import sqltext as sql
 
+# Spark then deletes the shuffle files of a statement at its end instead of when the driver collects garbage.
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder. Only a session on one machine that names none gets a local one, as in tests."""
@@ -28,11 +32,26 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Statements inside leave no shuffle files behind; the session's setting is restored."""
+    before = spark.conf.get(_DROP_SHUFFLES, None)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_DROP_SHUFFLES) if before is None else spark.conf.set(_DROP_SHUFFLES, before)
+
+
 def written(df: DataFrame, name: str = "table", codec: str = "snappy") -> DataFrame:
-    """``df`` computed now and kept as Parquet in the checkpoint folder: compressed, and read by column."""
+    """``df`` computed now and kept as Parquet in the checkpoint folder: compressed, and read by column.
+
+    What was shuffled for it is deleted, as later reads need the files only.
+    """
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path, compression=codec)
+    with _shuffles_dropped(spark):
+        df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.functions.lineage import kept
+from plumbline.functions.lineage import kept, written
 from plumbline.operators import drift, forest, outliers, profile, reports
 from plumbline.plans.anomaly import anomaly_checks
 from plumbline.plans.incremental import QualityStore
@@ -92,3 +94,23 @@ def test_line_items_are_not_dealt_by_customer(spark, data_folder):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.index("Join Inner, (l_orderkey") < plan.index("Join Inner, (o_custkey")
+
+
+def _shuffle_files(spark) -> set[str]:
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {p.name for d in manager.localDirs() for p in Path(d.getPath()).rglob("shuffle_*.data")}
+
+
+@pytest.mark.parametrize("setting", [None, "false"])
+def test_a_written_table_leaves_no_shuffle_files(spark, setting):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, counts = _shuffle_files(spark), spark.range(ROWS).groupBy(F.expr("id % 9 AS k")).count()
+    outer = spark.conf.get(name, None)
+    spark.conf.unset(name) if setting is None else spark.conf.set(name, setting)
+    try:
+        found = written(counts)
+        assert _shuffle_files(spark) <= before
+        assert spark.conf.get(name, None) == setting
+    finally:
+        spark.conf.unset(name) if outer is None else spark.conf.set(name, outer)
+    assert sorted(found.collect()) == sorted(counts.collect())
