@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
-from plumbline.functions.columns import nan_to_null, numeric_columns
+from plumbline.functions.columns import nan_to_null, numeric_columns, selected
 from plumbline.functions.lineage import kept
 from plumbline.operators import checks, drift, forest, outliers
 from plumbline.operators.scoring import finished
@@ -29,15 +29,18 @@ def anomaly_checks(
     contamination: float = forest.CONTAMINATION,
     detectors: Sequence[Callable[[DataFrame], DataFrame]] = (),
     as_of=None,
+    detector_columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Every anomaly check of ``df`` in ``CHECK_SCHEMA``.
 
     ``series`` are snapshot metrics (metric, snapshot, value) for the drift checks; ``detectors`` are further functions
     from the table to check rows. Outliers of all columns and methods are counted in one scan. What these checks read of
-    ``df`` is kept once, so that its plan runs once for them, and once more for each detector.
+    ``df`` is kept once, so that its plan runs once for them, and once more for each detector. Where ``detector_columns``
+    name all columns that the detectors read, these are kept too and are the table they get, so that the plan runs once.
     """
     df = nan_to_null(df)
     numeric, wanted = set(numeric_columns(df)), set(key or ()) if with_forest else set()
+    wanted |= set(detector_columns or ())
     narrow = kept(df, [c for c in df.columns if c in numeric or c in wanted], "measured") if numeric else df
     bounds = outliers.fit(narrow, iqr_factor=iqr_factor, z_limit=z_limit, stored=True)
     parts = [checks.check_rows(narrow, [empty_table_check(), *outliers.outlier_checks(bounds)]).select(*_COLUMNS)]
@@ -49,5 +52,6 @@ def anomaly_checks(
         forest_rows = forest.check_rows(narrow, key, contamination=contamination, stored=True)
         if forest_rows is not None:
             parts.append(forest_rows.select(*_COLUMNS))
-    parts += [detector(df).select(*_COLUMNS) for detector in detectors]
+    seen = df if detector_columns is None else selected(narrow, detector_columns)
+    parts += [detector(seen).select(*_COLUMNS) for detector in detectors]
     return finished(reduce(DataFrame.unionByName, parts), dataset, as_of)

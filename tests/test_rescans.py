@@ -49,6 +49,17 @@ def test_rows_are_computed_once(counted, run):
     assert computed.value == ROWS
 
 
+def test_rows_are_computed_once_for_detectors_of_known_columns(counted):
+    def large(df):
+        row = df.selectExpr("count_if(b > 50) AS n", "count(*) AS rows")
+        return row.selectExpr("'own' AS dimension", "'large' AS check", "'b' AS column", "n > 0 AS passed", "n / rows AS score", "0D AS threshold", "to_json(struct(n, rows)) AS details")
+
+    df, computed = counted
+    known = anomaly_checks(df, with_forest=False, detectors=[large], as_of="2026-02-01", detector_columns=["b"]).collect()
+    assert computed.value == ROWS
+    assert sorted(known, key=str) == sorted(anomaly_checks(df, with_forest=False, detectors=[large], as_of="2026-02-01").collect(), key=str)
+
+
 def test_medians_are_found_in_one_pass(counted):
     df, computed = counted
     filled = outliers.median_impute(df, ["a", "b"])

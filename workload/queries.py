@@ -472,7 +472,8 @@ def sentinel_detector(df: DataFrame) -> DataFrame:
 
 @_query("custom_detector")
 def _custom_detector(t: Tables) -> DataFrame:
-    found = anomaly_checks(t.dirty_table(), "dirty_orders", with_forest=False, detectors=[sentinel_detector], as_of=AS_OF)
+    detector = {"detectors": [sentinel_detector], "detector_columns": ["quantity"]}
+    found = anomaly_checks(t.dirty_table(), "dirty_orders", with_forest=False, as_of=AS_OF, **detector)
     return comparable(found.where("dimension = 'anomaly_sentinel'"))
 
 
