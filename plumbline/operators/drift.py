@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.config import EPSILON, Roles
 from plumbline.functions import sqltext as sql
-from plumbline.functions.columns import has, nan_to_null
+from plumbline.functions.columns import has, nan_to_null, numeric_columns
 from plumbline.functions.lineage import kept
 
 # Window length, alert limit, accepted share of alerts, timeline points listed.
@@ -47,6 +49,18 @@ def category_entropy(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     return _entropy(_by_category(nan_to_null(df), roles, {"rows": "count(*)"}))
 
 
+def metric_inputs(df: DataFrame, roles: Roles = Roles(), others: Sequence[str] = ()) -> DataFrame:
+    """What ``snapshot_metrics`` reads of ``df``, and the columns ``others``, to be kept once for both.
+
+    A column of which only the nulls are counted is true or null.
+    """
+    whole = {roles.snapshot, roles.category, roles.amount, *roles.sentinels, *others}
+    # a number may be NaN, which is missing too
+    nulls = set(roles.drift_nulls) - whole - set(numeric_columns(df))
+    named = [c for c in df.columns if c in whole or c in roles.drift_nulls]
+    return df.selectExpr(*[sql.alias(f"CASE WHEN {sql.name(c)} IS NOT NULL THEN true END", c) if c in nulls else sql.name(c) for c in named])
+
+
 def snapshot_metrics(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     """One row per snapshot: null rates, sentinel rates, category entropy, row count, mean amount.
 

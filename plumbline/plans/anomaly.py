@@ -30,6 +30,7 @@ def anomaly_checks(
     detectors: Sequence[Callable[[DataFrame], DataFrame]] = (),
     as_of=None,
     detector_columns: Sequence[str] | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """Every anomaly check of ``df`` in ``CHECK_SCHEMA``.
 
@@ -37,11 +38,13 @@ def anomaly_checks(
     from the table to check rows. Outliers of all columns and methods are counted in one scan. What these checks read of
     ``df`` is kept once, so that its plan runs once for them, and once more for each detector. Where ``detector_columns``
     name all columns that the detectors read, these are kept too and are the table they get, so that the plan runs once.
+    Nothing is kept of a table that is ``stored`` anyway.
     """
     df = nan_to_null(df)
     numeric, wanted = set(numeric_columns(df)), set(key or ()) if with_forest else set()
     wanted |= set(detector_columns or ())
-    narrow = kept(df, [c for c in df.columns if c in numeric or c in wanted], "measured") if numeric else df
+    read = [c for c in df.columns if c in numeric or c in wanted]
+    narrow = df if not numeric else selected(df, read) if stored else kept(df, read, "measured")
     bounds = outliers.fit(narrow, iqr_factor=iqr_factor, z_limit=z_limit, stored=True)
     parts = [checks.check_rows(narrow, [empty_table_check(), *outliers.outlier_checks(bounds)]).select(*_COLUMNS)]
     if not bounds and narrow.isEmpty():

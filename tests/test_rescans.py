@@ -11,7 +11,7 @@ from plumbline.functions.lineage import kept, written
 from plumbline.operators import drift, forest, outliers, profile, reports
 from plumbline.plans.anomaly import anomaly_checks
 from plumbline.plans.incremental import QualityStore
-from workload import fixture
+from workload import fixture, queries
 
 ROWS = 400
 
@@ -82,6 +82,39 @@ def test_snapshot_metrics_compute_the_table_once(counted):
     assert computed.value == ROWS and len(metrics) == 3 and sum(r["order_count"] for r in metrics) == ROWS
 
 
+class Given:
+    """Orders in place of those of the workload."""
+
+    def __init__(self, orders):
+        self.orders = orders
+
+    def dirty_orders(self):
+        return self.orders
+
+    def dirty_table(self):
+        return self.orders.drop("day")
+
+
+def test_the_report_and_its_drift_compute_the_orders_once(counted):
+    df, computed = counted
+    orders = df.selectExpr("id % 9 AS day", "a AS total_amount", "b AS unit_price", "CAST(a AS STRING) AS product_category", "IF(id % 7 < id % 9, NULL, 'x') AS customer_email")
+    found = queries._anomaly(Given(orders)).collect()
+    assert computed.value == ROWS
+    series = drift.metric_series(drift.snapshot_metrics(orders))
+    expected = anomaly_checks(orders.drop("day"), "dirty_orders", series, with_forest=False, as_of=fixture.AS_OF).collect()
+    assert sorted(r[:6] for r in found) == sorted(r[:6] for r in expected)
+    assert any(r["dimension"] == "anomaly_drift" for r in found)
+
+
+def test_metrics_read_their_inputs_only(spark):
+    rows = "(1, '', DOUBLE('NaN'), 1, 'p', 2D), (1, NULL, NULL, 999, NULL, 3D), (2, 'y', 999999D, NULL, 'q', NULL), (NULL, NULL, 1D, 999, 'q', 1D)"
+    df = spark.sql(f"SELECT *, 7 AS other, 8 AS more FROM VALUES {rows} AS t(day, customer_email, unit_price, quantity, product_category, total_amount)")
+    inputs = drift.metric_inputs(df, others=["more"])
+    assert set(df.columns) - set(inputs.columns) == {"other"} and dict(inputs.dtypes)["customer_email"] == "boolean"
+    metrics = [sorted(drift.snapshot_metrics(t).collect(), key=str) for t in (df, inputs)]
+    assert metrics[0] == metrics[1] and len(metrics[0]) == 3
+
+
 def test_absorbing_snapshots_computes_them_once(spark, counted, tmp_path):
     df, computed = counted
     store = QualityStore(spark, str(tmp_path), "rescans", buckets=8)
