@@ -115,6 +115,12 @@ def test_metrics_read_their_inputs_only(spark):
     assert metrics[0] == metrics[1] and len(metrics[0]) == 3
 
 
+def test_the_forest_keeps_what_its_query_shows(spark):
+    orders = spark.range(40).selectExpr("CAST(id AS STRING) AS order_id", "CAST(id % 7 AS STRING) AS customer_id", "id % 11 AS quantity", "id * 1D AS total_amount")
+    assert "customer_id" not in queries._forest(Given(orders))[0].columns
+    assert "customer_id" in queries._forest(Given(orders), "customer_id")[0].columns
+
+
 def test_absorbing_snapshots_computes_them_once(spark, counted, tmp_path):
     df, computed = counted
     store = QualityStore(spark, str(tmp_path), "rescans", buckets=8)

@@ -426,10 +426,10 @@ def _drift_timeline(t: Tables) -> DataFrame:
 # Multivariate anomalies: no SQL counterpart
 
 
-def _forest(t: Tables) -> tuple[DataFrame, forest.IsolationForestModel]:
-    # what the forest and its queries read of the orders, kept once: fit and transform scan it several times
+def _forest(t: Tables, *shown: str) -> tuple[DataFrame, forest.IsolationForestModel]:
+    # what the forest and its query read of the orders, kept once: fit and transform scan it several times
     orders = t.dirty_table()
-    orders = kept(orders, ["order_id", "customer_id", *numeric_columns(orders)], "orders")
+    orders = kept(orders, ["order_id", *shown, *numeric_columns(orders)], "orders")
     model = forest.fit(orders, key=["order_id"], stored=True)
     return model.transform(orders), model
 
@@ -442,7 +442,7 @@ def _isolation_forest(t: Tables) -> DataFrame:
 
 @_query("isolation_top")
 def _isolation_top(t: Tables) -> DataFrame:
-    scored, model = _forest(t)
+    scored, model = _forest(t, "customer_id")
     return comparable(forest.most_anomalous(scored, ["order_id", "customer_id", *model.features[:5]]))
 
 
