@@ -13,10 +13,10 @@ a table of 64-bit offsets. Files are named by partition and number, so a repeate
 from __future__ import annotations
 
 import math
+import os
 import re
 import uuid
 import zlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -33,22 +33,22 @@ _HEAD = np.dtype([("magic", "S8"), ("partition", "<u4"), ("number", "<u4"), ("na
 FILE_IDS = 2 << 20
 PARTITION_BYTES = 16 << 20
 SLICE_BYTES = 8 << 20
-#: Pieces whose ids a worker keeps, packed as bytes.
+#: Words whose ids a worker keeps, and the bytes of the longest.
 CACHE = 400_000
+CACHED_BYTES = 32
+#: Words given to the library as one text, in bytes; the last one may pass it.
+JOINED_BYTES = 256 << 10
 #: White space as the tokenizer's pattern sees it, for RE2.
 _SPACE = r"[\t\n\x0b\f\r \x{85}\p{Z}]"
 
 
-def _packed(ids: list[int]) -> bytes:
-    return array("I", ids).tobytes()
-
-
 class Encoder:
     """The ids of texts by a byte-level BPE file of the tokenizers library, each distinct space-separated piece once.
 
     Such a tokenizer never joins a space with what stands before it, so a text may be cut before any space that stands
     between two other characters than white space, and the pieces be encoded by themselves. Texts with other white space
-    beside a space, or with a special token's string, are encoded whole.
+    beside a space, or with a special token's string, are encoded whole. For the same reason words may be joined by spaces
+    and given to the library many at a time: each id that starts with a space starts a word.
     """
 
     def __init__(self, path: str):
@@ -56,43 +56,48 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}
-        # the printable stand-ins that byte-level vocabularies use for bytes
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        others = [b for b in range(256) if b not in set(plain)]
-        self.stand_in = {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
-        self.ends = {c: _packed(self._whole([c])[0]) for c in ".,"}
-
-    def _whole(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _word(self, word: str) -> bytes:
-        """Letters of Latin scripts only: one step of the tokenizer's model."""
-        text = word.encode().decode("latin-1").translate(self.stand_in)
-        return _packed([t.id for t in self.tokenizer.model.tokenize(text)])
-
-    def pieces(self, pieces: list[str]) -> list[bytes]:
-        """The packed ids of pieces that each start a text or start with a space."""
-        cache, rest = self.cache, []
-        out = list(map(cache.get, pieces))
-        for k in [k for k, ids in enumerate(out) if ids is None]:
-            piece = pieces[k]
-            word = piece[1:] if piece[:1] == " " else piece
-            if word.isalpha() and max(word) < "ɐ":
-                ids = self._word(piece)
-            elif word[-1:] in self.ends and word[:-1].isalpha() and max(word) < "ɐ":
-                ids = self._word(piece[:-1]) + self.ends[word[-1]]
-            else:
-                rest.append(k)
-                continue
-            out[k] = ids
-            if len(cache) < CACHE:
-                cache[piece] = ids
-        for k, ids in zip(rest, self._whole([pieces[k] for k in rest]) if rest else [], strict=True):
-            out[k] = _packed(ids)
-            if len(cache) < CACHE:
-                cache[pieces[k]] = out[k]
-        return out
+        vocabulary = self.tokenizer.get_vocab()
+        # Ġ is the printable stand-in that byte-level vocabularies use for a space
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.spaced[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
+        self.known, self.ids, self.lengths = pa.array([], pa.large_string()), np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def _each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and how many each has."""
+        # one at a time, since the library's result takes over 100 bytes an id
+        ids = [np.array(e.ids, np.uint32) for t in texts for e in self.tokenizer.encode_batch_fast([t], add_special_tokens=False)]
+        return np.concatenate([np.zeros(0, np.uint32), *ids]), np.fromiter(map(len, ids), np.int64, len(ids))
+
+    def _joined(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words that each follow a space, and how many each has; they neither start nor end with white space."""
+        ends = np.cumsum(pc.binary_length(words).to_numpy() + 1)
+        cuts = np.append(np.flatnonzero(np.diff(ends // JOINED_BYTES, prepend=-1)), len(words))
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), words), pa.scalar(" ", pa.large_string()))
+        ids, _ = self._each([f" {t}" for t in joined.to_pylist()])
+        starts = np.flatnonzero(self.spaced[ids])
+        if len(starts) != len(words) or any(" " in token for token in self.special):
+            return self._each([f" {w}" for w in words.to_pylist()])
+        return ids, np.diff(starts, append=len(ids))
+
+    def _following(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For distinct words that each follow a space: ids and their numbers of known words, and which of those each word is."""
+        at = pc.index_in(words, self.known)
+        place = pc.fill_null(at, -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(place < 0)
+        added = words.take(pa.array(new))
+        edged = pc.match_substring_regex(added, rf"^({_SPACE}|$)|{_SPACE}$").to_numpy(zero_copy_only=False)
+        long = pc.binary_length(added).to_numpy() > CACHED_BYTES
+        order = np.lexsort((long, edged))
+        place[new[order]] = len(self.known) + np.arange(len(new))
+        added, inner = added.take(pa.array(order)), int((~edged).sum())
+        parts = [(self.ids, self.lengths), self._joined(added.slice(0, inner)), self._each([f" {w}" for w in added.slice(inner).to_pylist()])]
+        ids, lengths = (np.concatenate(p) for p in zip(*parts, strict=True))
+        if len(self.known) < CACHE:
+            short = int((~edged & ~long).sum())
+            self.known = pa.concat_arrays([self.known, added.slice(0, min(short, CACHE - len(self.known)))])
+            self.lengths = lengths[: len(self.known)].copy()
+            self.ids = ids[: int(self.lengths.sum())].copy()
+        return ids, lengths, place
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, ``end_id`` after each text, and how many each text has."""
@@ -106,20 +111,21 @@ class Encoder:
         # a text that is encoded whole counts as one piece
         split = pc.split_pattern(pc.if_else(whole, "", texts), " ")
         codes = split.flatten().dictionary_encode()
-        index, words = codes.indices.to_numpy().astype(np.int64), codes.dictionary.to_pylist()
+        index, words = codes.indices.to_numpy().astype(np.int64), codes.dictionary
         offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
-        known = self.pieces([f" {w}" for w in words])
-        distinct, at = np.unique(index[offsets[:-1]], return_inverse=True)
-        pool = [*known, *self.pieces([words[k] for k in distinct])]
-        index[offsets[:-1]] = len(known) + at
-        index[offsets[slow]] = len(pool) + np.arange(len(slow))
-        pool += [_packed(ids) for ids in self._whole([texts[int(k)].as_py() for k in slow])] if len(slow) else []
-        index = np.insert(index, offsets[1:], len(pool))
-        pool.append(_packed([end_id]))
-        lengths = np.fromiter(map(len, pool), np.int64, len(pool)) // 4
-        starts = np.cumsum(lengths) - lengths
-        flat = np.frombuffer(b"".join(pool), np.uint32)
-        took = lengths[index]
+        distinct, first = np.unique(index[offsets[:-1]], return_inverse=True)
+        later = np.flatnonzero(np.bincount(index, minlength=len(words)) > np.bincount(index[offsets[:-1]], minlength=len(words)))
+        place = np.zeros(len(words), np.int64)
+        ids, lengths, place[later] = self._following(words.take(pa.array(later)))
+        parts = [(ids, lengths), self._each(words.take(pa.array(distinct)).to_pylist()), self._each(texts.take(pa.array(slow)).to_pylist())]
+        parts.append((np.array([end_id], np.uint32), np.ones(1, np.int64)))
+        flat, sizes = (np.concatenate(p) for p in zip(*parts, strict=True))
+        index = place[index]
+        index[offsets[:-1]] = len(lengths) + first
+        index[offsets[slow]] = len(lengths) + len(distinct) + np.arange(len(slow))
+        index = np.insert(index, offsets[1:], len(sizes) - 1)
+        starts = np.cumsum(sizes) - sizes
+        took = sizes[index]
         sums = np.concatenate([[0], np.cumsum(took)])
         ids = flat[np.repeat(starts[index] - sums[:-1], took) + np.arange(int(sums[-1]))]
         return ids, np.diff(sums[offsets + np.arange(len(offsets))])
@@ -129,7 +135,8 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """One encoder per worker process and file."""
+    """One encoder per worker process and file; the library uses one thread, as Spark gives a task one core."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
@@ -161,14 +168,22 @@ class TokenFile:
 
 
 def _slices(batches):
-    """Identifiers and texts in parts of bounded bytes."""
+    """Identifiers and texts in parts of about as many bytes, with 8 for each row."""
+    names, parts, held = [], [], 0
     for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy()
+        sizes = pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy() + 8
         at = 0
         while at < len(sizes):
-            end = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:]), SLICE_BYTES, side="right")))
-            yield batch["doc_id"].slice(at, end - at).to_pylist(), batch["text"].slice(at, end - at)
+            end = at + max(int(not parts), int(np.searchsorted(np.cumsum(sizes[at:]), SLICE_BYTES - held, side="right")))
+            names += batch["doc_id"].slice(at, end - at).to_pylist()
+            parts.append(batch["text"].slice(at, end - at))
+            held += int(sizes[at:end].sum())
+            if end < len(sizes):
+                yield names, pa.concat_arrays(parts)
+                names, parts, held = [], [], 0
             at = end
+    if parts:
+        yield names, pa.concat_arrays(parts)
 
 
 def _write(folder: str, path: str, end_id: int):

@@ -79,3 +79,61 @@ def test_elias_fano(values):
 def test_elias_fano_takes_little_space():
     ends = np.cumsum(np.random.default_rng(1).integers(100, 900, 50_000))
     assert len(encode(ends)) < 50_000 * 12 / 8
+
+
+class Counting:
+    """A tokenizer that counts the texts given to it, single words included."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.model, self.texts = tokenizer, self, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+    def tokenize(self, word):
+        self.texts += 1
+        return self.tokenizer.model.tokenize(word)
+
+
+def test_new_words_reach_the_library_together(library, monkeypatch):
+    monkeypatch.setattr(tokenids, "CACHE", 700)
+    random.seed(5)
+    own = [" ".join("".join(random.choices("abcdeé1.,'\n", k=random.randint(1, 9))).strip() or "x" for _ in range(100)) for _ in range(90)]
+    encoder = tokenids.Encoder(tokenizer_path("byte_bpe_50k.json"))
+    encoder.tokenizer = Counting(encoder.tokenizer)
+    for some in (own[:30], own[30:60], own[20:]):
+        ids, counts = encoder.encode(pa.array(some, pa.string()), 0)
+        wanted = [[*e.ids, 0] for e in library.encode_batch(some, add_special_tokens=False)]
+        assert counts.tolist() == list(map(len, wanted)) and ids.tolist() == [i for w in wanted for i in w]
+    # the first words of the texts and a few joined ones, not some 7,000 words
+    assert encoder.tokenizer.texts < 200
+
+
+def test_words_joined_in_small_texts(library, monkeypatch):
+    monkeypatch.setattr(tokenids, "JOINED_BYTES", 5)
+    own = [*texts(500), "aa bb cccccccccc d éé f", "\n a", " b\n", "x\n y", "a\nb c\td"]
+    ids, counts = tokenids.Encoder(tokenizer_path("byte_bpe_50k.json")).encode(pa.array(own, pa.string()), 0)
+    wanted = [[*e.ids, 0] for e in library.encode_batch(own, add_special_tokens=False)]
+    assert counts.tolist() == list(map(len, wanted)) and ids.tolist() == [i for w in wanted for i in w]
+
+
+def test_slices_span_batches_and_keep_every_row(monkeypatch):
+    monkeypatch.setattr(tokenids, "SLICE_BYTES", 100)
+    own = [(i, None if i % 5 == 0 else "x" * (i * 37 % 140)) for i in range(60)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([i for i, _ in own[k : k + 4]], pa.int64()), pa.array([t for _, t in own[k : k + 4]], pa.string())], names=["doc_id", "text"]) for k in range(0, 60, 4)]
+    got = [(names, texts.to_pylist()) for names, texts in tokenids._slices(iter(batches))]
+    assert [r for names, some in got for r in zip(names, some, strict=True)] == own
+    assert all(len(some) == 1 or sum(len(t or "") + 8 for t in some) <= 100 for _, some in got)
+    tiny = [pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array(["a"])], names=["doc_id", "text"]) for i in range(22)]
+    assert [names for names, _ in tokenids._slices(iter(tiny))] == [[*range(11)], [*range(11, 22)]]
+
+
+def test_only_short_words_are_kept(library):
+    own = ["a bb " + "c" * 33 + " d\n", "日本語の長い文" * 9, "e" * 32 + " " + "f" * 32 + " bb"]
+    encoder = tokenids.Encoder(tokenizer_path("byte_bpe_50k.json"))
+    for _ in range(2):
+        ids, counts = encoder.encode(pa.array(own, pa.string()), 0)
+        wanted = [[*e.ids, 0] for e in library.encode_batch(own, add_special_tokens=False)]
+        assert counts.tolist() == list(map(len, wanted)) and ids.tolist() == [i for w in wanted for i in w]
+    assert sorted(encoder.known.to_pylist()) == ["bb", "f" * 32]
